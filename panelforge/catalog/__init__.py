@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from panelforge.catalog import scores_q  # noqa: F401
+from panelforge.catalog import scores_q, tables_q  # noqa: F401
 from panelforge.catalog.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

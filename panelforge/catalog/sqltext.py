@@ -23,11 +23,11 @@ FRAGMENTS = {
         FROM orders JOIN customer ON o_custkey = c_custkey
         JOIN nation ON c_nationkey = n_nationkey""",
     "load": """
-        SELECT country, date_trunc('month', "index") AS "index", avg(Actual_Load) AS Actual_Load
+        SELECT country, date_trunc('month', "index") AS "index", round(avg(Actual_Load)) AS Actual_Load
         FROM load_readings GROUP BY 1, 2""",
     "forecast": """
         SELECT country, date_trunc('month', "index") AS "index",
-               avg(Forecasted_Load) AS Forecasted_Load
+               round(avg(Forecasted_Load)) AS Forecasted_Load
         FROM load_readings WHERE Forecasted_Load IS NOT NULL GROUP BY 1, 2""",
     "flow_readings": """
         SELECT a.n_name AS from_country, b.n_name AS to_country, l_shipdate AS "index",
@@ -39,7 +39,7 @@ FRAGMENTS = {
         JOIN nation b ON c_nationkey = b.n_nationkey""",
     "flow": """
         SELECT from_country, to_country, date_trunc('month', "index") AS "index",
-               avg(Value) AS Value
+               round(avg(Value)) AS Value
         FROM flow_readings GROUP BY 1, 2, 3""",
     "imports": """
         SELECT to_country AS country, "index", sum(Value) AS imports FROM flow GROUP BY 1, 2""",
@@ -59,9 +59,9 @@ FRAGMENTS = {
         JOIN nation ON s_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey""",
     "generation": """
         SELECT country, date_trunc('month', "index") AS "index",
-               avg(price) FILTER (WHERE p_size = 1) AS Nuclear__Actual_Aggregated,
-               avg(price) FILTER (WHERE p_size = 2) AS Solar__Actual_Aggregated,
-               avg(l_quantity) FILTER (WHERE p_size <= 10) AS Biomass__Actual_Consumption,
+               round(avg(price) FILTER (WHERE p_size = 1)) AS Nuclear__Actual_Aggregated,
+               round(avg(price) FILTER (WHERE p_size = 2)) AS Solar__Actual_Aggregated,
+               round(avg(l_quantity) FILTER (WHERE p_size <= 10) * 100) / 100 AS Biomass__Actual_Consumption,
                CAST(NULL AS DOUBLE) AS Marine__Actual_Aggregated
         FROM supply_readings GROUP BY 1, 2""",
     "weather": """

@@ -81,18 +81,24 @@ def load_readings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _monthly(rows: DataFrame, keys: list[str], *values: str) -> DataFrame:
+    """Monthly means in whole cents, so that sums of them stay exact too."""
+    means = resample_mean(rows, keys, unit="month", values=values)
+    return means.withColumns({c: F.round(c) for c in values})
+
+
 def load(spark: SparkSession, sf: str) -> DataFrame:
-    return resample_mean(load_readings(spark, sf), ["country"], unit="month", values=["Actual_Load"])
+    return _monthly(load_readings(spark, sf), ["country"], "Actual_Load")
 
 
 def forecast(spark: SparkSession, sf: str) -> DataFrame:
     rows = load_readings(spark, sf).filter(F.col("Forecasted_Load").isNotNull())
-    return resample_mean(rows, ["country"], unit="month", values=["Forecasted_Load"])
+    return _monthly(rows, ["country"], "Forecasted_Load")
 
 
 def load_and_forecast(spark: SparkSession, sf: str) -> DataFrame:
     """Both in one pass; periods without a forecast drop out, as in the join."""
-    both = resample_mean(load_readings(spark, sf), ["country"], unit="month")
+    both = _monthly(load_readings(spark, sf), ["country"], "Actual_Load", "Forecasted_Load")
     return both.filter(F.col("Forecasted_Load").isNotNull())
 
 
@@ -122,9 +128,7 @@ def flow_readings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flow(spark: SparkSession, sf: str) -> DataFrame:
-    return resample_mean(
-        flow_readings(spark, sf), ["from_country", "to_country"], unit="month", values=["Value"]
-    )
+    return _monthly(flow_readings(spark, sf), ["from_country", "to_country"], "Value")
 
 
 def supply_readings(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,9 +158,9 @@ def supply_readings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 GENERATION = {
-    "Nuclear__Actual_Aggregated": "avg(nuclear)",
-    "Solar__Actual_Aggregated": "avg(solar)",
-    "Biomass__Actual_Consumption": "avg(biomass)",
+    "Nuclear__Actual_Aggregated": "round(avg(nuclear))",
+    "Solar__Actual_Aggregated": "round(avg(solar))",
+    "Biomass__Actual_Consumption": "round(avg(biomass) * 100) / 100",
     "Marine__Actual_Aggregated": "CAST(NULL AS DOUBLE)",
 }
 WEATHER = {
