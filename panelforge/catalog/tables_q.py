@@ -74,7 +74,7 @@ PRIORITIES = [("1-URGENT", 1, True), ("2-HIGH", 2, True), ("3-MEDIUM", 3, True),
 )
 def local_rows(spark, sf):
     """Literal rows with an explicit schema, used as a dimension of the orders."""
-    dim = spark.createDataFrame(PRIORITIES, "o_orderpriority string, rank int, ahead boolean")
+    dim = T.local_rows(spark, PRIORITIES, "o_orderpriority string, rank int, ahead boolean")
     orders = B.table(spark, sf, "orders")
     return orders.join(dim, "o_orderpriority").groupBy("rank", "ahead").agg(
         F.count(F.lit(1)).alias("n")

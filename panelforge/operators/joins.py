@@ -71,7 +71,7 @@ def nearest_place(
         return nearest_place_by_cell(coords, places, cell_degrees)
     everywhere = places.agg(
         F.collect_list(F.struct("place_id", "lat", "lon", "code")).alias("_places")
-    )
+    ).scalar()
     scored = F.transform(
         "_places",
         lambda p: F.struct(
@@ -81,7 +81,7 @@ def nearest_place(
         ),
     )
     return (
-        coords.join(F.broadcast(everywhere), F.lit(True))   # one row, at most max_in_array places
+        coords.withColumn("_places", everywhere)
         .select("lat", "lon", F.array_min(scored).alias("_best"))
         .select("lat", "lon", "_best.place_id", "_best.code", "_best.km")
     )

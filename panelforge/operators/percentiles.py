@@ -102,8 +102,8 @@ def exact_percentiles(
     )
     if keys:
         near = rows.join(targets, keys)
-    else:  # one row on the right side
-        near = rows.join(F.broadcast(targets), F.lit(True))
+    else:
+        near = rows.withColumn("_t", targets.scalar())
     # per target, values below the bracket collapse into one counted row (NULL
     # value); values above it are not needed
     counted = (

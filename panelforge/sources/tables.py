@@ -22,6 +22,11 @@ def scan_sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
     return spark.sql(text, **frames)
 
 
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small literal table with an explicit schema."""
+    return spark.createDataFrame(list(rows), schema)
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
