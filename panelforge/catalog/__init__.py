@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from panelforge.catalog import columns_q, joins_q, scores_q, tables_q, windows_q  # noqa: F401
+from panelforge.catalog import columns_q, joins_q, profile_q, scores_q, tables_q, windows_q  # noqa: F401
 from panelforge.catalog.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -66,7 +66,7 @@ FRAGMENTS = {
         FROM supply_readings GROUP BY 1, 2""",
     "weather": """
         SELECT country, date_trunc('month', "index") AS "index",
-               avg(price) / 10000.0 AS mean_ssrd, avg(l_quantity) / 5.0 AS mean_wind_speed,
+               round(avg(price)) / 10000.0 AS mean_ssrd, avg(l_quantity) / 5.0 AS mean_wind_speed,
                avg(discount) * 4.0 - 18.0 AS mean_temperature_c
         FROM supply_readings GROUP BY 1, 2""",
     "renewables": """

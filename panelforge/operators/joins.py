@@ -7,6 +7,7 @@ otherwise sorts and merges, splitting skewed partitions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.numbers import great_circle_km
+from panelforge.session import reliable_checkpoint
 
 
 def align(frames: Sequence[DataFrame], keys: Sequence[str] = ("index", "country")) -> DataFrame:
@@ -100,21 +102,29 @@ def nearest_place_by_cell(coords: DataFrame, places: DataFrame, cell_degrees: fl
     while True:
         whole = size >= 180.0
         near = _look_around(rest, places, size, whole)
-        width = F.lit(size * KM_PER_DEGREE) * F.least(
-            F.lit(1.0),
-            F.cos(F.radians(F.least(F.abs(F.col("lat")) + size * 2, F.lit(90.0)))),
-        )
-        final = near if whole else near.filter(
-            (F.col("km") <= width)
-            & (F.abs(F.col("lon")) + size * 2 < 180.0)
-        )
-        found.append(final)
         if whole:
-            return reduce(DataFrame.unionByName, found)
+            return reduce(DataFrame.unionByName, [*found, near])
+        near = reliable_checkpoint(near, "nearest")
+        final = near.filter(_inside_area(size))
+        found.append(final)
         rest = rest.join(final.select("lat", "lon"), ["lat", "lon"], "left_anti")
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        rest = reliable_checkpoint(rest, "nearest")
         size *= 2
 
 
+def _inside_area(size: float) -> Column:
+    """The hit is closer than any place outside the 3 x 3 cells can be: these
+    reach at least one cell size from the point. To the east and west that is the
+    distance to a meridian. Cells do not wrap at 180 degrees."""
+    meridian = F.lit(6371.0) * F.asin(
+        F.cos(F.radians("lat")) * F.lit(math.sin(math.radians(min(size, 90.0))))
+    )
+    width = F.least(F.lit(size * KM_PER_DEGREE), meridian)
+    return (F.col("km") <= width) & (F.abs(F.col("lon")) + size * 2 < 180.0)
+
+
 def _look_around(coords: DataFrame, places: DataFrame, size: float, whole: bool) -> DataFrame:
     def cell(c: str) -> Column:
         return F.lit(0).cast("long") if whole else F.floor(F.col(c) / size)

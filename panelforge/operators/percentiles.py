@@ -79,8 +79,10 @@ def exact_percentiles(
     )
 
     def target(i: int, p: float) -> Column:
-        low = F.lit(float("-inf")) if p - step <= 0 else F.col(f"_b{i}")[0]
-        high = F.lit(float("inf")) if p + step >= 1 else F.col(f"_b{i}")[1]
+        # up to ``accuracy`` values a key needs no bracket
+        wide = F.col("_n") > accuracy
+        low = F.when(wide & F.lit(p - step > 0), F.col(f"_b{i}")[0]).otherwise(float("-inf"))
+        high = F.when(wide & F.lit(p + step < 1), F.col(f"_b{i}")[1]).otherwise(float("inf"))
         share = F.lit(Decimal(str(p)))
         n = F.col("_n").cast("decimal(20,0)")
         if interpolate:

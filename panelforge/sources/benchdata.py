@@ -164,7 +164,7 @@ GENERATION = {
     "Marine__Actual_Aggregated": "CAST(NULL AS DOUBLE)",
 }
 WEATHER = {
-    "mean_ssrd": "avg(price) / 10000.0D",
+    "mean_ssrd": "round(avg(price)) / 10000.0D",
     "mean_wind_speed": "avg(l_quantity) / 5.0D",
     "mean_temperature_c": "avg(discount) * 4.0D - 18.0D",
 }
