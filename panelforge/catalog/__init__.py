@@ -1,6 +1,15 @@
 """All registered queries."""
 
-from panelforge.catalog import columns_q, joins_q, profile_q, scores_q, tables_q, windows_q  # noqa: F401
+from panelforge.catalog import (  # noqa: F401
+    columns_q,
+    features_q,
+    impute_q,
+    joins_q,
+    profile_q,
+    scores_q,
+    tables_q,
+    windows_q,
+)
 from panelforge.catalog.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
