@@ -5,6 +5,7 @@ from panelforge.catalog import (  # noqa: F401
     features_q,
     impute_q,
     joins_q,
+    models_q,
     profile_q,
     scores_q,
     tables_q,

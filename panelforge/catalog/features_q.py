@@ -125,12 +125,26 @@ def model_matrix(spark, sf):
 
 @query(
     "feature_groups",
-    sql("""SELECT 'load' AS feature_group, 13::BIGINT AS n_features, count(*) AS row_count FROM panel
-           UNION ALL SELECT 'weather', 11, count(*) FROM panel
-           UNION ALL SELECT 'temporal', 11, count(*) FROM panel
-           UNION ALL SELECT 'import', 2, count(*) FROM panel
-           UNION ALL SELECT 'country', 25, count(*) FROM panel
-           UNION ALL SELECT 'generation', 2, count(*) FROM panel"""),
+    sql(
+        "SELECT feature_group, n_features, (SELECT count(*) FROM panel) AS row_count FROM ("
+        + " UNION ALL ".join(
+            f"""SELECT '{g}' AS feature_group, count(*) FILTER (WHERE {rule}) AS n_features
+                FROM feature_names"""
+            for g, rule in (
+                ("load", "lower(n) LIKE '%load%'"),
+                ("weather", "regexp_matches(lower(n), 'temp|wind|solar|ssrd')"),
+                ("temporal", "regexp_matches(n, 'hour_|month_|day_of_week|weekend|peak')"),
+                ("import", "lower(n) LIKE '%import%'"),
+                ("country", "contains(n, 'country_')"),
+                ("generation", "contains(n, 'Actual_Aggregated')"),
+            )
+        ) + ")",
+        {
+            "feature_names": "SELECT * FROM (VALUES " + ", ".join(
+                f"('{c}')" for c in (*MODEL_FEATURES, *GENERATION, *[f"country_{k}" for k in NATIONS])
+            ) + ") t(n)"
+        },
+    ),
 )
 def feature_groups(spark, sf):
     """Features per category, beside the rows of the matrix they describe."""
