@@ -8,6 +8,7 @@ from panelforge.catalog import (  # noqa: F401
     models_q,
     profile_q,
     scores_q,
+    streaming_q,
     tables_q,
     windows_q,
 )

@@ -183,14 +183,13 @@ def _project(row, steps: int, low: float, high: float) -> list[float]:
     shocks = [
         z[j] - long_ar[0] - long_ar[1:] @ z[j + 1 : j + 1 + LONG] for j in range(MAX_Q)
     ]
-    values, level, out = list(z), y[0], []
+    values, level, out = list(z[:MAX_P]), y[0], []
     for _ in range(steps):
-        nxt = row.const
-        nxt += sum(a * values[k] for k, a in enumerate(row.ar))
-        nxt += sum(b * shocks[k] for k, b in enumerate(row.ma))
-        values.insert(0, nxt)
-        shocks.insert(0, 0.0)
-        level = level + nxt if row.d else nxt
+        ahead = row.const + sum(a * v for a, v in zip(row.ar, values))
+        ahead += sum(b * e for b, e in zip(row.ma, shocks))
+        values = [ahead, *values[: MAX_P - 1]]
+        shocks = [0.0, *shocks[: MAX_Q - 1]]
+        level = level + ahead if row.d else ahead
         out.append(float(min(max(level + row.center, low), high)))
     return out
 
