@@ -6,6 +6,7 @@ from panelforge.catalog import (  # noqa: F401
     impute_q,
     joins_q,
     models_q,
+    plans_q,
     profile_q,
     scores_q,
     streaming_q,
