@@ -10,6 +10,7 @@ from panelforge.config import MODEL_FEATURES
 from panelforge.operators import features as FE
 from panelforge.operators.scores import score_panel
 from panelforge.operators.splits import Splits, with_split
+from panelforge.session import reliable_checkpoint
 from panelforge.sources import benchdata as B
 
 SPLITS = Splits("1999-12-31", "2000-12-31")
@@ -117,7 +118,7 @@ GENERATION = ["Nuclear__Actual_Aggregated", "Solar__Actual_Aggregated"]
 def model_matrix(spark, sf):
     """Wanted features, generation columns that are dense enough, 0 for gaps and
     the country as 0/1 columns."""
-    rows = features(spark, sf)
+    rows = reliable_checkpoint(features(spark, sf), "features")   # read twice below
     names = FE.final_features(rows)
     matrix = FE.model_matrix(rows, names, NATIONS, keep=["index"]).drop("country")
     return _round_all(matrix, [c for c in names if c not in GENERATION])
@@ -148,7 +149,7 @@ def model_matrix(spark, sf):
 )
 def feature_groups(spark, sf):
     """Features per category, beside the rows of the matrix they describe."""
-    rows = features(spark, sf)
+    rows = reliable_checkpoint(features(spark, sf), "features")
     names = [c for c in FE.model_matrix(rows, FE.final_features(rows), NATIONS).columns if c != "country"]
     lines = [
         F.struct(F.lit(g).alias("feature_group"), F.lit(n).cast("long").alias("n_features"))

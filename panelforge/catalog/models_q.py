@@ -26,9 +26,9 @@ def matrix(spark, sf):
     """Train and validation parts with features, label and weights, written once
     since every model reads them many times."""
     rows = FE.with_label(FE.clean_features(score_panel(B.panel(spark, sf))))
+    rows = reliable_checkpoint(rows, "features")
     names = FE.final_features(rows)
     table = FE.model_matrix(rows, names, [], keep=["index", SCORE, "label"])
-    table = reliable_checkpoint(table, "matrix")
     train, valid, test = split_by_date(table, splits=SPLITS)
     train = FE.with_class_weights(train).withColumn(
         "weight_3", F.when(F.col("label") == 1, 3.0).otherwise(1.0)
@@ -108,9 +108,9 @@ def feature_importance(spark, sf):
 @query("save_model_bundle")
 def save_model_bundle(spark, sf):
     """Save a pipeline and its features, load them again and predict."""
-    rows = FE.with_label(FE.clean_features(score_panel(B.panel(spark, sf))))
+    rows = reliable_checkpoint(FE.clean_features(score_panel(B.panel(spark, sf))), "features")
     names = FE.final_features(rows)
-    table = reliable_checkpoint(FE.model_matrix(rows, names, [], keep=["index", SCORE]), "bundle")
+    table = FE.model_matrix(rows, names, [], keep=["index", SCORE])
     train, _, test = split_by_date(table, splits=SPLITS)
     path = scratch_dir(spark, "model")
     ML.save_bundle(ML.fit_pipeline(train, names, ML.tree_regressors(SCORE)["Decision Tree (shallow)"]),

@@ -14,6 +14,7 @@ from panelforge.operators.scores import (
     with_load_errors,
     with_reserve_margin,
 )
+from panelforge.session import reliable_checkpoint
 from panelforge.sources import benchdata as B
 
 
@@ -302,7 +303,7 @@ GRID = {
 
 
 def _scenario_scores(spark, sf):
-    stats = country_stats(spark, sf)
+    stats = reliable_checkpoint(country_stats(spark, sf), "stats")   # one row per country
     return X.scenario_scores(stats, stats.agg(F.max("avg_load")).scalar())
 
 

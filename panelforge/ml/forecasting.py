@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from panelforge.config import MIN_OBSERVATIONS
 from panelforge.operators.blocks import row_frames
 from panelforge.operators.evaluate import regression_metrics
+from panelforge.session import reliable_checkpoint
 
 LONG = 4          # lags of the long autoregression
 MAX_P = 2
@@ -53,11 +54,10 @@ def prepare_series(
     return known.join(sizes.filter(F.col("n_obs") >= min_rows), list(keys))
 
 
-def _products(names: Sequence[str]) -> list:
+def _products(names: Sequence[str], where=None) -> list:
     """Sums of all pairwise products, upper triangle by rows."""
-    return [
-        F.sum(F.col(a) * F.col(b)) for i, a in enumerate(names) for b in names[i:]
-    ]
+    pairs = [F.col(a) * F.col(b) for i, a in enumerate(names) for b in names[i:]]
+    return [F.sum(p if where is None else F.when(where, p)) for p in pairs]
 
 
 def _matrix(flat, width: int) -> np.ndarray:
@@ -136,9 +136,11 @@ def fit_arima(
     series: DataFrame, keys: Sequence[str], time: str, value: str, span: str | None = None
 ) -> DataFrame:
     """One row per key: p, d, q, const, ar, ma, sigma2, aic, and what a forecast
-    needs: the long autoregression, the mean and the last values."""
+    needs: the long autoregression, the mean and the last values.
+
+    The lagged rows are written once; three aggregates then read them."""
     keys = list(keys)
-    lagged = _lagged(series, keys, [time], value, span)
+    lagged = reliable_checkpoint(_lagged(series, keys, [time], value, span), "lagged")
     order = _difference_order(lagged, keys)
     rows = lagged.join(order, keys)
     z = {
@@ -146,10 +148,20 @@ def fit_arima(
         for k in range(REACH + 1)
     }
     rows = rows.withColumns(z).withColumn("one", F.lit(1.0))
-    whole = rows.filter(F.col(f"y{REACH + 1}").isNotNull())
-    first = whole.groupBy(*keys).agg(
-        F.array(*_products(["one", *[f"z{k}" for k in range(1, LONG + 1)], "z0"])).alias("_s")
-    ).select(*keys, _long_autoregression("_s").alias("long_ar"))
+    has_lags = F.col(f"y{REACH + 1}").isNotNull()
+    whole = rows.filter(has_lags)
+    first = rows.groupBy(*keys).agg(
+        F.array(
+            *_products(["one", *[f"z{k}" for k in range(1, LONG + 1)], "z0"], has_lags)
+        ).alias("_s"),
+        F.max_by(F.array(*[f"y{k}" for k in range(REACH + 2)]), time).alias("last_values"),
+        F.max(time).alias("last_time"),
+        F.max("center").alias("center"),
+        F.max("d").alias("d"),
+    ).filter(F.col("_s")[0].isNotNull()).select(
+        *keys, "last_values", "last_time", "center", "d",
+        _long_autoregression("_s").alias("long_ar"),
+    )
 
     def residual(back: int):
         fitted = F.col("long_ar")[0]
@@ -158,17 +170,13 @@ def fit_arima(
         return F.col(f"z{back}") - fitted
 
     shocks = {f"e{j}": residual(j) for j in range(1, MAX_Q + 1)}
-    second = whole.join(first, keys).withColumns(shocks)
+    second = whole.join(first.select(*keys, "long_ar"), keys).withColumns(shocks)
     names = ["one", *[f"z{k}" for k in range(1, MAX_P + 1)], *shocks, "z0"]
     chosen = second.groupBy(*keys).agg(
         F.array(*_products(names)).alias("_s"), F.count(F.lit(1)).alias("rows_used")
     ).select(*keys, "rows_used", _choose_model("_s").alias("m"))
-    tails = rows.groupBy(*keys).agg(
-        F.max_by(F.array(*[f"y{k}" for k in range(REACH + 2)]), time).alias("last_values"),
-        F.max(time).alias("last_time"), F.first("center").alias("center"), F.first("d").alias("d"),
-    )
     return (
-        chosen.join(first, keys).join(tails, keys)
+        chosen.join(first, keys)
         .select(
             *keys, "m.p", "d", "m.q", "m.const", "m.ar", "m.ma", "m.sigma2", "m.aic",
             "rows_used", "long_ar", "center", "last_values", "last_time",

@@ -17,7 +17,7 @@ from panelforge.operators.columns import (
     feature_candidates,
     one_hot,
 )
-from panelforge.operators.joins import with_group_stats
+from panelforge.operators.joins import with_group_stats, with_panel_stats
 
 LAGS = (1, 24)   # fixed values: rows back
 
@@ -37,7 +37,6 @@ def with_history(
     def columns(w):
         window = w.rowsBetween(-(ROLLING_ROWS - 1), 0)
         out = {f"load_lag_{n}h": F.lag(load, n).over(w) for n in LAGS}
-        out |= {f"load_change_{n}h": F.col(load) - F.lag(load, n).over(w) for n in LAGS}
         out["load_rolling_mean_24h"] = F.avg(load).over(window)
         out["load_rolling_std_24h"] = F.stddev_samp(load).over(window)
         out["temp_lag_1h"] = F.lag("mean_temperature_c", 1).over(w)
@@ -48,7 +47,10 @@ def with_history(
             )
         return out
 
-    return row_frames(df, keys, order, columns, before=ROLLING_ROWS, span=span)
+    framed = row_frames(df, keys, order, columns, before=ROLLING_ROWS, span=span)
+    return framed.withColumns(
+        {f"load_change_{n}h": F.col(load) - F.col(f"load_lag_{n}h") for n in LAGS}
+    )
 
 
 def with_interactions(df: DataFrame) -> DataFrame:
@@ -69,12 +71,13 @@ def with_interactions(df: DataFrame) -> DataFrame:
     )
 
 
-def with_seasonal_means(df: DataFrame, keys=("country",)) -> DataFrame:
+def with_seasonal_means(df: DataFrame, keys=("country",), panel: bool = True) -> DataFrame:
     """Means per key and hour, and per key and weekday, over the whole frame;
-    and how far each row lies from them."""
+    and how far each row lies from them. ``panel=False`` is for raw readings."""
     load = F.avg("Actual_Load")
-    out = with_group_stats(df, [*keys, "hour"], {"hourly_avg_load": load})
-    out = with_group_stats(out, [*keys, "day_of_week"], {"daily_avg_load": load})
+    put = with_panel_stats if panel else with_group_stats
+    out = put(df, [*keys, "hour"], {"hourly_avg_load": load})
+    out = put(out, [*keys, "day_of_week"], {"daily_avg_load": load})
     return out.withColumns(
         {
             f"load_deviation_from_{p}_avg": F.col("Actual_Load") - F.col(f"{p}_avg_load")
@@ -88,9 +91,10 @@ def clean_features(
     span: str | None = None,
 ) -> DataFrame:
     """All features without target leakage. ``imports=False`` leaves out those
-    made of past imports."""
-    seasonal = with_seasonal_means(with_calendar(df, order[0]), keys)
-    return with_history(with_interactions(seasonal), keys, order, imports, span)
+    made of past imports. On a panel (no ``span``) the windows by key come first;
+    those by key and hour or weekday then use the same shuffle."""
+    history = with_history(with_interactions(df), keys, order, imports, span)
+    return with_seasonal_means(with_calendar(history, order[0]), keys, panel=span is None)
 
 
 def final_features(df: DataFrame, wanted: Sequence[str] = MODEL_FEATURES) -> list[str]:
@@ -135,7 +139,7 @@ def with_class_weights(df: DataFrame, label: str = "label", positive: float | No
     if positive is not None:
         weight = F.when(F.col(label) == 1, float(positive)).otherwise(1.0)
         return df.withColumn("weight", weight)
-    total = df.filter(F.col(label).isNotNull()).agg(F.count(F.lit(1))).scalar()
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    total = sizes.agg(F.sum("_n")).scalar()
     weights = sizes.select(label, (total / (F.lit(2.0) * F.col("_n"))).alias("weight"))
     return df.join(weights, label, "left")

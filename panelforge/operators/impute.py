@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from panelforge.config import FILL_METHODS, MASK_SHARE_PERCENT
 from panelforge.operators.blocks import fill_frames
+from panelforge.operators.joins import with_panel_stats
 from panelforge.operators.percentiles import percentile_disc
 
 METHODS = ("mean", "median", "ffill_bfill")
@@ -38,12 +39,15 @@ def mask_cells(
     return df.withColumns(new)
 
 
+def _key_values(columns: Sequence[str]) -> dict[str, Column]:
+    """Mean and median of each column, as aggregates."""
+    out = {f"{c}__mean": F.avg(c) for c in columns}
+    return out | {f"{c}__median": percentile_disc(c, 0.5) for c in columns}
+
+
 def key_fill_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Mean and median per key for all columns, in one aggregate."""
-    return df.groupBy(*keys).agg(
-        *[F.avg(c).alias(f"{c}__mean") for c in columns],
-        *[percentile_disc(c, 0.5).alias(f"{c}__median") for c in columns],
-    )
+    return df.groupBy(*keys).agg(*[c.alias(n) for n, c in _key_values(columns).items()])
 
 
 def fill_all_ways(
@@ -52,13 +56,13 @@ def fill_all_ways(
     """Fill each column by mean, by median and by its neighbours in time.
 
     ``columns`` maps result prefix to source; the results are prefix_mean,
-    prefix_median and prefix_ffill_bfill. One aggregate, one join, one sort."""
+    prefix_median and prefix_ffill_bfill. For panels: all windows are by key, so
+    one shuffle and one sort serve them."""
     sources = list(columns.values())
-    stats = key_fill_values(df, keys, sources)
     near = fill_frames(
         df, keys, order, both={f"{p}_ffill_bfill": c for p, c in columns.items()}
     )
-    joined = near.join(stats, list(keys), "left")
+    joined = with_panel_stats(near, keys, _key_values(sources))
     filled = {}
     for prefix, c in columns.items():
         filled[f"{prefix}_mean"] = F.coalesce(F.col(c), F.col(f"{c}__mean"))
@@ -114,17 +118,17 @@ def apply_best(
     choice = best.groupBy(key).agg(
         *[F.max(F.when(F.col("column") == c, F.col("method"))).alias(f"{c}__m") for c in columns]
     )
-    values = choice.join(key_fill_values(df, [key], columns), key, "left").select(
-        key,
-        *[
-            F.when(F.col(f"{c}__m") == "mean", F.col(f"{c}__mean"))
-            .when(F.col(f"{c}__m") == "median", F.col(f"{c}__median"))
-            .alias(f"{c}__v")
+    known = with_panel_stats(df.join(choice, key, "left"), [key], _key_values(columns))
+    started = known.withColumns(
+        {
+            c: F.coalesce(
+                F.col(c),
+                F.when(F.col(f"{c}__m") == "mean", F.col(f"{c}__mean")).when(
+                    F.col(f"{c}__m") == "median", F.col(f"{c}__median")
+                ),
+            )
             for c in columns
-        ],
-    )
-    started = df.join(values, key, "left").withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"{c}__v")) for c in columns}
+        }
     )
     return _finish(started, [key], order, columns, columns, df.columns)
 
@@ -152,13 +156,16 @@ def apply_by_map(
     Columns that are not there are skipped. ``stats_from`` takes means and
     medians from another frame, e.g. the training part."""
     by = {m: [c for c in columns if methods.get(c) == m] for m in METHODS}
-    source = df if stats_from is None else stats_from
-    stats = source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.avg(c).alias(f"{c}__v") for c in by["mean"]],
-        *[percentile_disc(c, 0.5).alias(f"{c}__v") for c in by["median"]],
-    )
-    started = df.join(stats, list(keys), "left").withColumns(
+    stats = {f"{c}__v": F.avg(c) for c in by["mean"]}
+    stats |= {f"{c}__v": percentile_disc(c, 0.5) for c in by["median"]}
+    if stats_from is None:
+        known = with_panel_stats(df, keys, stats)
+    else:
+        other = stats_from.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in stats.items()]
+        )
+        known = df.join(other, list(keys), "left")
+    started = known.withColumns(
         {c: F.coalesce(F.col(c), F.col(f"{c}__v")) for c in (*by["mean"], *by["median"])}
     )
     return _finish(started, keys, order, by["ffill_bfill"], columns, df.columns)

@@ -11,7 +11,7 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.numbers import great_circle_km
@@ -35,11 +35,20 @@ def lookup(
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], stats: dict[str, Column]) -> DataFrame:
-    """Put per-key aggregates on every row: aggregate first, then join the few
-    result rows back, so no task holds a whole key."""
+    """Put per-key aggregates on every row of a raw table: aggregate first, then
+    join the few result rows back, so no task holds a whole key. ``df`` is read
+    twice."""
     return df.join(df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), list(keys), "left")
 
 
+def with_panel_stats(df: DataFrame, keys: Sequence[str], stats: dict[str, Column]) -> DataFrame:
+    """The same for a panel, where a key holds at most one row per period: a
+    window, which runs the plan below once and needs no further shuffle when the
+    rows are already partitioned by some of the keys."""
+    window = Window.partitionBy(*keys)
+    return df.withColumns({n: c.over(window) for n, c in stats.items()})
+
+
 def nearest_in_time(
     df: DataFrame, keys: Sequence[str], time: str, instant: Column
 ) -> DataFrame:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.config import TRAILING_ROWS
 from panelforge.functions import scoring as S
 from panelforge.functions.numbers import relative_error
 from panelforge.operators.blocks import row_frames
-from panelforge.operators.percentiles import exact_percentiles, key_percentiles
+from panelforge.operators.percentiles import exact_percentiles, percentile_disc
 
 
 def with_reserve_margin(
@@ -25,13 +25,11 @@ def with_reserve_margin(
     """Margin of the load against its mean over this row and ``rows`` before."""
 
     def columns(window):
-        mean = F.avg(load).over(window.rowsBetween(-rows, 0))
-        return {
-            "load_trailing_avg": mean,
-            "reserve_margin_ml": S.reserve_margin(F.col(load), mean),
-        }
+        return {"load_trailing_avg": F.avg(load).over(window.rowsBetween(-rows, 0))}
 
-    return row_frames(df, keys, order, columns, before=rows, span=span)
+    framed = row_frames(df, keys, order, columns, before=rows, span=span)
+    margin = S.reserve_margin(F.col(load), F.col("load_trailing_avg"))
+    return framed.withColumn("reserve_margin_ml", margin)
 
 
 def with_load_errors(
@@ -53,14 +51,22 @@ def with_flow_limits(
     high: float = 0.90,
     one_row_per_period: bool = True,
 ) -> DataFrame:
-    """Per-key percentiles of the flow on every row. They are aggregated first
-    and joined back. ``one_row_per_period=False`` is for raw tables, whose keys
-    may hold any number of rows."""
+    """Per-key percentiles of the flow on every row.
+
+    A panel has one row per key and period, so a window over the key is bounded
+    and shares the shuffle of the trailing window; joining aggregates back would
+    run the whole plan below twice. ``one_row_per_period=False`` is for raw
+    tables, whose keys may hold any number of rows."""
     keys = list(keys)
     if one_row_per_period:
-        limits = key_percentiles(df, keys, {"P10_net": (net, low), "P90_net": (net, high)})
-    else:
-        limits = exact_percentiles(df, keys, net, {"P10_net": low, "P90_net": high})
+        key = Window.partitionBy(*keys)
+        return df.withColumns(
+            {
+                "P10_net": percentile_disc(net, low).over(key),
+                "P90_net": percentile_disc(net, high).over(key),
+            }
+        )
+    limits = exact_percentiles(df, keys, net, {"P10_net": low, "P90_net": high})
     return df.join(limits, keys, "left")
 
 
