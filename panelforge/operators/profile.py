@@ -57,9 +57,11 @@ def key_stats(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 
 
 def _corr(a: str, b: str) -> Column:
-    """Pearson correlation over rows where both are known; NULL when undefined."""
-    value = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
-    return F.when(~F.isnan(value), value)
+    """Pearson correlation over rows where both are known; NULL when undefined,
+    e.g. for a constant column, where the built-in one stops with an error."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
+    return F.try_divide(F.regr_sxy(y, x), spread)
 
 
 def target_correlation(

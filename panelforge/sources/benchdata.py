@@ -55,23 +55,24 @@ def sparse_readings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _nations(spark: SparkSession, sf: str, key: str) -> DataFrame:
-    return table(spark, sf, "nation").select(
-        F.col("n_nationkey").alias(key), F.col("n_name").alias("country")
+def _with_nation(spark: SparkSession, sf: str, name: str, key: str, nation: str, out: str):
+    """(key, nation name) of customers or suppliers: the small tables are joined
+    first, so that a fact table needs one join."""
+    nations = table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias(nation), F.col("n_name").alias(out)
     )
+    return table(spark, sf, name).select(key, nation).join(nations, nation).select(key, out)
 
 
 def load_readings(spark: SparkSession, sf: str) -> DataFrame:
     """Orders by the customer's nation: the load, and its forecast for orders of
     the three leading priorities."""
-    customers = table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("_n")
-    )
+    customers = _with_nation(spark, sf, "customer", "c_custkey", "c_nationkey", "country")
     ahead = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM")
     return (
         table(spark, sf, "orders")
-        .join(customers, "o_custkey")
-        .join(_nations(spark, sf, "_n"), "_n")
+        .withColumnRenamed("o_custkey", "c_custkey")
+        .join(customers, "c_custkey")
         .select(
             "country",
             utc("o_orderdate").alias("index"),
@@ -104,20 +105,17 @@ def load_and_forecast(spark: SparkSession, sf: str) -> DataFrame:
 
 def flow_readings(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as flows from the supplier's to the customer's nation."""
-    def by(name, key, nation, out):
-        return table(spark, sf, name).select(key, F.col(nation).alias("_n")).join(
-            _nations(spark, sf, "_n").withColumnRenamed("country", out), "_n"
-        ).drop("_n")
-
+    suppliers = _with_nation(spark, sf, "supplier", "s_suppkey", "s_nationkey", "from_country")
+    customers = _with_nation(spark, sf, "customer", "c_custkey", "c_nationkey", "to_country")
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey")
     )
     return (
         table(spark, sf, "lineitem")
         .select("l_orderkey", F.col("l_suppkey").alias("s_suppkey"), "l_shipdate", "l_extendedprice")
-        .join(by("supplier", "s_suppkey", "s_nationkey", "from_country"), "s_suppkey")
+        .join(suppliers, "s_suppkey")
         .join(orders, "l_orderkey")
-        .join(by("customer", "c_custkey", "c_nationkey", "to_country"), "c_custkey")
+        .join(customers, "c_custkey")
         .select(
             "from_country",
             "to_country",
@@ -133,15 +131,13 @@ def flow(spark: SparkSession, sf: str) -> DataFrame:
 
 def supply_readings(spark: SparkSession, sf: str) -> DataFrame:
     """Line items by the supplier's nation, with one column per measured series."""
-    suppliers = table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("_n")
-    )
+    suppliers = _with_nation(spark, sf, "supplier", "s_suppkey", "s_nationkey", "country")
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size")
     size = F.col("p_size")
     return (
         table(spark, sf, "lineitem")
-        .join(suppliers, "l_suppkey")
-        .join(_nations(spark, sf, "_n"), "_n")
+        .withColumnRenamed("l_suppkey", "s_suppkey")
+        .join(suppliers, "s_suppkey")
         .join(parts, "l_partkey")
         .select(
             "country",
