@@ -82,7 +82,7 @@ def suffix_columns(spark, sf):
 )
 def leakage_check(spark, sf):
     """Columns that would leak the target, with their number of known values."""
-    scored = score_panel(B.panel(spark, sf, supply=False))
+    scored = score_panel(B.panel(spark, sf, with_supply=False))
     bad = C.leaking_columns(scored.columns)
     return scored.agg(*[F.count(c).alias(c) for c in bad]).unpivot(
         [], bad, "column_name", "known"
@@ -270,7 +270,7 @@ def split_by_date(spark, sf):
 )
 def threshold_filter(spark, sf):
     score = F.col("grid_stress_score")
-    return score_panel(B.panel(spark, sf, supply=False)).filter(score >= 50).select(
+    return score_panel(B.panel(spark, sf, with_supply=False)).filter(score >= 50).select(
         "country", "index", "grid_stress_score",
         (score >= 50).cast("int").alias("high_risk"), (score >= 66).cast("int").alias("warning"),
     )
@@ -394,7 +394,7 @@ def ratios(spark, sf):
     from panelforge.functions.numbers import error_percent, ratio
 
     load, fc = F.col("Actual_Load"), F.col("Forecasted_Load")
-    rows = B.panel(spark, sf, supply=False).select(
+    rows = B.panel(spark, sf, with_supply=False).select(
         "country", "index", (load - fc).alias("load_forecast_diff"),
         ratio(load, fc).alias("load_forecast_ratio"),
         error_percent(fc, load).alias("load_forecast_error_pct"),
@@ -435,7 +435,7 @@ def null_fill(spark, sf):
 def case_bands(spark, sf):
     from panelforge.functions.scoring import target_level
 
-    return score_panel(B.panel(spark, sf, supply=False)).select(
+    return score_panel(B.panel(spark, sf, with_supply=False)).select(
         "country", "index", target_level(F.col("grid_stress_score")).alias("level")
     )
 

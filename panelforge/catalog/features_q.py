@@ -162,7 +162,7 @@ LABELED = {"labeled": f"""SELECT *, (grid_stress_score >= 50)::INT AS label, {SP
 
 
 def labeled(spark, sf):
-    rows = FE.with_label(score_panel(B.panel(spark, sf, supply=False)))
+    rows = FE.with_label(score_panel(B.panel(spark, sf, with_supply=False)))
     return with_split(rows, splits=SPLITS)
 
 

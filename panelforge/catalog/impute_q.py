@@ -112,12 +112,12 @@ def _maes(spark, sf):
     return M.method_mae(panel(spark, sf), ["country"], ["index"], GEN, cell_key())
 
 
-MAE_SQL = sql("""SELECT country, "column", method, round(mae, 4) AS mae FROM maes""", MAES)
+MAE_SQL = sql("""SELECT country, "column", method, round(mae, 6) AS mae FROM maes""", MAES)
 
 
 @query("masked_mae", MAE_SQL)
 def masked_mae(spark, sf):
-    return rounded(_maes(spark, sf), "mae", places=4)
+    return rounded(_maes(spark, sf), "mae")
 
 
 @query("impute_method_mae", MAE_SQL)
@@ -125,12 +125,12 @@ def impute_method_mae(spark, sf):
     return masked_mae(spark, sf)
 
 
-BEST_SQL = sql("""SELECT "column", country, method, round(mae, 4) AS mae FROM best""", BEST)
+BEST_SQL = sql("""SELECT "column", country, method, round(mae, 6) AS mae FROM best""", BEST)
 
 
 @query("argmin_per_group", BEST_SQL)
 def argmin_per_group(spark, sf):
-    return rounded(M.best_method(_maes(spark, sf), "country"), "mae", places=4)
+    return rounded(M.best_method(_maes(spark, sf), "country"), "mae")
 
 
 @query("impute_best_method", BEST_SQL)

@@ -107,12 +107,11 @@ def net_flow(spark, sf):
            FROM panel"""),
 )
 def inner_join_chain(spark, sf):
-    """Six inputs joined on time and key."""
+    """Load, net flow, supply series (generation, weather, renewables) and load
+    forecast joined on time and key. Each is an aggregate by that key, so the
+    joins add no shuffle."""
     wide = J.align(
-        [
-            B.load(spark, sf), B.generation(spark, sf), B.net(spark, sf), B.weather(spark, sf),
-            B.renewables(spark, sf), B.forecast(spark, sf),
-        ],
+        [B.load(spark, sf), B.supply(spark, sf), B.net(spark, sf), B.forecast(spark, sf)],
         ["index", "country"],
     ).drop("Solar__Actual_Aggregated", "Marine__Actual_Aggregated")
     return rounded(

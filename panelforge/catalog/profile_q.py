@@ -25,7 +25,7 @@ PRED = {
 
 
 def scored(spark, sf):
-    return score_panel(B.panel(spark, sf, supply=False))
+    return score_panel(B.panel(spark, sf, with_supply=False))
 
 
 def predicted(spark, sf):

@@ -29,7 +29,7 @@ from panelforge.sources import benchdata as B
 )
 def stress_score(spark, sf):
     """The flagship: resample, join, window, percentile and rule scoring."""
-    scored = score_panel(B.panel(spark, sf, supply=False))
+    scored = score_panel(B.panel(spark, sf, with_supply=False))
     scored = rounded(scored, "reserve_margin_ml", "load_rel_error")
     return money(scored, "Actual_Load", "net_imports").select(
         "country", "index", "Actual_Load", "reserve_margin_ml", "load_rel_error", "net_imports",
@@ -38,7 +38,7 @@ def stress_score(spark, sf):
 
 
 def _panel(spark, sf):
-    return B.panel(spark, sf, supply=False)
+    return B.panel(spark, sf, with_supply=False)
 
 
 @query(
@@ -265,19 +265,19 @@ def country_stats(spark, sf):
 @query(
     "scenario_presets",
     sql("""SELECT country, scenario, temperature::DOUBLE AS temperature, wind::DOUBLE AS wind,
-                  solar::DOUBLE AS solar, round(usual * load_multiplier::DOUBLE, 2) AS load
+                  solar::DOUBLE AS solar, round(usual * load_multiplier::DOUBLE, 6) AS load
            FROM means, presets""", {**PRESETS, **MEANS}),
 )
 def scenario_presets(spark, sf):
     """The presets applied to the usual load of each country."""
     usual = group_mean(B.load(spark, sf), ["country"], {"Actual_Load": "usual"})
     grid = X.per_scenario(usual).withColumn("load", F.col("usual") * F.col("load_multiplier"))
-    return money(grid.drop("usual", "load_multiplier"), "load")
+    return rounded(grid.drop("usual", "load_multiplier"), "load")
 
 
 @query(
     "scenario_cross",
-    sql("""SELECT country, "index", scenario, round(Actual_Load * load_multiplier::DOUBLE, 2) AS load,
+    sql("""SELECT country, "index", scenario, round(Actual_Load * load_multiplier::DOUBLE, 6) AS load,
                   temperature::DOUBLE AS temperature
            FROM load, presets""", PRESETS),
 )
@@ -285,7 +285,7 @@ def scenario_cross(spark, sf):
     """Every scenario for every row of the panel, without a join."""
     grid = X.per_scenario(B.load(spark, sf))
     load = (F.col("Actual_Load") * F.col("load_multiplier")).alias("load")
-    return money(grid.select("country", "index", "scenario", load, "temperature"), "load")
+    return rounded(grid.select("country", "index", "scenario", load, "temperature"), "load")
 
 
 GRID = {
@@ -309,13 +309,13 @@ def _scenario_scores(spark, sf):
 
 @query(
     "scenario_scores",
-    sql(f"""SELECT country, scenario, round(load, 2) AS load, active_targets, points,
+    sql(f"""SELECT country, scenario, round(load, 6) AS load, active_targets, points,
                    round(score, 4) AS score, {LEVEL.format('score')} AS level FROM grid_scored""", GRID),
 )
 def scenario_scores(spark, sf):
     rows = _scenario_scores(spark, sf)
-    rows = money(rows.select("country", "scenario", "load", "active_targets", "points", "score", "level"), "load")
-    return rounded(rows, "score", places=4)
+    rows = rows.select("country", "scenario", "load", "active_targets", "points", "score", "level")
+    return rounded(rounded(rows, "load"), "score", places=4)
 
 
 @query(

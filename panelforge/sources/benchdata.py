@@ -18,8 +18,25 @@ from panelforge.operators.resample import resample_mean
 KEYS = ["country", "index"]
 
 
+# Declared, so that opening a table starts no job to infer its schema.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
 def cents(column: str) -> Column:
@@ -175,6 +192,11 @@ def _supply(spark: SparkSession, sf: str, series: dict[str, str]) -> DataFrame:
     )
 
 
+def supply(spark: SparkSession, sf: str) -> DataFrame:
+    """All supply series in one pass over the line items."""
+    return _supply(spark, sf, {**WEATHER, **RENEWABLES, **GENERATION})
+
+
 def generation(spark: SparkSession, sf: str) -> DataFrame:
     return _supply(spark, sf, GENERATION)
 
@@ -191,11 +213,12 @@ def net(spark: SparkSession, sf: str) -> DataFrame:
     return net_flow(flow(spark, sf))
 
 
-def panel(spark: SparkSession, sf: str, supply: bool = True) -> DataFrame:
+
+def panel(spark: SparkSession, sf: str, with_supply: bool = True) -> DataFrame:
     """The joined panel. Series from the same readings come from one pass."""
     frames = [load_and_forecast(spark, sf), net(spark, sf)]
-    if supply:
-        frames.append(_supply(spark, sf, {**WEATHER, **RENEWABLES, **GENERATION}))
+    if with_supply:
+        frames.append(supply(spark, sf))
     return align(frames, KEYS)
 
 
