@@ -180,7 +180,8 @@ def binary_label(spark, sf):
                   / (2.0 * count(*) OVER (PARTITION BY label)), 6) AS weight FROM labeled""", LABELED),
 )
 def class_weights(spark, sf):
-    rows = FE.with_class_weights(labeled(spark, sf)).select("country", "index", "label", "weight")
+    known = labeled(spark, sf).select("country", "index", "label")
+    rows = FE.with_class_weights(reliable_checkpoint(known, "labels")).select("country", "index", "label", "weight")
     return rounded(rows, "weight")
 
 

@@ -8,6 +8,7 @@ from panelforge.catalog.registry import query, rounded
 from panelforge.catalog.sqltext import with_fragments as sql
 from panelforge.operators import impute as M
 from panelforge.operators.columns import drop_all_null, suffix_columns
+from panelforge.session import reliable_checkpoint
 from panelforge.sources import benchdata as B
 
 GEN = ("Nuclear__Actual_Aggregated", "Solar__Actual_Aggregated", "Biomass__Actual_Consumption")
@@ -156,8 +157,9 @@ APPLIED = {
         + " FROM started", APPLIED),
 )
 def impute_apply_best(spark, sf):
-    best = M.best_method(_maes(spark, sf), "country")
-    return rounded(M.apply_best(panel(spark, sf), "country", ["index"], GEN, best), *GEN, places=4)
+    rows = reliable_checkpoint(panel(spark, sf), "generation")   # measured, then filled
+    best = M.best_method(M.method_mae(rows, ["country"], ["index"], GEN, cell_key()), "country")
+    return rounded(M.apply_best(rows, "country", ["index"], GEN, best), *GEN, places=4)
 
 
 @query(

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
-from panelforge.catalog.features_q import FEATURES
+from panelforge.catalog.features_q import FEATURES, NATIONS
 from panelforge.catalog.registry import query, rounded
 from panelforge.catalog.sqltext import FRAGMENTS
 from panelforge.catalog.sqltext import with_fragments as sql
@@ -63,7 +61,9 @@ def batch_preparation(spark, sf):
     "live_preparation",
     sql(
         """SELECT country, "index", grid_stress_score, round(load_rolling_mean_24h, 6) AS load_rolling_mean_24h,
-                  imports_lag_1h, round(load_forecast_ratio, 6) AS load_forecast_ratio
+                  coalesce(imports_lag_1h, 0)::DOUBLE AS imports_lag_1h,
+                  round(load_forecast_ratio, 6) AS load_forecast_ratio,
+                  (country = 'NATION_1')::INT AS country_NATION_1, (country = 'NATION_24')::INT AS country_NATION_24
            FROM feats JOIN (SELECT country, "index", grid_stress_score FROM scored) USING (country, "index")""",
         {**FRAGMENTS, **FEATURES},
     ),
@@ -71,14 +71,15 @@ def batch_preparation(spark, sf):
 def live_preparation(spark, sf):
     """The hourly re-run: features and actual scores, read back and joined."""
     name = f"live_{uuid.uuid4().hex[:12]}"
-    features, scores = P.run_live(inputs(spark, sf), name, scratch_dir(spark, name))
+    features, scores = P.run_live(inputs(spark, sf), name, scratch_dir(spark, name), NATIONS)
     rows = spark.table(scores).join(
         spark.table(features).select(
-            "country", "index", "load_rolling_mean_24h", "imports_lag_1h", "load_forecast_ratio"
+            "country", "index", "load_rolling_mean_24h", "imports_lag_1h", "load_forecast_ratio",
+            "country_NATION_1", "country_NATION_24",
         ),
         B.KEYS,
     )
     return rounded(rows.select(
         "country", "index", "grid_stress_score", "load_rolling_mean_24h", "imports_lag_1h",
-        F.col("load_forecast_ratio"),
+        "load_forecast_ratio", "country_NATION_1", "country_NATION_24",
     ), "load_rolling_mean_24h", "load_forecast_ratio")

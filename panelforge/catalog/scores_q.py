@@ -105,7 +105,7 @@ def flow_flags(spark, sf):
 def flow_flags_raw(spark, sf):
     """Limits of raw flows: keys of any size, exact all the same."""
     rows = B.flow_readings(spark, sf).select(F.col("from_country").alias("country"), "index", "Value")
-    rows = with_flow_limits(rows, net="Value", one_row_per_period=False)
+    rows = with_flow_limits(reliable_checkpoint(rows, "flows"), net="Value", one_row_per_period=False)
     low, high = S.flow_flags(*[F.col(c) for c in ("Value", "P10_net", "P90_net")])
     return rows.select("country", "index", "Value", low.alias("low"), high.alias("high"))
 

@@ -39,6 +39,20 @@ PLACES = (
     (13, 48.67, 19.69, "SK"),
 )
 
+# ---- fixed values: borders with a flow, in either or both directions -------------
+BORDERS = (
+    ("ES", "PT"), ("ES", "FR"), ("FR", "BE"), ("FR", "CH"), ("FR", "DE"), ("FR", "IT"),
+    ("BE", "NL"), ("BE", "DE"), ("NL", "DE"), ("NL", "GB"), ("GB", "NL"), ("GB", "FR"),
+    ("GB", "IE"), ("DE", "CZ"), ("DE", "PL"), ("DE", "CH"), ("DE", "DK"), ("DE", "AT"),
+    ("DK", "DE"), ("DK", "NO"), ("DK", "SE"), ("SE", "NO"), ("SE", "FI"), ("SE", "DK"),
+    ("NO", "NL"), ("NO", "GB"), ("NO", "SE"), ("NO", "DK"), ("FI", "EE"), ("FI", "SE"),
+    ("EE", "LV"), ("LV", "LT"), ("LT", "PL"), ("PL", "SK"), ("PL", "CZ"), ("CZ", "AT"),
+    ("CZ", "SK"), ("AT", "SI"), ("AT", "IT"), ("AT", "CH"), ("AT", "CZ"), ("AT", "DE"),
+    ("SI", "HR"), ("SI", "IT"), ("SI", "AT"), ("HR", "HU"), ("HR", "SI"), ("HU", "SK"),
+    ("HU", "RO"), ("HU", "HR"), ("HU", "AT"), ("SK", "HU"), ("SK", "CZ"), ("SK", "PL"),
+    ("RO", "BG"), ("RO", "HU"), ("BG", "GR"), ("BG", "RO"), ("GR", "BG"),
+)
+
 # ---- fixed values: columns of the old generation layout -------------------------
 LEGACY_COLUMNS = (
     "Hydro_Pumped_Storage", "Hydro_Run_of_river_and_poundage", "Hydro_Water_Reservoir",

@@ -12,15 +12,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from panelforge.config import COUNTRIES_WITHOUT_GENERATION, FILL_METHODS, Splits
+from panelforge.config import COUNTRIES, COUNTRIES_WITHOUT_GENERATION, FILL_METHODS, Splits
 from panelforge.operators.columns import drop_all_null, drop_legacy, suffix_columns
-from panelforge.operators.features import clean_features
+from panelforge.operators.features import clean_features, final_features, model_matrix
 from panelforge.operators.flows import net_flow
 from panelforge.operators.impute import apply_by_map
 from panelforge.operators.joins import align
 from panelforge.operators.resample import resample_mean
 from panelforge.operators.scores import score_panel
 from panelforge.operators.splits import with_split
+from panelforge.session import reliable_checkpoint
 from panelforge.sources.tables import overwrite_table
 
 KEYS = ["index", "country"]
@@ -77,13 +78,22 @@ def run_batch(inputs: Inputs, splits: Splits, name: str, root: str) -> str:
     return f"{name}_imputed"
 
 
-def run_live(inputs: Inputs, name: str, root: str) -> tuple[str, str]:
-    """The hourly re-run: a feature table and a table of actual scores. Both are
-    replaced as a whole."""
+KEPT_WITH_FEATURES = ("index", "grid_stress_score", "net_imports")   # shown beside a prediction
+
+
+def run_live(
+    inputs: Inputs, name: str, root: str, countries: Sequence[str] | None = None
+) -> tuple[str, str]:
+    """The hourly re-run: a feature table, with gaps as 0 and one flag per
+    country, and a table of actual scores. Both are replaced as a whole."""
+    if countries is None:
+        countries = [c for c in COUNTRIES if c not in COUNTRIES_WITHOUT_GENERATION]
     spark = inputs.flows.sparkSession
     overwrite_table(scored_panel(joined_panel(inputs)), f"{name}_panel", f"{root}/panel")
     panel = spark.table(f"{name}_panel")
-    overwrite_table(clean_features(imputed_panel(panel)), f"{name}_features", f"{root}/features")
+    rows = reliable_checkpoint(clean_features(imputed_panel(panel)), "features")   # read twice
+    matrix = model_matrix(rows, final_features(rows), countries, keep=KEPT_WITH_FEATURES)
+    overwrite_table(matrix, f"{name}_features", f"{root}/features")
     overwrite_table(
         panel.select("index", "country", "grid_stress_score"), f"{name}_scores", f"{root}/scores"
     )

@@ -166,6 +166,13 @@ def test_borders(spark):
     assert sorted(map(tuple, flows.both_directions(df).collect())) == [("A", "B"), ("B", "A")]
 
 
+def test_borders_of_the_configuration(spark):
+    df = spark.createDataFrame(list(config.BORDERS), "from_country string, to_country string")
+    got = {tuple(r) for r in flows.both_directions(df).collect()}
+    assert got == {p for a, b in config.BORDERS for p in ((a, b), (b, a))}
+    assert {c for p in config.BORDERS for c in p} <= set(config.COUNTRIES)
+
+
 def test_flow_ends(spark):
     df = spark.createDataFrame(
         [("A", "B", T0, 5.0), ("B", "A", T0, 2.0), ("A", "C", T0, 1.0)],
