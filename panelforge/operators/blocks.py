@@ -120,7 +120,9 @@ def row_frames(
 
     Without ``span`` the window covers whole keys: for panels, which hold one
     row per key and period. With ``span`` it works in blocks: for raw readings.
-    ``order[0]`` is the time column."""
+    "auto" measures the span. ``order[0]`` is the time column."""
+    if span == "auto":
+        span = choose_span(df, keys, order[0])
     if span is None:
         return df.withColumns(columns(Window.partitionBy(*keys).orderBy(*order)))
     base = df.withColumns({BLOCK: block_of(order[0], span), SIDE: F.lit(0)})
@@ -174,7 +176,10 @@ def fill_frames(
     """Add filled columns; each mapping is {result: source column}.
 
     ``forward`` takes the last known value up to the row, ``backward`` the next
-    one from the row on, ``both`` the first of these two that exists."""
+    one from the row on, ``both`` the first of these two that exists. ``span`` is
+    as for ``row_frames``."""
+    if span == "auto":
+        span = choose_span(df, keys, order[0])
     forward, backward, both = forward or {}, backward or {}, both or {}
     ahead = {**forward, **both}
     back = {**backward, **both}

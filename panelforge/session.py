@@ -17,10 +17,24 @@ DEFAULTS = {
 }
 
 
+def shuffle_partitions(shuffle_bytes: int, target: int = 256 * 1024**2, least: int = 200) -> int:
+    """Partitions for the largest shuffle so that each holds about ``target``."""
+    return max(least, -(-shuffle_bytes // target))
+
+
 def build_session(
-    app: str = "panelforge", master: str | None = None, settings: dict | None = None
+    app: str = "panelforge", master: str | None = None, settings: dict | None = None,
+    shuffle_bytes: int | None = None,
 ) -> SparkSession:
-    """A session with the library defaults; ``settings`` come on top."""
+    """A session with the library defaults; ``settings`` come on top.
+
+    ``shuffle_bytes`` is the size of the largest shuffle to expect. It sets the
+    number of partitions adaptive execution starts from; smaller shuffles are
+    coalesced from there."""
+    if shuffle_bytes:
+        count = str(shuffle_partitions(shuffle_bytes))
+        settings = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": count,
+                    "spark.sql.shuffle.partitions": count, **(settings or {})}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -32,7 +32,7 @@ def _set(df):
     return sorted(map(str, df.collect()))
 
 
-@pytest.mark.parametrize("span", ["10 minutes", "3 hours", "30 days"])
+@pytest.mark.parametrize("span", ["10 minutes", "3 hours", "30 days", "auto"])
 def test_row_frames(spark, span):
     df = _frame(spark, 1)
 

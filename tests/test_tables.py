@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from panelforge.session import scratch_dir
+from panelforge.session import scratch_dir, shuffle_partitions
 from panelforge.sources import grids
 from panelforge.sources import tables as T
 from panelforge.streaming import jobs as J
@@ -66,6 +66,22 @@ def test_lineage_reads_the_day_from_the_file(spark):
     assert (row["year"], row["month"], row["day"], row["load_id"]) == (2024, 2, 29, "run")
 
 
+def test_partitions_follow_the_shuffle_size():
+    assert shuffle_partitions(1024) == 200
+    assert shuffle_partitions(20 * 1024**4) == 81920       # 20 TB in 256 MB pieces
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf(dict):
+        pass
+
+    class Cluster:
+        conf = Conf({"spark.master": "yarn"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Cluster(), "x")
+
+
 def test_sample_is_stable(spark):
     df = spark.range(1000).repartition(7)
     again = spark.range(1000).repartition(3)
