@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm import words as T
-from panelforge.llm.common import longs, query, rarely, table
+from panelforge.llm.common import crc_remainder, longs, query, rarely, table
 from panelforge.session import reliable_checkpoint
 
 END = np.uint64(0xE0D0E0D0E0D0E0D1)   # stands for the end of a text
@@ -365,11 +365,6 @@ def class_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text
     )
 
 
-def remainder(id_col: str, parts: int) -> Column:
-    """crc32 of the id as text, modulo ``parts``; a NULL id counts as empty text."""
-    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % parts
-
-
 @query("op4_class_lm")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return class_scores(table(spark, sf_dir, "documents"), remainder("doc_id", 10) == 0)
+    return class_scores(table(spark, sf_dir, "documents"), crc_remainder("doc_id", 10) == 0)

@@ -93,3 +93,22 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
         before = now
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
+def labelled_sample(labels: DataFrame, label: str, rows: int, where=None, id_col: str = "doc_id") -> DataFrame:
+    """``id``, ``label``: about 0.95 * ``rows`` of the labelled ids, and never more than
+    ``rows`` but for a chance below 1e-9 (for 10,000 rows and more). An id counts once,
+    with its largest label; ids and labels that are NULL don't count."""
+    known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("label")).dropna()
+    known = known.groupBy("id").agg(F.max("label").alias("label"))
+    if where is not None:
+        known = known.where(where)
+    size = known.count()
+    if size <= rows:
+        return known
+    return known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * 0.95 * rows / size))
+
+
+def crc_remainder(id_col: str, parts: int):
+    """crc32 of the id as text, modulo ``parts``; a NULL id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % parts

@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL, by name."""
 
-from panelforge.llm import byte_bpe, class_lm, jaccard_join  # noqa: F401
+from panelforge.llm import byte_bpe, class_lm, jaccard_join, resample, toxicity  # noqa: F401
 from panelforge.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
