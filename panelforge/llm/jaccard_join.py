@@ -10,8 +10,10 @@ order, at least k. This is used twice:
    texts in combinations of two.
 
 Found pairs are verified on the whole sets. No group of texts is expanded into all
-its pairs: a group is compared with a few of its members, what then hangs together
-needs no further comparison, and the next members follow until every group is settled.
+its pairs: each text is compared with one that shares most signatures with it, and what
+then hangs together needs no further comparison. Texts of signatures that are still
+open are dealt in blocks of a fixed size to tasks, which compare two blocks at a time
+and return no more links than connect what is similar.
 """
 
 from __future__ import annotations
@@ -21,7 +23,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelforge.llm import words as T
@@ -33,7 +34,7 @@ CELLS_A_ROW = 4096
 CHUNK = 1_000_000      # shingles that a task holds before it sends them
 BUCKET = 500_000       # shingles that a bucket of the first exchange holds, about
 FREQUENT = 32          # a shingle of more texts is indexed in combinations of two
-HUBS = 8               # members with which a group is compared at a time
+BLOCK = 1024           # sets that are compared at a time, with as many others
 
 
 def may_miss(n, percent: int):
@@ -252,27 +253,110 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
     signs = F.array_sort(F.collect_list("sign"))
     two = F.expr("flatten(transform(s, (x, i) -> transform(slice(s, i + 2, size(s)), y -> xxhash64(x, y))))")
     pairs = (
-        rows.where(F.col("df") > FREQUENT).groupBy("node", "n", "root").agg(signs.alias("s"))
-        .select(F.explode(two).alias("sign"), "node", "n", "root")
+        rows.where(F.col("df") > FREQUENT).groupBy("node", "root").agg(signs.alias("s"))
+        .select(F.explode(two).alias("sign"), "node", "root")
     )
-    rows = reliable_checkpoint(_unsettled(rows.where(F.col("df") <= FREQUENT).select("sign", "node", "n", "root").unionByName(pairs)), "signs")
-    while rows.take(1):
-        hubs = (
-            rows.withColumn("i", F.row_number().over(W.partitionBy("sign").orderBy("node"))).where(F.col("i") <= HUBS)
-            .select("sign", F.col("node").alias("hub"), F.col("n").alias("hn"), F.col("root").alias("hr"))
-        )
-        hubs = reliable_checkpoint(hubs, "hubs")
-        pairs = (
-            rows.join(hubs, "sign").where("node > hub and root <> hr").where(similar_size("n", "hn", percent))
-            .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-        )
-        new = reliable_checkpoint(verified(pairs, sets, percent), "pairs")
-        rows = rows.join(hubs.select("sign", F.col("hub").alias("node")), ["sign", "node"], "left_anti")
-        if new.take(1):
-            links = reliable_checkpoint(links.unionByName(new), "pairs")
-            rows = _roots(rows, links)
-        rows = reliable_checkpoint(_unsettled(rows), "signs")
-    return links
+    index = rows.where(F.col("df") <= FREQUENT).select("sign", "node", "root").unionByName(pairs)
+    index = reliable_checkpoint(_unsettled(index).select("sign", "node"), "index")
+    low = index.groupBy("sign").agg(F.min("node").alias("low"))
+    near = components(index.join(low, "sign").select(F.col("node").alias("a"), F.col("low").alias("b")))
+    left = near.select("node", F.col("root").alias("cluster"))
+    sizes = left.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    kinds = [F.collect_list(F.when(c, F.col("sign"))).alias(k) for k, c in (("rare", F.col("df") <= FREQUENT), ("frequent", F.col("df") > FREQUENT))]
+    about = rows.groupBy("node", "root").agg(*kinds)
+    dealt = (
+        left.join(sizes, "cluster").withColumn("block", own).join(about, "node").join(sets.select("node", "n", "members"), "node")
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _compare(batches, percent)
+
+    found = dealt.groupBy("cluster", "lo", "hi").applyInArrow(compare, "a long, b long")
+    return links.unionByName(found)
+
+
+class _Sets:
+    """Some rows' sets as numbers, with what they are indexed by."""
+
+    def __init__(self, t: pa.Table):
+        t = t.combine_chunks()
+        self.node, self.root, self.n = (t[c].to_numpy() for c in ("node", "root", "n"))
+        self.lists = {c: self._flat(t[c]) for c in ("members", "rare", "frequent")}
+
+    def __len__(self) -> int:
+        return len(self.node)
+
+    @staticmethod
+    def _flat(column) -> tuple[np.ndarray, np.ndarray]:
+        a = column.chunk(0) if column.num_chunks else pa.array([], column.type)
+        off = a.offsets.to_numpy()
+        return a.flatten().to_numpy(), off - off[0]
+
+    def of(self, name: str, i: int) -> np.ndarray:
+        values, off = self.lists[name]
+        return values[off[i] : off[i + 1]]
+
+    def owners(self, name: str) -> tuple[np.ndarray, np.ndarray]:
+        """Values in order, and the row of each."""
+        values, off = self.lists[name]
+        rows = np.repeat(np.arange(len(self)), np.diff(off))
+        order = np.argsort(values, kind="stable")
+        return values[order], rows[order]
+
+
+def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links between the rows of two blocks that share a rare sign or two frequent ones
+    and don't hang together yet; enough of them to connect what is similar."""
+    t = pa.Table.from_batches(list(batches))
+    lo, hi = t["lo"][0].as_py(), t["hi"][0].as_py()
+    block = t["block"].to_numpy()
+    x = _Sets(t.filter(pa.array(block == lo)))
+    y = x if lo == hi else _Sets(t.filter(pa.array(block == hi)))
+    if not len(x) or not len(y):
+        return
+    tokens = np.unique(np.concatenate([x.lists["members"][0], y.lists["members"][0]]))
+    ids = {id(s): np.searchsorted(tokens, s.lists["members"][0]) for s in (x, y)}
+    owners = {k: y.owners(k) for k in ("rare", "frequent")}
+    mark = np.zeros(len(tokens), bool)
+    up: dict[int, int] = {}
+
+    def root(v: int) -> int:
+        while v in up:
+            v = up[v]
+        return v
+
+    links = []
+    off_x, off_y = x.lists["members"][1], y.lists["members"][1]
+    for i in range(len(x)):
+        score = np.zeros(len(y), np.int64)
+        for kind, weight in (("rare", 2), ("frequent", 1)):
+            values, rows = owners[kind]
+            own = x.of(kind, i)
+            a, b = np.searchsorted(values, own), np.searchsorted(values, own, "right")
+            at = np.repeat(a, b - a) + np.arange((b - a).sum()) - np.repeat(np.cumsum(b - a) - (b - a), b - a)
+            score += weight * np.bincount(rows[at], minlength=len(y))
+        ok = (score > 1) & (y.n * 100 >= x.n[i] * percent) & (x.n[i] * 100 >= y.n * percent) & (y.root != x.root[i])
+        if x is y:
+            ok[: i + 1] = False
+        which = np.flatnonzero(ok)
+        if not len(which):
+            continue
+        own = ids[id(x)][off_x[i] : off_x[i + 1]]
+        mark[own] = True
+        size = off_y[which + 1] - off_y[which]
+        at = np.repeat(off_y[which] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        common = np.add.reduceat(mark[ids[id(y)][at]].astype(np.int64), np.cumsum(size) - size)
+        mark[own] = False
+        for j in which[100 * common >= percent * (x.n[i] + y.n[which] - common)]:
+            a, b = root(int(x.root[i])), root(int(y.root[j]))
+            if a != b:
+                up[max(a, b)] = min(a, b)
+                links.append((int(x.node[i]), int(y.node[j])))
+    if links:
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
