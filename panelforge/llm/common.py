@@ -45,18 +45,21 @@ def long_lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 
 def key_bits(df: DataFrame, key: str, bits: int = 22) -> bytes:
-    """A bit for each hash of ``key``: 2**bits bits whatever the input, made on the
-    executors. Asking it lets some other keys pass, and never misses one."""
-    size = 1 << bits
-    at = F.pmod(F.xxhash64(F.col(key)), F.lit(size)).alias("at")
+    """A bit for each hash of ``key``; see ``bits_of``."""
+    return bits_of(df.select(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << bits)).alias("at")), bits)
+
+
+def bits_of(numbers: DataFrame, bits: int) -> bytes:
+    """A bit for each of the ``at`` that occur: 2**bits bits whatever the input, made on
+    the executors. Asking it lets some other keys pass, and never misses one."""
+    at = F.col("at")
     # Fixed by the function: a bucket holds 32768 bits, positions count from 0.
     rows = (
-        df.select(at)
-        .groupBy(F.expr("at div 32768").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.pmod(F.col("at"), F.lit(32768))).alias("bits"))
+        numbers.groupBy(F.expr("at div 32768").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.pmod(at, F.lit(32768))).alias("bits"))
         .collect()
     )
-    out = np.zeros(size // 8, np.uint8)
+    out = np.zeros((1 << bits) // 8, np.uint8)
     for r in rows:
         out[r["bucket"] * 4096 : (r["bucket"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
     return out.tobytes()

@@ -5,7 +5,7 @@ the wanted similarity share, among the first ``|x| - need + k`` shingles of that
 order, at least k. This is used twice:
 
 1. with k of about a twelfth of the set, to leave out texts that have no partner:
-   those that share too few of these shingles with any other text;
+   those that share too few of these shingles with any different text;
 2. with k = 2, to index the rest: a shingle of few texts alone, shingles of many
    texts in combinations of two.
 
@@ -34,7 +34,7 @@ CELLS_A_ROW = 4096
 CHUNK = 1_000_000      # shingles that a task holds before it sends them
 BUCKET = 500_000       # shingles that a bucket of the first exchange holds, about
 FREQUENT = 32          # a shingle of more texts is indexed in combinations of two
-BLOCK = 1024           # sets that are compared at a time, with as many others
+BLOCK = 2_000_000      # shingles of the sets that are compared at a time, with as many others
 
 
 def may_miss(n, percent: int):
@@ -47,11 +47,6 @@ def extension(n):
     return 2 + n // 12
 
 
-def asked(n, percent: int):
-    """How many shared shingles step 1 asks for: k of the smallest partner."""
-    return np.minimum(extension((n * percent + 99) // 100), may_miss(n, percent) + extension(n))
-
-
 def _measure(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """A row for each text; at the end, the cells of the rarity table."""
     cells = np.zeros(1 << RANK_BITS, np.uint32)
@@ -123,12 +118,11 @@ def _first_shingles(batches, width: int, percent: int, ranks: bytes, buckets: in
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
     for batch in rarely(batches):
-        ids = batch["doc_id"].fill_null(-1).to_numpy()
         for w in T.words(batch["text"]):
             h, ends = T.distinct_sets(w, width)
-            n = np.diff(ends)
+            n, nodes = np.diff(ends), set_keys(h, ends)
             h, at = ordered_prefix(h, ends, ranks, may_miss(n, percent) + extension(n))
-            held.append((h, ids[w.first + at]))
+            held.append((h, nodes[at]))
             size += len(h)
             if size >= CHUNK:
                 yield from _send(held, buckets)
@@ -137,26 +131,28 @@ def _first_shingles(batches, width: int, percent: int, ranks: bytes, buckets: in
         yield from _send(held, buckets)
 
 
+def _distinct_pairs(h: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each (shingle, set) once, ordered by shingle; and whether the shingle has one set."""
+    order = np.lexsort((nodes, h))
+    h, nodes = h[order], nodes[order]
+    keep = np.ones(len(h), bool)
+    keep[1:] = (h[1:] != h[:-1]) | (nodes[1:] != nodes[:-1])
+    h, nodes = h[keep], nodes[keep]
+    new = np.ones(len(h) + 1, bool)
+    new[1:-1] = h[1:] != h[:-1]
+    return h, nodes, new[:-1] & new[1:]
+
+
 def _send(held, buckets: int) -> Iterator[pa.RecordBatch]:
-    h, ids = (np.concatenate(x) for x in zip(*held))
-    order = np.argsort(h, kind="stable")
-    h, ids = h[order], ids[order]
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
-    last = np.ones(len(h), bool)
-    last[:-1] = new[1:]
-    alone = new & last
-    several = new & ~last
-    keys, counts = np.unique(ids[~alone], return_counts=True)
+    h, nodes, alone = _distinct_pairs(*(np.concatenate(x) for x in zip(*held)))
+    keys, counts = np.unique(nodes[~alone], return_counts=True)
     # Hashes are ordered, so each bucket is a run of them.
     edge = np.array([(i << 64) // buckets for i in range(buckets)], dtype=np.uint64)
-    one, one_ids, many = h[alone], ids[alone], h[several]
+    one, one_nodes, many = h[alone], nodes[alone], np.unique(h[~alone])
     a = np.append(np.searchsorted(one, edge), len(one))
     b = np.append(np.searchsorted(many, edge), len(many))
-    wide = len(one_ids) == 0 or one_ids.max() >= 1 << 32 or one_ids.min() < 0
-    kind = np.int64 if wide else np.uint32
-    rows = [(i, one[a[i] : a[i + 1]].tobytes(), one_ids[a[i] : a[i + 1]].astype(kind).tobytes(), many[b[i] : b[i + 1]].tobytes()) for i in range(buckets)]
-    names = ["bucket", "hashes", "ids", "repeated", "doc_id", "shared"]
+    rows = [(i, one[a[i] : a[i + 1]].tobytes(), one_nodes[a[i] : a[i + 1]].tobytes(), many[b[i] : b[i + 1]].tobytes()) for i in range(buckets)]
+    names = ["bucket", "hashes", "nodes", "repeated", "node", "shared"]
     cols = list(zip(*rows))
     k = len(rows)
     yield pa.RecordBatch.from_arrays(
@@ -164,30 +160,27 @@ def _send(held, buckets: int) -> Iterator[pa.RecordBatch]:
     )
     k = len(keys)
     yield pa.RecordBatch.from_arrays(
-        [pa.array((keys % buckets).astype(np.int32)), *(pa.nulls(k, pa.binary()) for _ in range(3)), longs(keys), pa.array(counts.astype(np.int32))], names
+        [pa.array((keys % T.U(buckets)).astype(np.int32)), *(pa.nulls(k, pa.binary()) for _ in range(3)), longs(keys), pa.array(counts.astype(np.int32))], names
     )
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 1, after the exchange: which shingles of a bucket two texts have."""
-    hashes, ids, many = [], [], []
+    """Step 1, after the exchange: which shingles of a bucket two sets have."""
+    parts: list[list[np.ndarray]] = [[], [], []]
     for batch in batches:
-        own = batch["doc_id"].is_valid()
-        said = batch.filter(own)
+        said = batch.filter(batch["node"].is_valid())
         if said.num_rows:
-            yield pa.RecordBatch.from_arrays([said["doc_id"], said["shared"]], ["doc_id", "shared"])
-        for h, i, m in zip(*(batch.filter(batch["hashes"].is_valid())[c] for c in ("hashes", "ids", "repeated"))):
-            h, i, m = h.as_buffer(), i.as_buffer(), m.as_buffer()
-            hashes.append(np.frombuffer(h, np.uint64))
-            ids.append(np.frombuffer(i, np.uint32 if len(i) * 2 == len(h) else np.int64).astype(np.int64))
-            many.append(np.frombuffer(m, np.uint64))
-    if not hashes:
+            yield pa.RecordBatch.from_arrays([said["node"], said["shared"]], ["node", "shared"])
+        sent = batch.filter(batch["hashes"].is_valid())
+        for part, name in zip(parts, ("hashes", "nodes", "repeated")):
+            part += [np.frombuffer(v.as_buffer(), np.uint64) for v in sent[name]]
+    if not parts[0]:
         return
-    one, key = np.concatenate(hashes), np.concatenate(ids)
-    every, inverse, count = np.unique(one, return_inverse=True, return_counts=True)
-    shared = (count[inverse] > 1) | np.isin(one, np.unique(np.concatenate(many)))
-    keys, counts = np.unique(key[shared], return_counts=True)
-    yield pa.RecordBatch.from_arrays([longs(keys), pa.array(counts.astype(np.int32))], ["doc_id", "shared"])
+    one, nodes, many = (np.concatenate(part) for part in parts)
+    h, nodes, alone = _distinct_pairs(one, nodes)
+    shared = ~alone | np.isin(h, np.unique(many))
+    keys, counts = np.unique(nodes[shared], return_counts=True)
+    yield pa.RecordBatch.from_arrays([longs(keys), pa.array(counts.astype(np.int32))], ["node", "shared"])
 
 
 def _sets(batches, width: int, percent: int, ranks: bytes, bits: bytes) -> Iterator[pa.RecordBatch]:
@@ -261,7 +254,7 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
     low = index.groupBy("sign").agg(F.min("node").alias("low"))
     near = components(index.join(low, "sign").select(F.col("node").alias("a"), F.col("low").alias("b")))
     left = near.select("node", F.col("root").alias("cluster"))
-    sizes = left.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = left.join(sets.select("node", "n"), "node").groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     kinds = [F.collect_list(F.when(c, F.col("sign"))).alias(k) for k, c in (("rare", F.col("df") <= FREQUENT), ("frequent", F.col("df") > FREQUENT))]
     about = rows.groupBy("node", "root").agg(*kinds)
@@ -391,15 +384,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return _settle(batches)
 
     shared = (
-        docs.mapInArrow(first, "bucket int, hashes binary, ids binary, repeated binary, doc_id long, shared int")
-        .groupBy("bucket").applyInArrow(settle, "doc_id long, shared int")
-        .groupBy("doc_id").agg(F.sum("shared").alias("shared"))
+        docs.mapInArrow(first, "bucket int, hashes binary, nodes binary, repeated binary, node long, shared int")
+        .groupBy("bucket").applyInArrow(settle, "node long, shared int")
+        .groupBy("node").agg(F.sum("shared").alias("shared"))
     )
     need = F.floor((F.col("n") * percent + 99) / 100)
     least = F.least(F.lit(2) + F.floor(need / 12), F.col("n") - need + F.lit(2) + F.floor(F.col("n") / 12), F.col("n"))
     left = (
-        sizes.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1))).join(shared, "doc_id").where(F.col("shared") >= least)
-        .where("n > 2").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+        sizes.where("n > 2").groupBy("node").agg(F.min("n").alias("n"), F.coalesce(F.min("doc_id"), F.lit(-1)).alias("doc_id"))
+        .join(shared, "node").where(F.col("shared") >= least).select("node", "doc_id")
     )
     left = reliable_checkpoint(left, "left")
     bits = key_bits(left, "doc_id")
