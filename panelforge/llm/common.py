@@ -115,3 +115,10 @@ def labelled_sample(labels: DataFrame, label: str, rows: int, where=None, id_col
 def crc_remainder(id_col: str, parts: int):
     """crc32 of the id as text, modulo ``parts``; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % parts
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer if the table has such a column."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm import words as T
-from panelforge.llm.common import components, in_bits, key_bits, long_lists, longs, query, rarely, table
+from panelforge.llm.common import components, free_name, in_bits, key_bits, long_lists, longs, query, rarely, table
 from panelforge.session import reliable_checkpoint
 
 RANK_BITS = 20         # how common shingles are is counted in 2**20 cells
@@ -358,7 +358,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Words are runs without ASCII white space, A-Z in lower case; a set holds the
     distinct shingles of ``width`` words, or the whole sequence of a shorter text.
     Texts link when ``100 * common >= percent * union``. Returns one row for each row
-    of ``docs``: doc_id, n_shingles long, component_id (smallest doc_id reachable).
+    of ``docs``: doc_id, n_shingles long, component_id (smallest doc_id reachable), node
+    and root (numbers of its set and of its component; NULL without words).
 
     * NULL or empty texts and texts of white space: n_shingles 0, linked with nothing.
     * Repeated rows and equal texts are linked, each has its row.
@@ -410,13 +411,49 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     own = sizes.groupBy("node").agg(F.min("doc_id").alias("low"))
     nodes = _roots(own, links)
     low = nodes.groupBy("root").agg(F.min("low").alias("component_id"))
-    ids = nodes.join(low, "root").select("node", "component_id")
+    ids = nodes.join(low, "root").select("node", "root", "component_id")
     return (
         texts.withColumn("node", F.when(F.col("n") > 0, F.col("node"))).join(ids, "node", "left")
-        .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "node", "root")
     )
 
 
+def keep_first(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
+    """``docs`` with one row of each component of ``found`` (made from the same rows by
+    ``jaccard_components``): one with the smallest id, NULL only where there is no other.
+    Of rows with equal ids and equal word sets any one stays. Texts without words stay.
+    All columns stay. Only rows whose id is decided about are shuffled with their texts:
+    others pass by a table of bits, which never misses one of the former."""
+    sets = found.where("n_shingles > 0").groupBy("doc_id", "node", "root").agg(F.count("*").alias("rows"))
+    least = F.min_by("node", F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("first")
+    sets = sets.join(sets.groupBy("root").agg(least, F.min("doc_id").alias("least")), "root").select(
+        F.col("doc_id").alias("_id"), F.col("node").alias("_set"), "rows", ((F.col("node") == F.col("first")) & F.col("doc_id").eqNullSafe(F.col("least"))).alias("_first")
+    )
+    decided = reliable_checkpoint(sets.where(~F.col("_first") | (F.col("rows") > 1)).drop("rows"), "decided")
+    bits = key_bits(decided, "_id")
+
+    @F.arrow_udf("boolean")
+    def met(at: pa.Array) -> pa.Array:
+        return pa.array(in_bits(bits, at.to_numpy()))
+
+    @F.arrow_udf("long")
+    def set_of(text: pa.Array) -> pa.Array:
+        out = []
+        for w in T.words(text):
+            h, ends = T.distinct_sets(w, width)
+            out.append(pa.array(set_keys(h, ends).view(np.int64), mask=np.diff(ends) == 0))
+        return pa.concat_arrays(out) if out else pa.array([], pa.int64())
+
+    own = free_name(docs, "_own_set")
+    hit = met(F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(1 << 22)))
+    some = docs.where(hit).withColumn(own, set_of(F.col(text_col)))
+    same = some[id_col].cast("long").eqNullSafe(decided["_id"]) & (some[own] == decided["_set"])
+    kept = some.join(decided, same, "left").where(F.coalesce("_first", F.lit(True)))
+    one = kept.where(F.col(own).isNotNull()).dropDuplicates([id_col, own])
+    parts = [docs.where(~hit), one.select(*(some[c] for c in docs.columns)), kept.where(F.col(own).isNull()).select(*(some[c] for c in docs.columns))]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
 @query("op5_jaccard_join")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))

@@ -1,6 +1,17 @@
 """The queries of this subpackage and their SQL, by name."""
 
-from panelforge.llm import binary_codes, byte_bpe, class_lm, decontaminate, jaccard_join, resample, toxicity  # noqa: F401
+from panelforge.llm import (  # noqa: F401
+    binary_codes,
+    byte_bpe,
+    class_lm,
+    decontaminate,
+    jaccard_join,
+    resample,
+    sharding,
+    token_counts,
+    toxicity,
+    warc,
+)
 from panelforge.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
