@@ -226,16 +226,17 @@ def similar_size(a: str, b: str, percent: int):
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
-def set_links(sets: DataFrame, percent: int) -> DataFrame:
+def set_links(sets: DataFrame, percent: int, ranks: bytes) -> DataFrame:
     """Enough links (a, b) between similar sets to connect all that can reach each
     other. ``sets``: node, n, members, signs."""
     rows = sets.where("n > 2").select("node", "n", F.explode("signs").alias("sign"))
     group = rows.groupBy("sign").agg(F.min("node").alias("hub"), F.min_by("n", "node").alias("hn"), F.count("*").alias("df")).where("df > 1")
     rows = reliable_checkpoint(rows.join(group, "sign"), "signs")
-    # Each set meets the hub with which it shares most signs.
+    # Each set meets the hub with which it shares most signs, if these are half of its own.
+    own = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 2
     best = (
         rows.where(F.col("node") != F.col("hub")).where(similar_size("n", "hn", percent))
-        .groupBy("node", "hub").agg(F.count("*").alias("c"))
+        .groupBy("node", "hub", "n").agg(F.count("*").alias("c")).where(F.col("c") * 2 >= own)
         .groupBy("node").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
         .select(F.col("node").alias("a"), F.col("hub").alias("b"))
     )
@@ -256,63 +257,50 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
     left = near.select("node", F.col("root").alias("cluster"))
     sizes = left.join(sets.select("node", "n"), "node").groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    kinds = [F.collect_list(F.when(c, F.col("sign"))).alias(k) for k, c in (("rare", F.col("df") <= FREQUENT), ("frequent", F.col("df") > FREQUENT))]
-    about = rows.groupBy("node", "root").agg(*kinds)
     dealt = (
-        left.join(sizes, "cluster").withColumn("block", own).join(about, "node").join(sets.select("node", "n", "members"), "node")
+        left.join(sizes, "cluster").withColumn("block", own).join(rows.select("node", "root").distinct(), "node").join(sets.select("node", "members"), "node")
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
         .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _compare(batches, percent)
+        return _compare(batches, percent, ranks)
 
     found = dealt.groupBy("cluster", "lo", "hi").applyInArrow(compare, "a long, b long")
     return links.unionByName(found)
 
 
 class _Sets:
-    """Some rows' sets as numbers, with what they are indexed by."""
+    """Some rows' sets, and the shingles that each is indexed by."""
 
-    def __init__(self, t: pa.Table):
-        t = t.combine_chunks()
-        self.node, self.root, self.n = (t[c].to_numpy() for c in ("node", "root", "n"))
-        self.lists = {c: self._flat(t[c]) for c in ("members", "rare", "frequent")}
+    def __init__(self, t: pa.Table, percent: int, ranks: np.ndarray):
+        self.node, self.root = (t[c].to_numpy() for c in ("node", "root"))
+        chunks = [c for c in t["members"].chunks if len(c)]
+        self.members = np.concatenate([c.flatten().to_numpy() for c in chunks] or [np.zeros(0, np.int64)]).view(np.uint64)
+        self.n = np.concatenate([np.diff(c.offsets.to_numpy()) for c in chunks] or [np.zeros(0, np.int64)]).astype(np.int64)
+        self.ends = np.append(0, np.cumsum(self.n))
+        self.signs, self.of = ordered_prefix(self.members, self.ends, ranks, may_miss(self.n, percent) + 2)
+        self.sign_ends = np.searchsorted(self.of, np.arange(len(self.n) + 1))
 
     def __len__(self) -> int:
         return len(self.node)
 
-    @staticmethod
-    def _flat(column) -> tuple[np.ndarray, np.ndarray]:
-        a = column.chunk(0) if column.num_chunks else pa.array([], column.type)
-        off = a.offsets.to_numpy()
-        return a.flatten().to_numpy(), off - off[0]
 
-    def of(self, name: str, i: int) -> np.ndarray:
-        values, off = self.lists[name]
-        return values[off[i] : off[i + 1]]
-
-    def owners(self, name: str) -> tuple[np.ndarray, np.ndarray]:
-        """Values in order, and the row of each."""
-        values, off = self.lists[name]
-        rows = np.repeat(np.arange(len(self)), np.diff(off))
-        order = np.argsort(values, kind="stable")
-        return values[order], rows[order]
-
-
-def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Links between the rows of two blocks that share a rare sign or two frequent ones
-    and don't hang together yet; enough of them to connect what is similar."""
+def _compare(batches: Iterator[pa.RecordBatch], percent: int, ranks: bytes) -> Iterator[pa.RecordBatch]:
+    """Links between the rows of two blocks that share two signs and don't hang together
+    yet; enough of them to connect what is similar."""
     t = pa.Table.from_batches(list(batches))
     lo, hi = t["lo"][0].as_py(), t["hi"][0].as_py()
-    block = t["block"].to_numpy()
-    x = _Sets(t.filter(pa.array(block == lo)))
-    y = x if lo == hi else _Sets(t.filter(pa.array(block == hi)))
+    block, rank = t["block"].to_numpy(), np.frombuffer(ranks, np.uint8)
+    x = _Sets(t.filter(pa.array(block == lo)), percent, rank)
+    y = x if lo == hi else _Sets(t.filter(pa.array(block == hi)), percent, rank)
+    del t
     if not len(x) or not len(y):
         return
-    tokens = np.unique(np.concatenate([x.lists["members"][0], y.lists["members"][0]]))
-    ids = {id(s): np.searchsorted(tokens, s.lists["members"][0]) for s in (x, y)}
-    owners = {k: y.owners(k) for k in ("rare", "frequent")}
+    tokens = np.unique(y.members)
+    ids = np.searchsorted(tokens, y.members).astype(np.int32)
+    order = np.argsort(y.signs, kind="stable")
+    signs, owners = y.signs[order], y.of[order]
     mark = np.zeros(len(tokens), bool)
     up: dict[int, int] = {}
 
@@ -322,28 +310,26 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         return v
 
     links = []
-    off_x, off_y = x.lists["members"][1], y.lists["members"][1]
     for i in range(len(x)):
-        score = np.zeros(len(y), np.int64)
-        for kind, weight in (("rare", 2), ("frequent", 1)):
-            values, rows = owners[kind]
-            own = x.of(kind, i)
-            a, b = np.searchsorted(values, own), np.searchsorted(values, own, "right")
-            at = np.repeat(a, b - a) + np.arange((b - a).sum()) - np.repeat(np.cumsum(b - a) - (b - a), b - a)
-            score += weight * np.bincount(rows[at], minlength=len(y))
-        ok = (score > 1) & (y.n * 100 >= x.n[i] * percent) & (x.n[i] * 100 >= y.n * percent) & (y.root != x.root[i])
+        own = x.signs[x.sign_ends[i] : x.sign_ends[i + 1]]
+        a, b = np.searchsorted(signs, own), np.searchsorted(signs, own, "right")
+        at = np.repeat(a - np.cumsum(b - a) + (b - a), b - a) + np.arange((b - a).sum())
+        shared = np.bincount(owners[at], minlength=len(y))
+        ok = (shared > 1) & (y.n * 100 >= x.n[i] * percent) & (x.n[i] * 100 >= y.n * percent) & (y.root != x.root[i])
         if x is y:
             ok[: i + 1] = False
         which = np.flatnonzero(ok)
         if not len(which):
             continue
-        own = ids[id(x)][off_x[i] : off_x[i + 1]]
-        mark[own] = True
-        size = off_y[which + 1] - off_y[which]
-        at = np.repeat(off_y[which] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        common = np.add.reduceat(mark[ids[id(y)][at]].astype(np.int64), np.cumsum(size) - size)
-        mark[own] = False
-        for j in which[100 * common >= percent * (x.n[i] + y.n[which] - common)]:
+        mine = x.members[x.ends[i] : x.ends[i + 1]]
+        at = np.minimum(np.searchsorted(tokens, mine), len(tokens) - 1)
+        at = at[tokens[at] == mine]
+        mark[at] = True
+        size = y.n[which]
+        where = np.repeat(y.ends[which] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        common = np.add.reduceat(mark[ids[where]].astype(np.int64), np.cumsum(size) - size)
+        mark[at] = False
+        for j in which[100 * common >= percent * (x.n[i] + size - common)]:
             a, b = root(int(x.root[i])), root(int(y.root[j]))
             if a != b:
                 up[max(a, b)] = min(a, b)
@@ -407,7 +393,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .join(left.select("node"), "node", "left_semi").dropDuplicates(["node"])
     )
     sets = reliable_checkpoint(sets, "sets")
-    links = set_links(sets, percent)
+    links = set_links(sets, percent, ranks)
     own = sizes.groupBy("node").agg(F.min("doc_id").alias("low"))
     nodes = _roots(own, links)
     low = nodes.groupBy("root").agg(F.min("low").alias("component_id"))
