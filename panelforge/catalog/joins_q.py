@@ -41,9 +41,8 @@ def nearest_reference(spark, sf):
 
 @query("nearest_reference_by_cell", sql(NEAREST_SQL))
 def nearest_reference_by_cell(spark, sf):
-    """The way for many places: equi-joins on grid cells."""
-    coords = B.points(spark, sf).select("lat", "lon").distinct()
-    return rounded(J.nearest_place_by_cell(coords, B.places(spark), 4.0), "km", places=4)
+    """The same with larger cells at the end: the result doesn't hang on them."""
+    return rounded(J.nearest_place(B.points(spark, sf), B.places(spark), levels=2), "km", places=4)
 
 
 @query(
@@ -152,12 +151,12 @@ INSTANT = "2024-01-15 12:00:00"
     "asof_nearest",
     sql(f"""SELECT country, "index", event_id, Actual_Load FROM (
               SELECT *, row_number() OVER (PARTITION BY country ORDER BY
-                abs(epoch_us("index") - epoch_us(TIMESTAMP '{INSTANT}')), "index") AS r FROM readings)
+                abs(epoch_us("index") - epoch_us(TIMESTAMP '{INSTANT}')), "index", event_id) AS r FROM readings)
             WHERE r = 1"""),
 )
 def asof_nearest(spark, sf):
     rows = B.readings(spark, sf).drop("user_id")
-    return J.nearest_in_time(rows, ["country"], "index", F.lit(INSTANT))
+    return J.nearest_in_time(rows, ["country"], "index", F.lit(INSTANT), ["event_id"])
 
 
 def _nth(n, order):

@@ -142,7 +142,7 @@ def ts_prepare(spark, sf):
 )
 def ar1_sql(spark, sf):
     rows = A.fit_ar1(
-        B.readings(spark, sf).drop("user_id"), ["country"], ["index", "event_id"], "Actual_Load", "12 hours"
+        B.readings(spark, sf).drop("user_id"), ["country"], ["index", "event_id"], "Actual_Load", "auto"
     )
     return rounded(rounded(rows, "slope"), "intercept", places=4)
 
@@ -172,7 +172,7 @@ def arima_fit_raw(spark, sf):
     """The same on raw readings, whose keys are fitted in time blocks."""
     rows = B.readings(spark, sf).select("country", "index", "Actual_Load")
     series = A.prepare_series(rows, ["country"], "index", "Actual_Load")
-    models = A.fit_arima(reliable_checkpoint(series, "series"), ["country"], "index", "Actual_Load", "12 hours")
+    models = A.fit_arima(reliable_checkpoint(series, "series"), ["country"], "index", "Actual_Load", "auto")
     return models.select("country", "p", "d", "q", "sigma2", "aic", "rows_used")
 
 

@@ -17,7 +17,7 @@ from panelforge.operators.profile import share_of_total
 from panelforge.operators.scores import with_reserve_margin
 from panelforge.sources import benchdata as B
 
-SPAN = "12 hours"
+SPAN = "auto"   # blocks of counted rows
 ORDER = ["index", "event_id"]
 
 
@@ -99,13 +99,13 @@ def _next(source: str = "value") -> str:
 @query("ffill", sql(f"""SELECT country, "index", event_id, {_last()} AS filled FROM sparse_readings"""))
 def ffill(spark, sf):
     rows = B.sparse_readings(spark, sf)
-    return K.fill_frames(rows, ["country"], ORDER, forward={"filled": "value"}, span="2 days").drop("value")
+    return K.fill_frames(rows, ["country"], ORDER, forward={"filled": "value"}, span=SPAN).drop("value")
 
 
 @query("bfill", sql(f"""SELECT country, "index", event_id, {_next()} AS filled FROM sparse_readings"""))
 def bfill(spark, sf):
     rows = B.sparse_readings(spark, sf)
-    return K.fill_frames(rows, ["country"], ORDER, backward={"filled": "value"}, span="2 days").drop("value")
+    return K.fill_frames(rows, ["country"], ORDER, backward={"filled": "value"}, span=SPAN).drop("value")
 
 
 @query(
@@ -114,7 +114,7 @@ def bfill(spark, sf):
 )
 def ffill_bfill(spark, sf):
     rows = B.sparse_readings(spark, sf)
-    return K.fill_frames(rows, ["country"], ORDER, both={"filled": "value"}, span="2 days").drop("value")
+    return K.fill_frames(rows, ["country"], ORDER, both={"filled": "value"}, span=SPAN).drop("value")
 
 
 def _framed(spark, sf, columns, before=0, after=0):

@@ -13,7 +13,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
@@ -53,7 +53,7 @@ def linear_models(label: str, rows: int) -> dict:
     return {
         "Linear Regression": LinearRegression(regParam=0.0, **plain),
         "Ridge": LinearRegression(regParam=1.0 / max(rows, 1), elasticNetParam=0.0, **plain),
-        "Lasso": LinearRegression(regParam=0.1, elasticNetParam=1.0, maxIter=200, **plain),
+        "Lasso": LinearRegression(regParam=0.1, elasticNetParam=1.0, maxIter=5000, **plain),
     }
 
 
@@ -104,9 +104,9 @@ def regressors(label: str, rows: int, effort: float = 1.0) -> dict:
 
 def logistic_models(label: str, weight: str = "weight") -> dict:
     return {
-        "Logistic Regression": LogisticRegression(labelCol=label, maxIter=100),
+        "Logistic Regression": LogisticRegression(labelCol=label, maxIter=1000),
         "Logistic Regression (balanced)": LogisticRegression(
-            labelCol=label, weightCol=weight, maxIter=100),
+            labelCol=label, weightCol=weight, maxIter=1000),
     }
 
 
@@ -159,7 +159,7 @@ def leaderboard(
             )
             lines.append((name, took, a, b, c, d, None))
         except Exception as error:   # one bad model must not end the comparison
-            lines.append((name, None, None, None, None, None, str(error)[:200]))
+            lines.append((name, None, None, None, None, None, str(error)))
     names = ("accuracy", "precision", "recall", "f1") if classify else ("mae", "rmse", "r2", "score")
     fields = ", ".join(f"{n} double" for n in names)
     table = train.sparkSession.createDataFrame(
@@ -210,12 +210,6 @@ def with_probability(scored: DataFrame, name: str = "stress_probability") -> Dat
     return scored.withColumn(name, vector_to_array("probability")[1] * 100.0)
 
 
-def f1_score(scored: DataFrame, label: str) -> float:
-    return MulticlassClassificationEvaluator(
-        labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0
-    ).evaluate(scored)
-
-
 def feature_names(df: DataFrame, column: str = "features") -> list[str]:
     """Names of the vector's slots, from the metadata the assembler wrote."""
     groups = df.schema[column].metadata["ml_attr"]["attrs"].values()

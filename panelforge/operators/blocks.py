@@ -3,8 +3,8 @@
 ``Window.partitionBy(key)`` sends all rows of a key to one task. That is fine
 for a resampled panel, where a key has at most one row per period, and not for
 raw readings, where one key may hold a third of the table. Here a key's series
-is cut into blocks of equal time span, and each block gets the few extra rows it
-needs from its neighbours:
+is cut into blocks of counted rows (or of equal time), and each block gets the few
+extra rows it needs from its neighbours:
 
 * frames of N rows: copies of the N rows before (or after) the block;
 * fill forward or backward: one row with the last (or next) known values.
@@ -20,7 +20,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from panelforge.session import reliable_checkpoint
+
 BLOCK = "_block"
+BLOCK_ROWS = 250_000
 SIDE = "_side"   # -1 lies before the block, 0 is an own row, 1 lies after it
 
 _UNITS = {"minute": 60, "hour": 3600, "day": 86400}
@@ -39,22 +42,45 @@ def block_of(time: str, span: str) -> Column:
     return F.coalesce(number, F.lit(-(2**62)))
 
 
-def choose_span(df: DataFrame, keys: Sequence[str], time: str, rows_per_block: int = 1_000_000):
-    """A span for which the fullest key averages ``rows_per_block`` rows a block."""
-    stamp = F.col(time).cast("timestamp")
-    row = (
-        df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            (F.unix_seconds(F.max(stamp)) - F.unix_seconds(F.min(stamp))).alias("s"),
-        )
-        .agg(F.max(F.struct("n", "s")).alias("top"))
-        .first()["top"]
+def counted_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int) -> DataFrame:
+    """``df`` with a block for each row: of about ``rows`` rows, and below twice that.
+
+    Rows are counted per key and minute; each key's minutes are dealt to blocks in
+    order. A minute with more than ``rows`` rows, or that many rows without a time, is
+    cut further by all of ``order``, at places that a sample gives. Only rows that are
+    equal in all of ``order`` always stay together. The input is read once."""
+    base = reliable_checkpoint(df.withColumn("_slot", block_of(order[0], "1 minute")), "readings")
+    names = [*keys, "_slot"]
+    counts = base.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    through = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0))
+    slots = counts.withColumn("_part", F.floor((through - F.col("_n")) / rows))
+    crowded = slots.filter(F.col("_n") > rows).select(*names)
+    every = min(rows, 64)   # sampled rows for each cut
+    drawn = F.pmod(F.xxhash64(*order), F.lit(1 << 20)) < int((1 << 20) * every / rows)
+    cuts = (
+        base.alias("t").join(crowded.alias("c"), _same_key("t", "c", names), "left_semi").filter(drawn)
+        .groupBy(*names).agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_drawn"))
+        .select(*names, F.filter("_drawn", lambda _, i: i % every == every - 1).alias("_cuts"))
     )
-    if row is None or not row["s"]:
-        return "1 day"
-    blocks = max(1, -(-row["n"] // rows_per_block))
-    return f"{max(1, (row['s'] // blocks) // 60)} minutes"
+    placed = slots.alias("t").join(cuts.alias("c"), _same_key("t", "c", names), "left").select("t.*", "c._cuts")
+    joined = base.alias("t").join(placed.alias("c"), _same_key("t", "c", names), "left").select("t.*", "c._part", "c._cuts")
+    own = F.struct(*order)
+
+    def halve(at: Column, step: Column) -> Column:
+        onward = (at + step <= F.size("_cuts")) & (F.get("_cuts", at + step - 1) < own)
+        return F.when(onward, at + step).otherwise(at)
+
+    steps = F.lit([1 << i for i in range(24, -1, -1)])
+    sub = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), halve))
+    return joined.withColumn(BLOCK, F.struct(F.col("_part").alias("part"), sub.alias("sub"))).drop("_slot", "_part", "_cuts")
+
+
+def _in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], span: str | int) -> DataFrame:
+    if span == "auto" or isinstance(span, int):
+        base = counted_blocks(df, keys, order, BLOCK_ROWS if span == "auto" else span)
+    else:
+        base = df.withColumn(BLOCK, block_of(order[0], span))
+    return base.withColumn(SIDE, F.lit(0))
 
 
 def _same_key(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -113,19 +139,19 @@ def row_frames(
     columns: Callable[[WindowSpec], dict[str, Column]],
     before: int = 0,
     after: int = 0,
-    span: str | None = None,
+    span: str | int | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``before`` rows back and ``after``
     rows ahead. ``columns`` gets the ordered window and names its results.
 
     Without ``span`` the window covers whole keys: for panels, which hold one
-    row per key and period. With ``span`` it works in blocks: for raw readings.
-    "auto" measures the span. ``order[0]`` is the time column."""
-    if span == "auto":
-        span = choose_span(df, keys, order[0])
+    row per key and period. With ``span`` it works in blocks: for raw readings. A
+    number, or "auto", means blocks of about so many rows, however they lie in time;
+    a text like "6 hours" means blocks of that time, for evenly spread rows.
+    ``order[0]`` is the time column."""
     if span is None:
         return df.withColumns(columns(Window.partitionBy(*keys).orderBy(*order)))
-    base = df.withColumns({BLOCK: block_of(order[0], span), SIDE: F.lit(0)})
+    base = _in_blocks(df, keys, order, span)
     parts = base
     if before:
         parts = parts.unionByName(_edge_rows(base, keys, order, before, before=True))
@@ -171,22 +197,20 @@ def fill_frames(
     forward: dict[str, str] | None = None,
     backward: dict[str, str] | None = None,
     both: dict[str, str] | None = None,
-    span: str | None = None,
+    span: str | int | None = None,
 ) -> DataFrame:
     """Add filled columns; each mapping is {result: source column}.
 
     ``forward`` takes the last known value up to the row, ``backward`` the next
     one from the row on, ``both`` the first of these two that exists. ``span`` is
     as for ``row_frames``."""
-    if span == "auto":
-        span = choose_span(df, keys, order[0])
     forward, backward, both = forward or {}, backward or {}, both or {}
     ahead = {**forward, **both}
     back = {**backward, **both}
     if span is None:
         parts, window, extra = df, Window.partitionBy(*keys).orderBy(*order), ()
     else:
-        base = df.withColumns({BLOCK: block_of(order[0], span), SIDE: F.lit(0)})
+        base = _in_blocks(df, keys, order, span)
         parts, extra = base, (BLOCK, SIDE)
         for mapping, side in ((ahead, True), (back, False)):
             names = list(dict.fromkeys(mapping.values()))

@@ -7,7 +7,6 @@ otherwise sorts and merges, splitting skewed partitions.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -50,110 +49,85 @@ def with_panel_stats(df: DataFrame, keys: Sequence[str], stats: dict[str, Column
 
 
 def nearest_in_time(
-    df: DataFrame, keys: Sequence[str], time: str, instant: Column
+    df: DataFrame, keys: Sequence[str], time: str, instant: Column, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """Per key the row closest in time; of two equally close ones the earlier."""
+    """Per key the row closest in time; of two equally close ones the earlier, of rows
+    of one time the first by ``ties``. Rows without a time don't count."""
     stamp = F.col(time).cast("timestamp")
     distance = F.abs(F.unix_micros(stamp) - F.unix_micros(instant.cast("timestamp")))
     rest = [c for c in df.columns if c not in set(keys)]
     return (
-        df.groupBy(*keys)
-        .agg(F.min_by(F.struct(*rest), F.struct(distance, stamp)).alias("_row"))
+        df.filter(F.col(time).isNotNull())
+        .groupBy(*keys)
+        .agg(F.min_by(F.struct(*rest), F.struct(distance, stamp, *ties)).alias("_row"))
         .select(*keys, "_row.*")
     )
 
 
-PLACES_IN_A_ROW = 2_000   # up to here the places travel as one array
+SPLIT = 4   # parts of a cell's edge from one level to the next
 
 
-def nearest_place(
-    points: DataFrame,
-    places: DataFrame,
-    cell_degrees: float = 1.0,
-    max_in_array: int = PLACES_IN_A_ROW,
-) -> DataFrame:
-    """The nearest place for each distinct (lat, lon); ties go to the smaller id.
+def _on_sphere(lat: str, lon: str) -> dict[str, Column]:
+    """The point on the unit sphere. Nothing wraps there and poles are no exception."""
+    a, b = F.radians(lat), F.radians(lon)
+    return {"_x": F.cos(a) * F.cos(b), "_y": F.cos(a) * F.sin(b), "_z": F.sin(a)}
 
-    ``places`` has (place_id, lat, lon, code). Few places are checked as one
-    array beside each point. Many are looked up by grid cell, see
-    ``nearest_place_by_cell``. The count decides."""
-    coords = points.select("lat", "lon").distinct()
-    if places.limit(max_in_array + 1).count() > max_in_array:
-        return nearest_place_by_cell(coords, places, cell_degrees)
-    everywhere = places.agg(
-        F.collect_list(F.struct("place_id", "lat", "lon", "code")).alias("_places")
-    ).scalar()
-    scored = F.transform(
-        "_places",
-        lambda p: F.struct(
-            great_circle_km(F.col("lat"), F.col("lon"), p["lat"], p["lon"]).alias("km"),
-            p["place_id"].alias("place_id"),
-            p["code"].alias("code"),
-        ),
-    )
-    return (
-        coords.withColumn("_places", everywhere)
-        .select("lat", "lon", F.array_min(scored).alias("_best"))
-        .select("lat", "lon", "_best.place_id", "_best.code", "_best.km")
-    )
 
+def _cell(axis: str, level: int) -> Column:
+    return F.floor((F.col(axis) + 1.0) / (2.0 / SPLIT**level)).cast("long")
 
-KM_PER_DEGREE = 111.0
-
-
-def nearest_place_by_cell(coords: DataFrame, places: DataFrame, cell_degrees: float) -> DataFrame:
-    """Nearest place through equi-joins on latitude/longitude cells.
-
-    A point looks into the 3 x 3 cells around it. A hit is final once it is
-    closer than the border of that area; the other points try again with cells
-    twice as large. Once a cell spans the globe the rest is settled in one look."""
-    found, rest, size = [], coords, cell_degrees
-    while True:
-        whole = size >= 180.0
-        near = _look_around(rest, places, size, whole)
-        if whole:
-            return reduce(DataFrame.unionByName, [*found, near])
-        near = reliable_checkpoint(near, "nearest")
-        final = near.filter(_inside_area(size))
-        found.append(final)
-        rest = rest.join(final.select("lat", "lon"), ["lat", "lon"], "left_anti")
-        if rest.isEmpty():
-            return reduce(DataFrame.unionByName, found)
-        rest = reliable_checkpoint(rest, "nearest")
-        size *= 2
-
-
-def _inside_area(size: float) -> Column:
-    """The hit is closer than any place outside the 3 x 3 cells can be: these
-    reach at least one cell size from the point. To the east and west that is the
-    distance to a meridian. Cells do not wrap at 180 degrees."""
-    meridian = F.lit(6371.0) * F.asin(
-        F.cos(F.radians("lat")) * F.lit(math.sin(math.radians(min(size, 90.0))))
-    )
-    width = F.least(F.lit(size * KM_PER_DEGREE), meridian)
-    return (F.col("km") <= width) & (F.abs(F.col("lon")) + size * 2 < 180.0)
 
+def _square(a: Column, b: Column) -> Column:
+    return (a - b) * (a - b)
 
-def _look_around(coords: DataFrame, places: DataFrame, size: float, whole: bool) -> DataFrame:
-    def cell(c: str) -> Column:
-        return F.lit(0).cast("long") if whole else F.floor(F.col(c) / size)
 
-    reach = [0] if whole else [-1, 0, 1]
-    steps = F.array(
-        *[F.struct(F.lit(i).alias("_dx"), F.lit(j).alias("_dy")) for i in reach for j in reach]
-    )
-    looked = coords.select("lat", "lon", F.inline(steps)).select(
-        "lat", "lon",
-        (cell("lat") + F.col("_dx")).alias("_cx"), (cell("lon") + F.col("_dy")).alias("_cy"),
-    )
-    homes = places.select(
-        "place_id", "code", F.col("lat").alias("_plat"), F.col("lon").alias("_plon"),
-        cell("lat").alias("_cx"), cell("lon").alias("_cy"),
+def nearest_place(points: DataFrame, places: DataFrame, levels: int = 7) -> DataFrame:
+    """The nearest place for each distinct (lat, lon); ties go to the smaller id.
+
+    ``places`` has (place_id, lat, lon, code). Cells around the unit sphere are split
+    level by level. A point goes down only into occupied cells that may hold its nearest
+    place: whose border is no further than the best place known so far, where each cell
+    names one of its places. So each point meets a few cells at each level, and at the
+    end the places of a few small cells, however many places there are. Points or places
+    without coordinates match nothing."""
+    coords = points.select("lat", "lon").distinct()
+    known = coords.dropna().withColumns(_on_sphere("lat", "lon"))
+    homes = places.dropna(subset=["lat", "lon"]).groupBy("lat", "lon").agg(
+        F.min(F.struct("place_id", "code")).alias("_place")
+    ).withColumns(_on_sphere("lat", "lon"))
+    homes = homes.withColumns({f"{a}{k}": _cell(a, k) for a in ("_x", "_y", "_z") for k in range(levels + 1)})
+    homes = reliable_checkpoint(homes, "places")
+    axes = ("_x", "_y", "_z")
+    near = known.withColumns({f"_c{a}": F.lit(0).cast("long") for a in axes})
+    for level in range(1, levels + 1):
+        size = 2.0 / SPLIT**level
+        cells = homes.groupBy(
+            *[F.col(f"{a}{level - 1}").alias(f"_c{a}") for a in axes], *[F.col(f"{a}{level}").alias(f"_n{a}") for a in axes]
+        ).agg(F.min(F.struct("_x", "_y", "_z")).alias("_one"))
+        border = reduce(
+            lambda p, q: p + q,
+            [
+                _square(F.col(a), F.least(F.greatest(F.col(a), F.col(f"_n{a}") * size - 1.0), (F.col(f"_n{a}") + 1) * size - 1.0))
+                for a in axes
+            ],
+        )
+        reach = reduce(lambda p, q: p + q, [_square(F.col(a), F.col(f"_one.{a}")) for a in axes])
+        met = near.join(cells, [f"_c{a}" for a in axes]).select(
+            "lat", "lon", *axes, *[F.col(f"_n{a}").alias(f"_c{a}") for a in axes],
+            F.sqrt(border).alias("_border"), F.sqrt(reach).alias("_reach"),
+        )
+        # A point meets few cells, so its rows are few.
+        best = F.min("_reach").over(Window.partitionBy("lat", "lon"))
+        near = met.withColumn("_best", best).filter(F.col("_border") <= F.col("_best") + 1e-9).drop("_border", "_reach", "_best")
+        near = reliable_checkpoint(near, "cells") if level % 3 == 0 else near
+    ends = homes.select(
+        "_place", F.col("lat").alias("_plat"), F.col("lon").alias("_plon"), *[F.col(f"{a}{levels}").alias(f"_c{a}") for a in axes]
     )
     km = great_circle_km(F.col("lat"), F.col("lon"), F.col("_plat"), F.col("_plon"))
-    return (
-        looked.join(homes, ["_cx", "_cy"])
+    found = (
+        near.join(ends, [f"_c{a}" for a in axes])
         .groupBy("lat", "lon")
-        .agg(F.min(F.struct(km.alias("km"), "place_id", "code")).alias("_best"))
-        .select("lat", "lon", "_best.place_id", "_best.code", "_best.km")
+        .agg(F.min(F.struct(km.alias("km"), "_place")).alias("_best"))
+        .select("lat", "lon", F.col("_best._place.place_id").alias("place_id"), F.col("_best._place.code").alias("code"), "_best.km")
     )
+    return coords.join(found, ["lat", "lon"], "left")

@@ -149,7 +149,7 @@ def replace_days(
 
 def fill_forward(
     stream: DataFrame, key: str, order: Sequence[str], value: str, out: str, name: str = "filled",
-    span: str = "2 days", checkpoint: str | None = None,
+    span: str | int = "auto", checkpoint: str | None = None,
 ) -> DataFrame:
     """Carry the last known value per key across batches that may come in any order.
 

@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelforge.operators import blocks as K
@@ -32,7 +33,7 @@ def _set(df):
     return sorted(map(str, df.collect()))
 
 
-@pytest.mark.parametrize("span", ["10 minutes", "3 hours", "30 days", "auto"])
+@pytest.mark.parametrize("span", ["10 minutes", "3 hours", "30 days", "auto", 30])
 def test_row_frames(spark, span):
     df = _frame(spark, 1)
 
@@ -47,7 +48,7 @@ def test_row_frames(spark, span):
     assert _set(whole) == _set(cut)
 
 
-@pytest.mark.parametrize("span", ["10 minutes", "3 hours", "30 days"])
+@pytest.mark.parametrize("span", ["10 minutes", "3 hours", "30 days", 30])
 def test_fill_frames(spark, span):
     df = _frame(spark, 2)
     kinds = {"forward": {"f": "v"}, "backward": {"b": "v"}, "both": {"x": "v"}}
@@ -63,8 +64,18 @@ def test_blocks_split_a_hot_key(spark):
     assert sizes.count() > 10
 
 
-def test_choose_span(spark):
-    df = _frame(spark, 4)
-    fine = K.span_seconds(K.choose_span(df, ["k"], "t", rows_per_block=10))
-    coarse = K.span_seconds(K.choose_span(df, ["k"], "t", rows_per_block=1000))
-    assert 60 <= fine < coarse
+def test_counted_blocks_are_bounded_however_rows_lie(spark):
+    """A burst of one minute, equal times, rows without a time, a row a year later."""
+    start = datetime(2024, 1, 1)
+    rows = [("hot", start + timedelta(milliseconds=17 * i), i, 1.0) for i in range(3000)]
+    rows += [("hot", start, 10_000 + i, 1.0) for i in range(2000)]
+    rows += [("late", None, 20_000 + i, 1.0) for i in range(2500)]
+    rows += [("hot", start + timedelta(days=365), 1, 1.0)] + [(None, start + timedelta(days=i), i, 1.0) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, id int, v double")
+    cut = K.counted_blocks(df, ["k"], ORDER, 200)
+    sizes = [r["count"] for r in cut.groupBy("k", K.BLOCK).count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 400
+    # Blocks follow each other in the order of rows.
+    bounds = cut.groupBy("k", K.BLOCK).agg(F.min(F.struct(*ORDER)).alias("a"), F.max(F.struct(*ORDER)).alias("b"))
+    window = Window.partitionBy("k").orderBy(K.BLOCK)
+    assert bounds.withColumn("p", F.lag("b").over(window)).filter("p >= a").count() == 0

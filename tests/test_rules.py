@@ -193,18 +193,34 @@ def test_nearest_in_time_prefers_the_earlier(spark):
     assert J.nearest_in_time(df, ["k"], "t", F.lit("2024-01-01 02:00")).first()["v"] == 1
 
 
-def test_nearest_place_ways_agree(spark):
+def test_nearest_in_time_skips_rows_without_a_time(spark):
+    rows = [("a", T0 + timedelta(seconds=1), 1), ("a", None, 2), ("b", None, 3), ("a", T0 + timedelta(seconds=1), 0), (None, T0, 9)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, v int")
+    got = {r["k"]: r["v"] for r in J.nearest_in_time(df, ["k"], "t", F.lit("2024-01-01 00:00"), ["v"]).collect()}
+    assert got == {"a": 0, None: 9}
+
+
+@pytest.mark.parametrize("levels", [1, 7])
+def test_nearest_place_equals_brute_force(spark, levels):
+    import math
     import random
 
     draw = random.Random(3)
-    pts = [(draw.uniform(-80, 80), draw.uniform(-179, 179)) for _ in range(60)]
-    places = [(i, draw.uniform(-70, 70), draw.uniform(-170, 170), f"P{i}") for i in range(40)]
-    df = spark.createDataFrame(pts, "lat double, lon double")
+    pts = [(draw.uniform(-90, 90), draw.uniform(-180, 180)) for _ in range(60)]
+    pts += [(90.0, 0.0), (-90.0, 10.0), (0.0, 180.0), (5.0, -180.0), (1.0, 179.9)] + [(10.0, 179.0 + i / 100) for i in range(20)]
+    places = [(i, draw.uniform(-80, 80), draw.uniform(-180, 180), f"P{i}") for i in range(60)]
+    places += [(100, 1.0, -179.9, "E"), (101, 1.0, -179.9, "F"), (102, None, 5.0, "N")]
+    df = spark.createDataFrame(pts + [(None, 1.0)], "lat double, lon double")
     dim = spark.createDataFrame(places, "place_id int, lat double, lon double, code string")
-    a = {(r["lat"], r["lon"]): r["place_id"] for r in J.nearest_place(df, dim).collect()}
-    b = {(r["lat"], r["lon"]): r["place_id"] for r in J.nearest_place_by_cell(df, dim, 8.0).collect()}
-    c = {(r["lat"], r["lon"]): r["place_id"] for r in J.nearest_place(df, dim, 8.0, max_in_array=10).collect()}
-    assert len(a) == 60 and a == b == c
+    got = {(r["lat"], r["lon"]): r["place_id"] for r in J.nearest_place(df, dim, levels).collect()}
+
+    def far(a, b):
+        p, q, d = math.radians(a[0]), math.radians(b[0]), math.radians(b[1] - a[1])
+        return math.asin(math.sqrt(math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(d / 2) ** 2))
+
+    for p in pts:
+        assert got[p] == min((far(p, s[1:3]), s[0]) for s in places if s[1] is not None)[1]
+    assert got[(None, 1.0)] is None and len(got) == len(set(pts)) + 1
 
 
 def test_resample_keeps_names(spark):
