@@ -23,6 +23,13 @@ def align(frames: Sequence[DataFrame], keys: Sequence[str] = ("index", "country"
     return reduce(lambda a, b: a.join(b, list(keys)), frames)
 
 
+def join_on_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join by keys, a NULL key meeting a NULL key, as in a window by these keys."""
+    mine = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    met = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(m)) for k, m in mine.items()])
+    return df.join(other.withColumnsRenamed(mine), met, how).drop(*mine.values())
+
+
 def lookup(
     df: DataFrame, dim: DataFrame, on: Sequence[str], defaults: dict[str, object] | None = None
 ) -> DataFrame:
@@ -37,7 +44,7 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], stats: dict[str, Column
     """Put per-key aggregates on every row of a raw table: aggregate first, then
     join the few result rows back, so no task holds a whole key. ``df`` is read
     twice."""
-    return df.join(df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), list(keys), "left")
+    return join_on_keys(df, df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), keys)
 
 
 def with_panel_stats(df: DataFrame, keys: Sequence[str], stats: dict[str, Column]) -> DataFrame:

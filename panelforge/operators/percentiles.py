@@ -4,7 +4,8 @@
 values of a key: right for panels, where a key has one row per period.
 
 ``exact_percentiles`` bounds every buffer: a fixed-size sketch brackets the
-wanted rank, and only the values inside the bracket are counted and ordered.
+wanted rank, only the values inside the bracket are counted, and the bracket is
+narrowed until the values to order are few.
 The sketch errs by at most 1/accuracy of the rows, so a bracket of two such
 steps on both sides always holds the rank and the result is exact.
 """
@@ -17,6 +18,9 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.operators.joins import join_on_keys
+from panelforge.session import reliable_checkpoint
+
 
 def _name(text: str) -> str:
     return f"`{text}`"
@@ -48,6 +52,39 @@ def approx_percentiles(
     )
 
 
+RANKED = 100_000   # distinct values of a bracket that one task puts in order
+BINS = 1024
+
+
+def _narrowed(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Brackets cut down until each has few distinct values: values are counted in equal
+    steps between the bracket's ends, and only the steps that hold the wanted ranks
+    stay. What lies below them becomes part of the counted row with a NULL value."""
+    names = [*keys, "_i"]
+    counted = reliable_checkpoint(counted, "brackets")
+    before = None
+    while True:
+        most = counted.groupBy(*names).agg(F.count("_v").alias("n")).agg(F.max("n")).first()[0]
+        if most is None or most <= RANKED or most == before:
+            return counted
+        before = most
+        ends = counted.groupBy(*names).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        step = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * BINS)
+        binned = join_on_keys(counted, ends, names).withColumn(
+            "_bin", F.when(F.col("_v").isNotNull(), F.least(F.coalesce(step, F.lit(0)), F.lit(BINS - 1))).otherwise(-1)
+        )
+        upto = Window.partitionBy(*names).orderBy("_bin")
+        bins = binned.groupBy(*names, "_r1", "_r2", "_bin").agg(F.sum("_c").alias("_c")).withColumn("_cum", F.sum("_c").over(upto))
+        first, last = (F.min(F.when(F.col("_cum") >= F.col(r), F.col("_bin"))) for r in ("_r1", "_r2"))
+        held = bins.groupBy(*names).agg(first.alias("_from"), last.alias("_to"))
+        counted = (
+            join_on_keys(binned, held, names).filter(F.col("_bin") <= F.col("_to"))
+            .groupBy(*names, "_r1", "_r2", "_w", F.when(F.col("_bin") >= F.col("_from"), F.col("_v")).alias("_v"))
+            .agg(F.sum("_c").alias("_c"))
+        )
+        counted = reliable_checkpoint(counted, "brackets")
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -103,7 +140,7 @@ def exact_percentiles(
         *keys, F.array(*[target(i, p) for i, p in enumerate(ps)]).alias("_t")
     )
     if keys:
-        near = rows.join(targets, keys)
+        near = join_on_keys(rows, targets, keys, "inner")
     else:
         near = rows.withColumn("_t", targets.scalar())
     # per target, values below the bracket collapse into one counted row (NULL
@@ -121,7 +158,7 @@ def exact_percentiles(
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     upto = Window.partitionBy(*keys, "_i").orderBy(F.col("_v").asc_nulls_first())
-    ranked = counted.withColumn("_cum", F.sum("_c").over(upto))
+    ranked = _narrowed(counted, keys).withColumn("_cum", F.sum("_c").over(upto))
     chosen = ranked.groupBy(*keys, "_i").agg(
         F.min(F.when(F.col("_cum") >= F.col("_r1"), F.col("_v"))).alias("_v1"),
         F.min(F.when(F.col("_cum") >= F.col("_r2"), F.col("_v"))).alias("_v2"),

@@ -11,6 +11,7 @@ from panelforge.config import TRAILING_ROWS
 from panelforge.functions import scoring as S
 from panelforge.functions.numbers import relative_error
 from panelforge.operators.blocks import row_frames
+from panelforge.operators.joins import join_on_keys
 from panelforge.operators.percentiles import exact_percentiles, percentile_disc
 
 
@@ -67,7 +68,7 @@ def with_flow_limits(
             }
         )
     limits = exact_percentiles(df, keys, net, {"P10_net": low, "P90_net": high})
-    return df.join(limits, keys, "left")
+    return join_on_keys(df, limits, keys)
 
 
 def score_columns() -> dict[str, Column]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import re
+import shutil
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,20 +45,29 @@ def build_session(
     return builder.getOrCreate()
 
 
+_RUN = uuid.uuid4().hex
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for tables and checkpoints.
 
-    It lies in the shared folder that ``spark.checkpoint.dir`` names. Only a
-    local session may go without that setting; it then gets a temporary folder.
-    """
+    It lies in the shared folder that ``spark.checkpoint.dir`` names or, where that is
+    unset, in the warehouse, which driver and executors share as well; never in a
+    folder of one machine. What a process wrote to a warehouse on its own disk is
+    removed when it ends; a shared folder is emptied by whoever set it."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="panelforge-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch-{_RUN}"
+        own = re.sub(r"^file:(//)?(?=/)", "", shared)
+        if own.startswith("/") and own not in _removed_at_exit:
+            _removed_at_exit.add(own)
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_removed_at_exit: set[str] = set()
+
+
 def reliable_checkpoint(df, label: str = "cut"):
     """Cut lineage by writing ``df`` to the scratch folder and reading it back.
 
