@@ -27,7 +27,7 @@ from panelforge.session import reliable_checkpoint
 
 END = np.uint64(0xE0D0E0D0E0D0E0D1)   # stands for the end of a text
 SMOOTH = 0.1
-HELD = 4_000_000                      # tokens that a task holds before it adds them up
+HELD = 2_000_000                      # tokens that a task holds before it adds them up
 STEPS_AN_OCTAVE = 16
 
 
