@@ -10,7 +10,11 @@ from panelforge.catalog.registry import query, rounded
 from panelforge.catalog.sqltext import with_fragments as sql
 from panelforge.ml import forecasting as A
 from panelforge.ml import models as ML
+from panelforge.functions.scoring import fallback_score, stress_level
 from panelforge.operators import features as FE
+from panelforge.operators import joins as J
+from panelforge.operators import latest as L
+from panelforge.operators import scenarios as X
 from panelforge.operators.profile import best_row
 from panelforge.operators.scores import score_panel
 from panelforge.operators.splits import Splits, split_by_date
@@ -120,6 +124,32 @@ def save_model_bundle(spark, sf):
     return model.transform(test).select("country", "index", "prediction")
 
 
+@query("model_scenarios")
+def model_scenarios(spark, sf):
+    """Presets for every country through a saved and loaded model: the latest row of
+    each country, with the preset's values in place of its own, or the rule-based score
+    where a feature is missing."""
+    rows = reliable_checkpoint(FE.with_label(FE.clean_features(score_panel(B.panel(spark, sf)))), "features")
+    names = FE.final_features(rows)
+    train, _, _ = split_by_date(FE.model_matrix(rows, names, [], keep=["index", "label"]), splits=SPLITS)
+    path = scratch_dir(spark, "model")
+    ML.save_bundle(ML.fit_pipeline(train, names, ML.logistic_models("label")["Logistic Regression"]), names, path, spark)
+    model, features = ML.load_bundle(path, spark)
+    usual = rows.groupBy("country").agg(F.avg(SCORE).alias("avg_stress"), F.avg("Actual_Load").alias("avg_load"))
+    latest = L.latest_per_key(rows, ["country"], ["index"]).drop("label")
+    grid = X.resolve_features(
+        X.per_scenario(J.join_on_keys(latest, usual, ["country"])),
+        overrides={
+            "Actual_Load": F.col("Actual_Load") * F.col("load_multiplier"), "mean_temperature_c": F.col("temperature").cast("double"),
+            "mean_wind_speed": F.col("wind").cast("double"), "mean_ssrd": F.col("solar").cast("double"),
+        },
+        defaults={}, features=["Actual_Load", "mean_temperature_c", "mean_wind_speed", "mean_ssrd"],
+    )
+    rule = fallback_score(F.col("avg_stress"), F.col("Actual_Load"), F.col("avg_load"), F.col("Forecasted_Load"), F.col("net_imports"), F.col("temperature"))
+    scored = X.model_scores(FE.with_interactions(grid), model, features, rule)
+    return scored.select("country", "scenario", "score", "scored_by", stress_level(F.col("score")).alias("level"))
+
+
 # ---- forecasts -------------------------------------------------------------------
 @query(
     "ts_prepare",

@@ -336,21 +336,23 @@ def baseline_delta(spark, sf):
 @query(
     "eu_map_table",
     sql(
-        """SELECT n_name AS country, upper(substr(r_name, 1, 3)) AS iso_3, coalesce(score, 28.5)::DOUBLE AS score,
-                  printf('%s: %.1f pts', n_name, coalesce(score, 28.5)) AS label
-           FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN latest ON country = n_name""",
-        {"latest": """SELECT country, arg_max(grid_stress_score, "index") AS score FROM scored
-                      WHERE country <> 'NATION_3' GROUP BY 1"""},
+        """SELECT name AS country, iso_3, coalesce(score, 28.5)::DOUBLE AS score,
+                  printf('%s: %.1f pts', name, coalesce(score, 28.5)) AS label
+           FROM facts LEFT JOIN latest ON country = name""",
+        {"latest": """SELECT country, arg_max(grid_stress_score, "index") AS score FROM scored GROUP BY 1""",
+         "facts": """SELECT n_name AS name, upper(substr(r_name, 1, 3)) AS iso_3 FROM nation JOIN region ON n_regionkey = r_regionkey
+                     UNION ALL SELECT upper(r_name), upper(substr(r_name, 1, 3)) FROM region"""},
     ),
 )
 def eu_map_table(spark, sf):
-    """The latest score per country, or its average where there is none."""
+    """The latest score per country, or its average where there is none: whole regions
+    stand among the countries and have no score."""
     regions = B.table(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    facts = B.table(spark, sf, "nation").join(regions, "n_regionkey").select(
-        F.col("n_name").alias("country"), F.col("n_name").alias("name"),
-        F.upper(F.substring("r_name", 1, 3)).alias("iso_3"), F.lit(28.5).alias("avg_stress"),
-    )
-    latest = score_panel(_panel(spark, sf)).filter(F.col("country") != "NATION_3").groupBy("country").agg(
+    code = F.upper(F.substring("r_name", 1, 3)).alias("iso_3")
+    facts = B.table(spark, sf, "nation").join(regions, "n_regionkey").select(F.col("n_name").alias("country"), code)
+    facts = facts.unionByName(regions.select(F.upper("r_name").alias("country"), code))
+    facts = facts.withColumns({"name": F.col("country"), "avg_stress": F.lit(28.5)})
+    latest = score_panel(_panel(spark, sf)).groupBy("country").agg(
         F.max_by("grid_stress_score", "index").alias("score")
     )
     return X.map_table(facts, latest)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +84,18 @@ def scenario_scores(stats: DataFrame, reference_load: Column) -> DataFrame:
     return grid.withColumn("score", score).withColumn("level", S.stress_level(F.col("score")))
 
 
+def model_scores(grid: DataFrame, model, features: Sequence[str], fallback: Column) -> DataFrame:
+    """``score`` of each row: the model's probability of stress in percent, or the
+    ``fallback`` where a feature is missing, and ``scored_by``."""
+    known = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() & ~F.isnan(F.col(f"`{c}`").cast("double")) for c in features])
+    by_model = model.transform(grid.filter(known)).withColumn("score", vector_to_array("probability")[1] * 100.0)
+    by_rule = grid.filter(~F.coalesce(known, F.lit(False))).withColumn("score", fallback)
+    names = [*grid.columns, "score"]
+    return by_model.select(*names, F.lit("model").alias("scored_by")).unionByName(
+        by_rule.select(*names, F.lit("rule").alias("scored_by"))
+    )
+
+
 def baseline_delta(df: DataFrame, score="score", base="avg_stress", load="load", usual="avg_load"):
     return df.withColumns(
         {
