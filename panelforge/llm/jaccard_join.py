@@ -2,12 +2,13 @@
 
 Shingles are ordered by how common they are, the rarest first. Two sets that reach
 the wanted similarity share, among the first ``|x| - need + k`` shingles of that
-order, at least k. This is used twice:
+order, at least k, here about a twelfth of the set. This is used twice:
 
-1. with k of about a twelfth of the set, to leave out texts that have no partner:
+1. to leave out texts that have no partner:
    those that share too few of these shingles with any different text;
-2. with k = 2, to index the rest: a shingle of few texts alone, shingles of many
-   texts in combinations of two.
+2. to index the rest: a shingle of few texts alone, shingles of many texts in
+   combinations of two, dealt to so many groups that two shared ones meet in one; so a
+   text has about two combinations for each such shingle, however long it is.
 
 Found pairs are verified on the whole sets. No group of texts is expanded into all
 its pairs: each text is compared with one that shares most signatures with it, and what
@@ -191,7 +192,7 @@ def _sets(batches, width: int, percent: int, ranks: bytes, bits: bytes) -> Itera
         for w in T.words(batch["text"]):
             h, ends = T.distinct_sets(w, width)
             n = np.diff(ends)
-            first, at = ordered_prefix(h, ends, ranks, may_miss(n, percent) + 2)
+            first, at = ordered_prefix(h, ends, ranks, may_miss(n, percent) + extension(n))
             yield pa.RecordBatch.from_arrays(
                 [longs(set_keys(h, ends)), pa.array(n.astype(np.int32)), long_lists(h, ends), long_lists(first, np.searchsorted(at, np.arange(len(n) + 1)))],
                 ["node", "n", "members", "signs"],
@@ -233,7 +234,7 @@ def set_links(sets: DataFrame, percent: int, ranks: bytes) -> DataFrame:
     group = rows.groupBy("sign").agg(F.min("node").alias("hub"), F.min_by("n", "node").alias("hn"), F.count("*").alias("df")).where("df > 1")
     rows = reliable_checkpoint(rows.join(group, "sign"), "signs")
     # Each set meets the hub with which it shares most signs, if these are half of its own.
-    own = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 2
+    own = F.least(F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 2 + F.floor(F.col("n") / 12), F.col("n"))
     best = (
         rows.where(F.col("node") != F.col("hub")).where(similar_size("n", "hn", percent))
         .groupBy("node", "hub", "n").agg(F.count("*").alias("c")).where(F.col("c") * 2 >= own)
@@ -243,11 +244,16 @@ def set_links(sets: DataFrame, percent: int, ranks: bytes) -> DataFrame:
     links = reliable_checkpoint(verified(best, sets, percent), "pairs")
     rows = _unsettled(_roots(rows.select("sign", "node", "n", "df"), links))
     rows = reliable_checkpoint(rows, "signs")
-    # Frequent signs count in combinations of two.
-    signs = F.array_sort(F.collect_list("sign"))
-    two = F.expr("flatten(transform(s, (x, i) -> transform(slice(s, i + 2, size(s)), y -> xxhash64(x, y))))")
+    # Frequent signs count in combinations of two. Linked sets share as many signs as the
+    # smaller one's k; dealt to k - 1 groups, two of them meet in one. Sizes of linked sets
+    # are at most a class apart, so each set is indexed by its class and the next.
+    class_ = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
+    groups = F.greatest(F.lit(1), F.floor(F.pow(F.lit(100.0 / percent), F.col("class") - 1) / 12) + 1)
+    two = F.expr("flatten(transform(s, (x, i) -> transform(slice(s, i + 2, size(s)), y -> xxhash64(class, part, x, y))))")
     pairs = (
-        rows.where(F.col("df") > FREQUENT).groupBy("node", "root").agg(signs.alias("s"))
+        rows.where(F.col("df") > FREQUENT).withColumn("class", F.explode(F.array(class_, class_ + 1)))
+        .withColumn("part", F.pmod(F.col("sign"), groups))
+        .groupBy("node", "root", "class", "part").agg(F.array_sort(F.collect_list("sign")).alias("s")).where(F.size("s") > 1)
         .select(F.explode(two).alias("sign"), "node", "root")
     )
     index = rows.where(F.col("df") <= FREQUENT).select("sign", "node", "root").unionByName(pairs)
@@ -279,7 +285,7 @@ class _Sets:
         self.members = np.concatenate([c.flatten().to_numpy() for c in chunks] or [np.zeros(0, np.int64)]).view(np.uint64)
         self.n = np.concatenate([np.diff(c.offsets.to_numpy()) for c in chunks] or [np.zeros(0, np.int64)]).astype(np.int64)
         self.ends = np.append(0, np.cumsum(self.n))
-        self.signs, self.of = ordered_prefix(self.members, self.ends, ranks, may_miss(self.n, percent) + 2)
+        self.signs, self.of = ordered_prefix(self.members, self.ends, ranks, may_miss(self.n, percent) + extension(self.n))
         self.sign_ends = np.searchsorted(self.of, np.arange(len(self.n) + 1))
 
     def __len__(self) -> int:
@@ -287,8 +293,8 @@ class _Sets:
 
 
 def _compare(batches: Iterator[pa.RecordBatch], percent: int, ranks: bytes) -> Iterator[pa.RecordBatch]:
-    """Links between the rows of two blocks that share two signs and don't hang together
-    yet; enough of them to connect what is similar."""
+    """Links between the rows of two blocks that share enough signs and don't hang
+    together yet; enough of them to connect what is similar."""
     t = pa.Table.from_batches(list(batches))
     lo, hi = t["lo"][0].as_py(), t["hi"][0].as_py()
     block, rank = t["block"].to_numpy(), np.frombuffer(ranks, np.uint8)
@@ -315,7 +321,7 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int, ranks: bytes) -> I
         a, b = np.searchsorted(signs, own), np.searchsorted(signs, own, "right")
         at = np.repeat(a - np.cumsum(b - a) + (b - a), b - a) + np.arange((b - a).sum())
         shared = np.bincount(owners[at], minlength=len(y))
-        ok = (shared > 1) & (y.n * 100 >= x.n[i] * percent) & (x.n[i] * 100 >= y.n * percent) & (y.root != x.root[i])
+        ok = (shared >= extension(np.minimum(y.n, x.n[i]))) & (y.n * 100 >= x.n[i] * percent) & (x.n[i] * 100 >= y.n * percent) & (y.root != x.root[i])
         if x is y:
             ok[: i + 1] = False
         which = np.flatnonzero(ok)
