@@ -19,11 +19,12 @@ SPLIT_SQL = """CASE WHEN "index" <= TIMESTAMP '1999-12-31' THEN 'train'
 
 
 def inputs(spark, sf):
-    """Monthly inputs in whole cents, so that results match digit by digit."""
+    """Monthly inputs in whole cents, so that results match digit by digit. Series that
+    come from the same readings come from one pass over them."""
     return P.Inputs(
-        readings=[B.load(spark, sf), B.forecast(spark, sf)],
+        readings=[B.load_and_forecast(spark, sf)],
         flows=B.flow(spark, sf),
-        panels=[B.weather(spark, sf), B.renewables(spark, sf), B.generation(spark, sf)],
+        panels=[B.supply(spark, sf)],
         unit="month",
     )
 
