@@ -11,6 +11,7 @@ from panelforge.catalog.sqltext import with_fragments as sql
 from panelforge.ml import forecasting as A
 from panelforge.ml import models as ML
 from panelforge.functions.scoring import fallback_score, stress_level
+from panelforge.operators import evaluate as E
 from panelforge.operators import features as FE
 from panelforge.operators import joins as J
 from panelforge.operators import latest as L
@@ -22,7 +23,7 @@ from panelforge.session import reliable_checkpoint, scratch_dir
 from panelforge.sources import benchdata as B
 
 SPLITS = Splits("1999-12-31", "2000-12-31")
-EFFORT = 0.1   # share of the full number of trees, to keep the queries short
+ROUNDS = 0.1   # share of the boosting rounds, see README
 SCORE = "grid_stress_score"
 
 
@@ -63,12 +64,12 @@ def fit_tree(spark, sf):
 
 @query("fit_forest")
 def fit_forest(spark, sf):
-    return _board(spark, sf, ML.forest_regressors(SCORE, EFFORT), SCORE)
+    return _board(spark, sf, ML.forest_regressors(SCORE), SCORE)
 
 
 @query("fit_gbt")
 def fit_gbt(spark, sf):
-    return _board(spark, sf, ML.boosted_regressors(SCORE, EFFORT / 4), SCORE)
+    return _board(spark, sf, ML.boosted_regressors(SCORE, ROUNDS), SCORE)
 
 
 @query("fit_logistic")
@@ -79,7 +80,7 @@ def fit_logistic(spark, sf):
 @query("model_leaderboard")
 def model_leaderboard(spark, sf):
     """All classifiers, with the best by F1 marked."""
-    table = _board(spark, sf, ML.classifiers("label", EFFORT / 4), "label", classify=True)
+    table = _board(spark, sf, ML.classifiers("label", ROUNDS), "label", classify=True)
     top = best_row(table, "f1", "model").select("model", F.lit(True).alias("best"))
     return table.join(top, "model", "left").fillna(False, subset=["best"])
 
@@ -105,7 +106,7 @@ def score_probability(spark, sf):
 @query("feature_importance")
 def feature_importance(spark, sf):
     train, _, _, _ = matrix(spark, sf)
-    model = ML.forest_regressors(SCORE, EFFORT)["Random Forest (wide)"].fit(train)
+    model = ML.forest_regressors(SCORE)["Random Forest (wide)"].fit(train)
     return ML.feature_importance(spark, model, ML.feature_names(train))
 
 
@@ -124,6 +125,40 @@ def save_model_bundle(spark, sf):
     return model.transform(test).select("country", "index", "prediction")
 
 
+def _tuned(spark, sf):
+    """The best searched model, with its prediction on all three parts."""
+    train, valid, test, _ = matrix(spark, sf)
+    model = GBTRegressor(labelCol=SCORE, maxIter=3, seed=ML.SEED)
+    best, _ = ML.hyper_search(train, model, ML.boosted_search_space(model), SCORE, n=3, folds=2)
+    parts = {"train": train, "validation": valid, "test": test}
+    names = ["country", "index", SCORE, "label", "prediction"]
+    rows = [best.transform(df).select(*names, F.lit(part).alias("split")) for part, df in parts.items()]
+    return train, reliable_checkpoint(rows[0].unionByName(rows[1]).unionByName(rows[2]), "tuned")
+
+
+@query("tuned_model_splits")
+def tuned_model_splits(spark, sf):
+    """MAE, RMSE and R2 of the searched model on each part, and its overfit gap."""
+    _, rows = _tuned(spark, sf)
+    metrics = E.regression_metrics(rows, SCORE, "prediction", ["split"])
+    return metrics.withColumns({c: F.lit(v) for c, v in E.overfit_gap(metrics).first().asDict().items() if c not in metrics.columns})
+
+
+@query("tuned_model_thresholds")
+def tuned_model_thresholds(spark, sf):
+    """The searched model as a warning at several thresholds, beside a classifier."""
+    train, rows = _tuned(spark, sf)
+    held = rows.filter("split = 'validation'").drop("split")
+    sweep = E.threshold_sweep(held, SCORE, "prediction")
+    _, valid, _, _ = matrix(spark, sf)
+    told = ML.logistic_models("label")["Logistic Regression"].fit(train).transform(valid)
+    both = J.join_on_keys(held, told.select("country", "index", F.col("prediction").alias("class")), ["country", "index"])
+    approaches = E.compare_approaches(both, SCORE, {"regression_50": F.col("prediction") >= 50, "classifier": F.col("class") == 1})
+    return sweep.select(F.concat(F.lit("threshold "), F.col("threshold").cast("string")).alias("approach"), "accuracy", "precision", "recall", "f1").unionByName(
+        approaches.select("approach", "accuracy", "precision", "recall", "f1")
+    )
+
+
 @query("model_scenarios")
 def model_scenarios(spark, sf):
     """Presets for every country through a saved and loaded model: the latest row of

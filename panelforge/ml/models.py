@@ -42,8 +42,8 @@ def feature_stages(numeric: Sequence[str], key: str = "country") -> list:
     ]
 
 
-def _count(base: int, effort: float) -> int:
-    return max(2, round(base * effort))
+def _rounds(base: int, share: float) -> int:
+    return max(2, round(base * share))
 
 
 def linear_models(label: str, rows: int) -> dict:
@@ -66,10 +66,10 @@ def tree_regressors(label: str) -> dict:
     }
 
 
-def forest_regressors(label: str, effort: float = 1.0) -> dict:
+def forest_regressors(label: str) -> dict:
     def forest(trees, depth, least):
         return RandomForestRegressor(
-            labelCol=label, numTrees=_count(trees, effort), maxDepth=depth,
+            labelCol=label, numTrees=trees, maxDepth=depth,
             minInstancesPerNode=least, seed=SEED)
 
     return {
@@ -79,10 +79,11 @@ def forest_regressors(label: str, effort: float = 1.0) -> dict:
     }
 
 
-def boosted_regressors(label: str, effort: float = 1.0) -> dict:
+def boosted_regressors(label: str, share: float = 1.0) -> dict:
+    """``share`` scales the boosting rounds."""
     def boosted(rounds, depth, step, columns="all", least=1):
         return GBTRegressor(
-            labelCol=label, maxIter=_count(rounds, effort), maxDepth=depth, stepSize=step,
+            labelCol=label, maxIter=_rounds(rounds, share), maxDepth=depth, stepSize=step,
             subsamplingRate=0.8, featureSubsetStrategy=columns, minInstancesPerNode=least, seed=SEED)
 
     return {
@@ -94,11 +95,11 @@ def boosted_regressors(label: str, effort: float = 1.0) -> dict:
     }
 
 
-def regressors(label: str, rows: int, effort: float = 1.0) -> dict:
-    """All regressors. ``effort`` scales the number of trees and rounds."""
+def regressors(label: str, rows: int, share: float = 1.0) -> dict:
+    """All regressors. ``share`` scales the boosting rounds."""
     return {
         **linear_models(label, rows), **tree_regressors(label),
-        **forest_regressors(label, effort), **boosted_regressors(label, effort),
+        **forest_regressors(label), **boosted_regressors(label, share),
     }
 
 
@@ -110,18 +111,19 @@ def logistic_models(label: str, weight: str = "weight") -> dict:
     }
 
 
-def classifiers(label: str, effort: float = 1.0, weight: str = "weight", fixed: str = "weight_3"):
-    """All classifiers; the balanced ones weigh rows by ``weight``."""
+def classifiers(label: str, share: float = 1.0, weight: str = "weight", fixed: str = "weight_3"):
+    """All classifiers; the balanced ones weigh rows by ``weight``. ``share`` scales the
+    boosting rounds."""
     def tree(**kw):
         return DecisionTreeClassifier(labelCol=label, maxDepth=15, seed=SEED, **kw)
 
     def forest(**kw):
         return RandomForestClassifier(
-            labelCol=label, numTrees=_count(100, effort), maxDepth=20, seed=SEED, **kw)
+            labelCol=label, numTrees=100, maxDepth=20, seed=SEED, **kw)
 
     def boosted(**kw):
         return GBTClassifier(
-            labelCol=label, maxIter=_count(100, effort), maxDepth=7, stepSize=0.1, seed=SEED, **kw)
+            labelCol=label, maxIter=_rounds(100, share), maxDepth=7, stepSize=0.1, seed=SEED, **kw)
 
     return {
         **logistic_models(label, weight),
