@@ -6,7 +6,7 @@ key, and only these sums (a small matrix per key) reach a vectorised helper that
 solves for the coefficients. The fit follows Hannan and Rissanen (1982): a long
 autoregression gives the residuals, then the values are regressed on their own
 lags and on lagged residuals, for each (p, q); the lowest AIC wins. A
-Dickey-Fuller regression decides between levels and differences.
+Dickey-Fuller regression decides between levels, differences and their differences.
 """
 
 from __future__ import annotations
@@ -24,13 +24,14 @@ from panelforge.operators.blocks import row_frames
 from panelforge.operators.evaluate import regression_metrics
 from panelforge.session import reliable_checkpoint
 
-LONG = 4          # lags of the long autoregression
-MAX_P = 2
-MAX_Q = 2
+LONG = 8          # lags of the long autoregression
+MAX_P = 5
+MAX_Q = 5
+MAX_D = 2
 REACH = LONG + MAX_Q          # lags of z that the second regression needs
 DF_LIMIT = -2.86              # 5 % value of the Dickey-Fuller test with a constant
-WIDTH1 = LONG + 2             # 1, z1..z4, z
-WIDTH2 = MAX_P + MAX_Q + 2    # 1, z1, z2, e1, e2, z
+WIDTH1 = LONG + 2             # 1, z1..z8, z
+WIDTH2 = MAX_P + MAX_Q + 2    # 1, z1..z5, e1..e5, z
 
 MODEL = T.StructType(
     [
@@ -110,7 +111,7 @@ def _lagged(df: DataFrame, keys, order, value: str, span: str | None) -> DataFra
     """y0, y1, ... are the value and its lags, measured from the key's mean."""
     mean = df.groupBy(*keys).agg(F.avg(value).alias("center"))
     rows = df.join(mean, list(keys)).withColumn("y0", F.col(value) - F.col("center"))
-    lags = REACH + 1
+    lags = REACH + MAX_D
     return row_frames(
         rows, keys, order,
         lambda w: {f"y{k}": F.lag("y0", k).over(w) for k in range(1, lags + 1)},
@@ -118,18 +119,26 @@ def _lagged(df: DataFrame, keys, order, value: str, span: str | None) -> DataFra
     )
 
 
+def _statistic(n, slope, sxx, syy):
+    """The Dickey-Fuller statistic from the sums of a regression."""
+    rest = F.greatest(syy - slope * slope * sxx, F.lit(0.0))
+    return F.try_divide(slope, F.sqrt(F.try_divide(rest, (n - 2) * sxx)))
+
+
 def _difference_order(lagged: DataFrame, keys) -> DataFrame:
-    """d per key: 0 if the Dickey-Fuller statistic rejects a unit root, else 1."""
-    step, x = F.col("y0") - F.col("y1"), F.col("y1")
-    known = lagged.filter(F.col("y1").isNotNull())
-    sums = known.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.regr_slope(step, x).alias("slope"),
-        F.regr_sxx(step, x).alias("sxx"), F.regr_syy(step, x).alias("syy"),
+    """d per key: how often to take differences until the Dickey-Fuller statistic
+    rejects a unit root, ``MAX_D`` times at most."""
+    y = [F.col(f"y{k}") for k in range(3)]
+    cases = ((y[0] - y[1], y[1]), (y[0] - 2 * y[1] + y[2], y[1] - y[2]))
+    sums = lagged.groupBy(*keys).agg(
+        *[
+            s(*pair).cast("double").alias(f"{n}{i}")
+            for i, pair in enumerate(cases)
+            for n, s in (("n", F.regr_count), ("slope", F.regr_slope), ("sxx", F.regr_sxx), ("syy", F.regr_syy))
+        ]
     )
-    rest = F.greatest(F.col("syy") - F.col("slope") * F.col("slope") * F.col("sxx"), F.lit(0.0))
-    error = F.sqrt(F.try_divide(rest, (F.col("n") - 2) * F.col("sxx")))
-    statistic = F.try_divide(F.col("slope"), error)
-    return sums.select(*keys, F.when(statistic < DF_LIMIT, 0).otherwise(1).alias("d"))
+    found = [_statistic(*[F.col(f"{n}{i}") for n in ("n", "slope", "sxx", "syy")]) < DF_LIMIT for i in range(MAX_D)]
+    return sums.select(*keys, F.when(found[0], 0).when(found[1], 1).otherwise(2).alias("d"))
 
 
 def fit_arima(
@@ -144,17 +153,19 @@ def fit_arima(
     order = _difference_order(lagged, keys)
     rows = lagged.join(order, keys)
     z = {
-        f"z{k}": F.when(F.col("d") == 0, F.col(f"y{k}")).otherwise(F.col(f"y{k}") - F.col(f"y{k + 1}"))
+        f"z{k}": F.when(F.col("d") == 0, F.col(f"y{k}"))
+        .when(F.col("d") == 1, F.col(f"y{k}") - F.col(f"y{k + 1}"))
+        .otherwise(F.col(f"y{k}") - 2 * F.col(f"y{k + 1}") + F.col(f"y{k + 2}"))
         for k in range(REACH + 1)
     }
     rows = rows.withColumns(z).withColumn("one", F.lit(1.0))
-    has_lags = F.col(f"y{REACH + 1}").isNotNull()
+    has_lags = F.col(f"y{REACH + MAX_D}").isNotNull()
     whole = rows.filter(has_lags)
     first = rows.groupBy(*keys).agg(
         F.array(
             *_products(["one", *[f"z{k}" for k in range(1, LONG + 1)], "z0"], has_lags)
         ).alias("_s"),
-        F.max_by(F.array(*[f"y{k}" for k in range(REACH + 2)]), time).alias("last_values"),
+        F.max_by(F.array(*[f"y{k}" for k in range(REACH + MAX_D + 1)]), time).alias("last_values"),
         F.max(time).alias("last_time"),
         F.max("center").alias("center"),
         F.max("d").alias("d"),
@@ -186,18 +197,21 @@ def fit_arima(
 
 def _project(row, steps: int, low: float, high: float) -> list[float]:
     y = np.array(row.last_values, dtype=float)        # newest first
-    z = y[:-1] - y[1:] if row.d else y[:-1]
+    z = y
+    for _ in range(row.d):
+        z = z[:-1] - z[1:]
     long_ar = np.array(row.long_ar)
     shocks = [
         z[j] - long_ar[0] - long_ar[1:] @ z[j + 1 : j + 1 + LONG] for j in range(MAX_Q)
     ]
-    values, level, out = list(z[:MAX_P]), y[0], []
+    values, level, slope, out = list(z[:MAX_P]), y[0], y[0] - y[1], []
     for _ in range(steps):
         ahead = row.const + sum(a * v for a, v in zip(row.ar, values))
         ahead += sum(b * e for b, e in zip(row.ma, shocks))
         values = [ahead, *values[: MAX_P - 1]]
         shocks = [0.0, *shocks[: MAX_Q - 1]]
-        level = level + ahead if row.d else ahead
+        slope = slope + ahead if row.d == 2 else ahead
+        level = level + slope if row.d else ahead
         out.append(float(min(max(level + row.center, low), high)))
     return out
 

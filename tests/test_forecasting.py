@@ -51,7 +51,7 @@ def test_long_autoregression_is_least_squares(fitted):
     row = {r["k"]: r for r in fitted.collect()}["ar"]
     y = _series("ar")
     y = y - y.mean()
-    first = A.REACH + 1
+    first = A.REACH + A.MAX_D
     x = np.column_stack(
         [np.ones(len(y) - first)] + [y[first - k : len(y) - k] for k in range(1, A.LONG + 1)]
     )
