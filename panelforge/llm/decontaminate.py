@@ -76,7 +76,8 @@ def _regions(batches, masks: list[str], bits: bytes) -> Iterator[pa.RecordBatch]
             seeds, places = [], []
             for mask in masks:
                 h = _windows(w.hashes, mask)
-                at = np.flatnonzero(in_bits(bits, (h & T.U((1 << BITS) - 1)).astype(np.int64)))
+                low = np.flatnonzero(in_bits(bits, (h & T.U((1 << BITS) - 1)).astype(np.int64)))
+                at = low[in_bits(bits, (h[low] >> T.U(64 - BITS)).astype(np.int64))]
                 at = at[rows[at] == rows[at + len(mask) - 1]]
                 seeds.append(h[at])
                 places.append(at)
@@ -154,7 +155,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     seeds, whole = found.where("at >= 0").select("item_id", "seed", "at"), found.where("at < 0").select("item_id", F.col("words").alias("item_words"))
     short = [r[0] for r in whole.where(F.size("item_words") < SPAN).select(F.size("item_words")).distinct().collect()]
     masks = _masks(short)
-    bits = bits_of(seeds.select(F.col("seed").bitwiseAND(F.lit((1 << BITS) - 1)).alias("at")), BITS)
+    # Each hash sets two bits, so a window of a text passes by chance once in thousands.
+    low, high = F.col("seed").bitwiseAND(F.lit((1 << BITS) - 1)), F.shiftrightunsigned("seed", 64 - BITS)
+    bits = bits_of(seeds.select(F.explode(F.array(low, high)).alias("at")), BITS)
 
     def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _regions(batches, masks, bits)
