@@ -68,11 +68,20 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 _removed_at_exit: set[str] = set()
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def reliable_checkpoint(df, label: str = "cut"):
     """Cut lineage by writing ``df`` to the scratch folder and reading it back.
 
     The files outlive any executor, so lost executors cost no recomputation of
-    the plan above."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    the plan above. Shuffle files of the write are removed once it is done: nothing
+    reads them again."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
