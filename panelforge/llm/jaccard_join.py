@@ -35,7 +35,7 @@ CELLS_A_ROW = 4096
 CHUNK = 1_000_000      # shingles that a task holds before it sends them
 BUCKET = 500_000       # shingles that a bucket of the first exchange holds, about
 FREQUENT = 32          # a shingle of more texts is indexed in combinations of two
-BLOCK = 2_000_000      # shingles of the sets that are compared at a time, with as many others
+BLOCK = 4_000_000      # shingles of the sets that are compared at a time, with as many others
 
 
 def may_miss(n, percent: int):
