@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def draw_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows drawn by importance, as large a share as that of good labels. Repeated
-    rows stay or go together; without labels nothing is dropped."""
+    """The rows drawn by importance, as many as are good by the labelled texts among them.
+    Repeated rows stay or go together; without good and bad ones nothing is dropped."""
     return resample.keep_drawn(docs, table(spark, sf_dir, "labels"))
 
 

@@ -112,6 +112,16 @@ def labelled_sample(labels: DataFrame, label: str, rows: int, where=None, id_col
     return known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * 0.95 * rows / size))
 
 
+def one_text_each(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``id``, ``label``, ``text``: one of the texts that ``rows`` (id, text) holds for each
+    chosen id (id, label), so that an id counts once however many rows it has. ``chosen``
+    is a bounded sample; copies fall together in each task before they are sent."""
+    return (
+        rows.select("id", "text").join(F.broadcast(chosen), "id").groupBy("id", "label")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    )
+
+
 def crc_remainder(id_col: str, parts: int):
     """crc32 of the id as text, modulo ``parts``; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % parts

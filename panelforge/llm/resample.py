@@ -1,9 +1,11 @@
 """Quality by importance resampling: keep texts in the proportions of a target.
 
 Two generative models over hashed word n-grams, one of the good labelled texts and one
-of all texts, give each text the log of its importance weight. Rows are drawn without
-replacement by Gumbel top-k: a row's key is its log weight plus Gumbel noise that
-follows from its content, and the k largest keys stay.
+of all texts, give each text the log of its importance weight; every distinct text
+counts once. Rows are drawn without replacement by Gumbel top-k: a row's key is its log
+weight plus Gumbel noise that follows from its content, and the k largest keys stay. k
+is how many good rows the table itself holds, by a cut between the labelled good and
+bad texts in it.
 """
 
 from __future__ import annotations
@@ -17,13 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm import words as T
-from panelforge.llm.common import labelled_sample, query, rarely, table
+from panelforge.llm.common import bits_of, in_bits, labelled_sample, one_text_each, query, rarely, table
 from panelforge.session import reliable_checkpoint
 
 BITS = 16           # n-grams are counted in 2**16 cells
 SAMPLE = 20_000     # good texts that the target model is learned from, at most
 SMOOTH = 1.0        # added to each cell, in the shape of the raw model
 BINS = 4096         # of each step towards the k-th key
+COPIED = 22         # a bit table of 2**22 text hashes that occur twice
 
 
 def _grams(s: T.Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -52,9 +55,11 @@ def _count(batches) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Weights:
-    """The log ratio of target to raw for each of 2**16 cells."""
+    """The log ratio of target to raw for each of 2**16 cells, and what it comes from."""
 
     cells: np.ndarray
+    raw: np.ndarray      # shares
+    target: np.ndarray   # counts
 
     def of(self, column) -> np.ndarray:
         out = np.zeros(len(column))
@@ -63,6 +68,19 @@ class Weights:
             out[s.first : s.first + len(s)] = np.bincount(rows, self.cells[cells], len(s))
         return out
 
+    def without_own(self, column) -> np.ndarray:
+        """Log weights of target texts by a target that each text is left out of, so
+        that they compare with texts the model hasn't seen."""
+        out, smooth = np.zeros(len(column)), SMOOTH * len(self.raw)
+        for s in T.slices(column):
+            cells, rows = _grams(s)
+            codes, n = np.unique((rows << BITS) | cells, return_counts=True)
+            rows, cells = codes >> BITS, codes & ((1 << BITS) - 1)
+            all_ = np.bincount(rows, n, len(s))
+            q = (np.maximum(self.target[cells] - n, 0) + smooth * self.raw[cells]) / (np.maximum(self.target.sum() - all_, 0) + smooth)[rows]
+            out[s.first : s.first + len(s)] = np.bincount(rows, n * np.log(q / self.raw[cells]), len(s))
+        return out
+
     def keys(self, column, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log weights, and with Gumbel noise from 64 random bits each."""
         u = ((noise.astype(np.int64).view(np.uint64) >> T.U(11)).astype(float) + 0.5) / 2.0**53
@@ -70,27 +88,100 @@ class Weights:
         return log, log - np.log(-np.log(u))
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"))
+
+
+def _distinct(rows: DataFrame) -> DataFrame:
+    """``hash``, ``text``: every text once. Only texts that a table of bits calls copied
+    are sent; it lets no copy escape."""
+    at = F.pmod("hash", F.lit(1 << COPIED))
+    bits = bits_of(rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select(at.alias("at")), COPIED)
+
+    @F.arrow_udf("boolean")
+    def copied(at: pa.Array) -> pa.Array:
+        return pa.array(in_bits(bits, at.to_numpy()))
+
+    marked = rows.select("hash", "text", copied(at).alias("copied"))
+    return marked.where(~F.col("copied")).select("hash", "text").unionByName(marked.where("copied").groupBy("hash").agg(F.first("text").alias("text")))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "quality", sample: int = SAMPLE) -> Weights:
-    """Both models in one pass: the raw one counts every text, the target one the
-    texts labelled 1, ``sample`` of them at most."""
-    good = labelled_sample(labels, label, sample, F.col("label") == 1).select("id", F.lit(True).alias("good"))
+    """Both models in one pass over the distinct texts: the raw one counts each, the
+    target one those labelled 1, of ``sample`` ids at most and one for each id."""
+    rows = _texts(docs, id_col, text_col)
+    good = labelled_sample(labels, label, sample, F.col("label") == 1)
     # Bounded by ``sample`` rows.
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(good), "id", "left")
+    good = one_text_each(rows, good).select(F.xxhash64("text").alias("hash"), F.lit(True).alias("good")).distinct()
     found = (
-        rows.select(F.coalesce("good", F.lit(False)).alias("target"), "text").mapInArrow(_count, "cell int, raw long, target long")
+        _distinct(rows).join(F.broadcast(good), "hash", "left")
+        .select(F.coalesce("good", F.lit(False)).alias("target"), "text").mapInArrow(_count, "cell int, raw long, target long")
         .groupBy("cell").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     )
     raw, target = np.zeros(1 << BITS), np.zeros(1 << BITS)
     raw[found.cell], target[found.cell] = found.raw, found.target
     p = (raw + SMOOTH) / (raw.sum() + SMOOTH * len(raw))
     q = (target + SMOOTH * len(raw) * p) / (target.sum() + SMOOTH * len(raw))
-    return Weights(np.log(q / p))
+    return Weights(np.log(q / p), p, target)
+
 
+@dataclass
+class Cut:
+    """Texts with a log weight of ``limit`` or more pass: ``hit`` of the good ones the
+    model hasn't seen, ``slip`` of the bad ones. Of the ``good`` and ``bad`` labelled
+    texts, ``passed`` pass."""
+
+    limit: float
+    hit: float
+    slip: float
+    good: int
+    bad: int
+    passed: int
+
+    def good_rows(self, rows: int, passed: int, texts: int, passed_texts: int) -> int:
+        """How many rows are good, of the number of rows and of distinct texts in all and
+        of those that pass: the rows that pass, and the texts misjudged either way."""
+        other = texts - self.good - self.bad
+        found = (passed_texts - self.passed - self.slip * other) / (self.hit - self.slip) if self.hit > self.slip else other
+        good = self.good + min(max(found, 0), other)
+        return int(min(max(passed + good - passed_texts, 0), rows) + 0.5)
+
+
+def cut_between(good: np.ndarray, bad: np.ndarray) -> tuple[float, float, float] | None:
+    """The limit that parts good from bad log weights best (each kind counts alike), at
+    the middle of the gap, and the shares of either kind at or above it. It is never
+    above 0: a text that the target makes likelier isn't bad. Below all, where none parts
+    them; None, where one kind is missing."""
+    if not len(good) or not len(bad):
+        return None
+    good, bad = np.sort(good), np.sort(bad)
+    at = np.unique(np.concatenate([good, bad]))
+    limits = np.append(np.minimum((at[1:] + at[:-1]) / 2, 0), min(at[0], 0))
+    hit = 1 - np.searchsorted(good, limits) / len(good)
+    slip = 1 - np.searchsorted(bad, limits) / len(bad)
+    best = int(np.argmax(hit - slip))
+    return (float(limits[best]), float(hit[best]), float(slip[best])) if hit[best] > slip[best] else (float("-inf"), 1.0, 1.0)
+
+
+def find_cut(
+    docs: DataFrame, labels: DataFrame, weights: Weights, id_col: str = "doc_id", text_col: str = "text", label: str = "quality", sample: int = SAMPLE
+) -> Cut | None:
+    """The cut between labelled good and bad texts that ``docs`` holds; one text for each
+    of at most ``sample`` ids of a kind, a text once. None if it can't be told."""
+    kinds = [labelled_sample(labels, label, sample, F.col("label") == y) for y in (0, 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch["label"], batch["hash"], pa.array(weights.of(batch["text"])), pa.array(weights.without_own(batch["text"]))], ["label", "hash", "log", "own"]
+            )
 
-def good_share(labels: DataFrame, label: str = "quality") -> float:
-    """The share of 1 among the labels; all, where there are none."""
-    share = labels.agg(F.avg(F.col(label).cast("double"))).first()[0]
-    return 1.0 if share is None else share
+    rows = one_text_each(_texts(docs, id_col, text_col), kinds[0].unionByName(kinds[1])).select("label", F.xxhash64("text").alias("hash"), "text")
+    # Bounded by twice ``sample`` rows of numbers.
+    found = rows.mapInArrow(run, "label int, hash long, log double, own double").toPandas().sort_values("label").drop_duplicates("hash", keep="last")
+    good, bad = found[found.label == 1], found[found.label == 0]
+    cut = cut_between(good.own.to_numpy(), bad.log.to_numpy())
+    return cut and Cut(*cut, len(good), len(bad), int((found.log >= cut[0]).sum()))
 
 
 def least_key(keys: DataFrame, k: int) -> float:
@@ -123,28 +214,39 @@ def _noise(id_col: str, text_col: str, seed: int):
     return F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
 
 
-def resample(docs: DataFrame, weights: Weights, share: float, id_col: str = "doc_id", text_col: str = "text", seed: int = 42) -> DataFrame:
+def resample(
+    docs: DataFrame, weights: Weights, share: float = 1.0, id_col: str = "doc_id", text_col: str = "text", seed: int = 42, cut: Cut | None = None
+) -> DataFrame:
     """The rows drawn: ``doc_id``, ``log_weight``, ``gumbel_key``, ``kept`` (true).
 
-    ``floor(share * rows + 0.5)`` rows stay. The noise follows from id and text: a
-    repeated row has the same key as its twin and stays or goes with it. NULL and empty
-    texts have the log weight 0. Only the two columns are read."""
+    As many rows stay as ``cut`` calls good; without a cut, ``floor(share * rows + 0.5)``.
+    The noise follows from id and text: a repeated row has the same key as its twin and
+    stays or goes with it. NULL and empty texts have the log weight 0. Only the two
+    columns are read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             log, key = weights.keys(batch["text"], batch["noise"].to_numpy())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(log), pa.array(key)], ["doc_id", "log_weight", "gumbel_key"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["hash"], pa.array(log), pa.array(key)], ["doc_id", "hash", "log_weight", "gumbel_key"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), _noise(id_col, text_col, seed).alias("noise"))
-    keys = reliable_checkpoint(rows.mapInArrow(run, "doc_id long, log_weight double, gumbel_key double"), "keys")
-    least = least_key(keys.select(F.col("gumbel_key").alias("key")), int(share * keys.count() + 0.5))
-    return keys.where(F.col("gumbel_key") >= F.lit(least)).withColumn("kept", F.lit(True))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"), _noise(id_col, text_col, seed).alias("noise"))
+    keys = reliable_checkpoint(rows.mapInArrow(run, "doc_id long, hash long, log_weight double, gumbel_key double"), "keys")
+    if cut is None:
+        k = int(share * keys.count() + 0.5)
+    else:
+        texts = keys.groupBy("hash").agg(F.count("*").alias("n"), F.max("log_weight").alias("log"))
+        passes = F.col("log") >= F.lit(cut.limit)
+        k = cut.good_rows(*(x or 0 for x in texts.agg(F.sum("n"), F.sum(F.when(passes, F.col("n"))), F.count("*"), F.count_if(passes)).first()))
+    least = least_key(keys.select(F.col("gumbel_key").alias("key")), k)
+    return keys.where(F.col("gumbel_key") >= F.lit(least)).drop("hash").withColumn("kept", F.lit(True))
 
 
 def keep_drawn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 42) -> DataFrame:
-    """``docs`` without the rows that aren't drawn; all columns stay. The share is that
-    of good labels. Keys are made again rather than joined, so texts aren't shuffled."""
-    weights, share = fit(docs, labels, id_col, text_col), good_share(labels)
-    least = resample(docs, weights, share, id_col, text_col, seed).agg(F.min("gumbel_key")).first()[0]
+    """``docs`` without the rows that aren't drawn; all columns stay. As many stay as are
+    good by the labelled texts among them, all where those are of one kind. Keys are made
+    again rather than joined, so texts aren't shuffled."""
+    weights = fit(docs, labels, id_col, text_col)
+    cut = find_cut(docs, labels, weights, id_col, text_col)
+    least = resample(docs, weights, 1.0, id_col, text_col, seed, cut).agg(F.min("gumbel_key")).first()[0]
     least = float("inf") if least is None else least
 
     @F.arrow_udf("boolean")
@@ -157,4 +259,5 @@ def keep_drawn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 @query("op2_resample")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return resample(docs, fit(docs, labels), good_share(labels))
+    weights = fit(docs, labels)
+    return resample(docs, weights, cut=find_cut(docs, labels, weights))

@@ -213,6 +213,31 @@ def test_resample(spark):
     assert len(kept & good) > 0.95 * len(good) and len(kept & bad) < len(bad)
 
 
+@pytest.mark.parametrize("mix", ["labels", "few_bad", "copies", "unlabelled"])
+def test_as_many_rows_stay_as_are_good(spark, mix):
+    rng = np.random.default_rng(5)
+    text = lambda kind: " ".join(f"{kind}{k}" for k in rng.integers(0, 200, 60))
+    good, bad = [(i, text("g")) for i in range(300)], [(1000 + i, text("b")) for i in range(100)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in good[::2]] + [(i, 0) for i, _ in bad[::2]], "doc_id long, quality int")
+    if mix == "few_bad":
+        bad = bad[:10]
+    if mix == "copies":
+        good += [(2000 + i, good[1][1]) for i in range(200)]
+    if mix == "unlabelled":
+        good = good[::2] + [(3000 + i, text("g")) for i in range(400)]
+    kept = {r.doc_id for r in resample.keep_drawn(frame(spark, good + bad), labels).select("doc_id").collect()}
+    assert len({i for i, _ in good} - kept) <= 2 and len(kept & {i for i, _ in bad}) <= 2
+
+
+def test_cut_counts_misjudged_texts():
+    assert resample.cut_between(np.array([1.0, 2.0]), np.array([])) is None
+    assert resample.cut_between(np.array([5.0, -2.0]), np.array([-8.0, -6.0])) == (-4.0, 1.0, 0.0)
+    cut = resample.Cut(0.0, 0.8, 0.1, 0, 0, 0)
+    # 700 good and 300 bad texts: 560 + 30 pass; a copied one that passes has 500 rows more.
+    assert cut.good_rows(1000, 590, 1000, 590) == 700 and cut.good_rows(1500, 1090, 1000, 590) == 1200
+    assert cut.good_rows(100, 80, 100, 80) == 100 and resample.Cut(0.0, 0.8, 0.1, 0, 5, 0).good_rows(105, 80, 105, 80) == 100
+
+
 def test_least_key(spark):
     keys = [1.0, 2.0, 2.0, 3.0, -5.0, 1e9, 2.0]
     df = spark.createDataFrame([(k,) for k in keys], "key double")
