@@ -292,6 +292,29 @@ def test_binary_codes(spark):
     assert not out[out.vec_id.isna()].kept.any()
 
 
+@pytest.mark.parametrize("vectors", [10_000, 1_000_000])
+@pytest.mark.parametrize(("dim", "mean"), [(32, 0.0), (64, 0.7), (96, 0.0)])
+def test_tables_find_pairs_at_the_limit(vectors, dim, mean):
+    rng = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(mean * np.eye(dim)[0] + math.sqrt(1 - mean**2) * unit(rng.normal(size=(9000, dim))))
+    codes = binary_codes.learn_codes(x[3000:], vectors, 0.95)
+    assert codes.width == max(8, math.ceil(math.log2(vectors / binary_codes.PLACE + 1)))
+    u = rng.normal(size=(3000, dim))
+    u = unit(u - (u * x[:3000]).sum(1, keepdims=True) * x[:3000])
+    y = 0.95 * x[:3000] + math.sqrt(1 - 0.95**2) * u
+    assert (codes.places(x[:3000]) != codes.places(y)).all(1).mean() <= 3 * binary_codes.MISS
+
+
+def test_vectors_of_each_length_link(spark, monkeypatch):
+    monkeypatch.setattr(binary_codes, "BLOCK", 100)
+    rng = np.random.default_rng(2)
+    rows = [(d * 1000 + i, rng.normal(size=d).tolist()) for d, n in ((16, 300), (20, 200), (7, 3)) for i in range(n)]
+    rows += [(i + 500, [x + 0.001 for x in v]) for i, v in rows if i % 1000 < 2]
+    out = {r.vec_id: r for r in binary_codes.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert all(out[d * 1000 + 500 + i].component_id == d * 1000 + i for d in (16, 20, 7) for i in (0, 1))
+
+
 @pytest.mark.parametrize("rows", ["odd", "hot", "documents"])
 def test_shards(spark, rows):
     data = {"odd": ODD, "hot": [(i, "same text" * 20) for i in range(3000)] + [(i, f"text {i} " * 10) for i in range(6000)], "documents": list(documents().items())}[rows]
