@@ -28,7 +28,12 @@ BLOCKS = (
     "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "option", "p", "pre", "section", "table", "tbody", "td", "tfoot",
     "th", "thead", "tr", "ul",
 )
-_DROP = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(HIDDEN)})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+RAW = ("script", "style")   # run to the end of the page if nothing ends them
+_OPEN = re.compile(rf"<!--|<({'|'.join(HIDDEN)})(?=[\s/>])[^>]*>", re.I)
+_CLOSE = {n: re.compile(rf"</{n}\b[^>]*>", re.I) for n in HIDDEN}
+# A slash after an unquoted value belongs to the value.
+_UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/>\Z")
+_META = re.compile(r"\s*<(?:meta|link|base)\b[^>]*>|\s*<title\b[^>]*>.*?</title\s*>|\s+", re.S | re.I)
 _LINE = re.compile(rf"</?(?:{'|'.join(BLOCKS)})\b[^>]*>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^>]*>|<[!?][^>]*>")
 _SPACE = re.compile(r"[^\S\n]+")
@@ -50,10 +55,43 @@ def record_name(*parts: str) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(chr(0).join(parts).encode()).digest()[:16], version=4)}>"
 
 
+def shown(page: str) -> str:
+    """The page without comments and ``HIDDEN`` elements. What nothing ends runs to the end
+    of the page for comments, scripts and styles; an open head ends where something other
+    than its own elements starts, and of other elements only the tag goes. Tags that close
+    themselves hold nothing."""
+    out, at, unended, in_head = [], 0, set(), False
+    while True:
+        if in_head:
+            while own := _META.match(page, at):
+                at = own.end()
+        m = _OPEN.search(page, at)
+        in_head = in_head and m is not None and m.start() == at
+        if m is None:
+            return "".join([*out, page[at:]])
+        out.append(page[at : m.start()])
+        name = m[1] and m[1].lower()
+        at = m.end()
+        if name is None:
+            end = page.find("-->", at)
+            at = len(page) if end < 0 else end + 3
+        elif m[0].endswith("/>") and not _UNQUOTED.search(m[0]):
+            continue
+        else:
+            end = None if name in unended else _CLOSE[name].search(page, at)
+            if end:
+                at = end.end()
+            else:
+                unended.add(name)
+                if name in RAW:
+                    at = len(page)
+                in_head = in_head or name == "head"
+
+
 def plain_text(page: str) -> str:
     """What a reader sees of a page: a line for each block, single spaces, characters
     for entities."""
-    page = _TAG.sub("", _LINE.sub("\n", _DROP.sub("", page)))
+    page = _TAG.sub("", _LINE.sub("\n", shown(page)))
     page = _SPACE.sub(" ", html.unescape(page))
     return _LINES.sub("\n", page).strip()
 
@@ -86,7 +124,7 @@ def derive(page_id, record_id: str | None, uri: str | None, date: str | None, me
         "source_record": record_id, "uri": uri, "date": date, "http_headers": headers.split("\r\n") if headers else [],
         "payload_digest": source, "payload_length": len(body),
         "title": _SPACE.sub(" ", html.unescape(title[1])).strip() if title else None,
-        "links": [html.unescape(a or b or c) for a, b, c in _HREF.findall(_DROP.sub("", page))], "text_length": len(text.encode()),
+        "links": [html.unescape(a or b or c) for a, b, c in _HREF.findall(shown(page))], "text_length": len(text.encode()),
     }
     out = []
     for kind, mime, block in (("metadata", "application/json", json.dumps(facts, ensure_ascii=False)), ("conversion", "text/plain; charset=UTF-8", text)):

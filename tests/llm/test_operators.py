@@ -403,6 +403,22 @@ def test_warc_derivatives(spark):
     assert head.startswith(b"WARC/1.1\r\nWARC-Type: conversion") and rest == text.block.encode() + b"\r\n\r\n"
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<html><head><title>T</title><body><p>text", "text"),
+    ("<head><meta charset=utf-8><title>T</title><style>p{}</style><!-- c --> <p>one", "one"),
+    ("<head><title>T</title>\n<script>if (a<b) '<p>'</script>bare <b>words</b>", "bare words"),
+    ("<p>one</p><svg /><p>two</p>", "one\ntwo"),
+    ('<p>one</p><iframe src="x"/><p>two</p><script src=\'y\' /><p>three', "one\ntwo\nthree"),
+    ("<p>one<svg width=5/>no</svg><p>two", "one\ntwo"),
+    *[(f"<p>one<{n} a=b>two<p>three", "onetwo\nthree") for n in ("svg", "object", "iframe", "noscript", "template")],
+    *[(f"<p>one<{n}>no<p>no", "one") for n in ("script", "style")],
+    ("<p>one<!-- no<p>no", "one"), ("<header>one</header><script>no</script >two<head>no</head>", "one\ntwo"),
+])
+def test_warc_keeps_text_after_what_nothing_ends(page, text):
+    assert warc.plain_text(page) == text
+    assert '"/after"' in warc.derive(1, "r", "u", "d", (page + "<a href='/after'>").encode())[0][-1] or page.endswith("no<p>no")
+
+
 def test_warc_charset():
     message = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=latin-1\r\n\r\n<p>caf\xe9"
     meta, text = warc.derive(1, "r", "u", "d", message)
