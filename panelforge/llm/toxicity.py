@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm import words as T
-from panelforge.llm.common import crc_remainder, labelled_sample, query, rarely, table
+from panelforge.llm.common import crc_remainder, labelled_sample, one_text_each, query, rarely, table
+from panelforge.session import reliable_checkpoint
 
 # Terms that name groups, by kind; each list is a cycle of swaps.
 IDENTITY_TERMS = (
@@ -151,10 +152,11 @@ class Scorer:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Scorer:
-    """Learn from ``sample`` labelled texts at most, none of them held out."""
+    """Learn from ``sample`` labelled texts at most, one for each id, none of them held
+    out."""
     chosen = labelled_sample(labels, label, sample, crc_remainder("id", 5) != 0)
-    # Bounded by ``sample`` rows of two numbers.
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    # Bounded by ``sample`` rows.
+    texts = reliable_checkpoint(one_text_each(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), chosen), "labelled")
     found = (
         texts.select("label", "text").mapInArrow(_evidence, "feature int, no long, yes long")
         .groupBy("feature").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes")).toPandas()

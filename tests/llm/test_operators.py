@@ -188,6 +188,15 @@ def test_toxicity(spark):
     assert abs(women - men) < 0.05
 
 
+def test_toxicity_learns_one_text_of_each_id(spark, monkeypatch):
+    seen, train = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda labels, *rest: seen.append(sorted(labels)) or train(labels, *rest))
+    data = [(i, f"text {i}") for i in (2, 3, 4)] + [(4, f"copy {k // 2}") for k in range(300)]
+    toxicity.fit(frame(spark, data), spark.createDataFrame([(2, 0), (3, 0), (4, 1)], "doc_id long, toxic int"))
+    ids = [i for i in (2, 3, 4) if zlib.crc32(str(i).encode()) % 5]
+    assert 4 in ids and seen == [[float(i == 4) for i in ids]]
+
+
 def test_twins_pull_scores_together():
     labels = np.array([1.0, 0.0] * 20)
     own, twins = [np.array([0]), np.array([1])] * 20, [np.array([1]), np.array([0])] * 20
