@@ -261,6 +261,29 @@ def edge_hourly_mean(spark, sf):
     return rounded(means, "Value", places=4)
 
 
+@query(
+    "edge_mean_by_hour",
+    sql("""SELECT from_country, to_country, date_trunc('hour', "index") AS "index",
+                  round(avg(Value), 4) AS Value FROM flow_readings GROUP BY 1, 2, 3"""),
+)
+def edge_mean_by_hour(spark, sf):
+    means = resample_mean(B.flow_readings(spark, sf), ["from_country", "to_country"])
+    return rounded(means, "Value", places=4)
+
+
+@query(
+    "net_flow_by_hour",
+    sql("""SELECT country, "index", sum(signed) AS net_imports FROM (
+             SELECT "index", unnest([{'country': to_country, 'signed': Value}, {'country': from_country, 'signed': -Value}], recursive := true)
+             FROM (SELECT from_country, to_country, date_trunc('hour', "index") AS "index", round(avg(Value)) AS Value
+                   FROM flow_readings GROUP BY 1, 2, 3))
+           GROUP BY 1, 2"""),
+)
+def net_flow_by_hour(spark, sf):
+    means = resample_mean(B.flow_readings(spark, sf), ["from_country", "to_country"])
+    return flows.net_flow(means.withColumn("Value", F.round("Value")))
+
+
 @query(
     "partition_counts",
     sql("""SELECT year("index")::INT AS year, month("index")::INT AS month, day("index")::INT AS day,
