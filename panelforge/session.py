@@ -6,6 +6,7 @@ import atexit
 import re
 import shutil
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -60,6 +61,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch-{_RUN}"
         own = re.sub(r"^file:(//)?(?=/)", "", shared)
         if own.startswith("/") and own not in _removed_at_exit:
+            if not spark.conf.get("spark.master", "local").startswith("local"):
+                warnings.warn(f"{own} must be a folder that all machines share; else set spark.checkpoint.dir", stacklevel=2)
             _removed_at_exit.add(own)
             atexit.register(shutil.rmtree, own, ignore_errors=True)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -23,13 +23,22 @@ from panelforge.sources.tables import replace_partitions
 WAIT_SECONDS = 60   # for the last progress report of a query that has ended
 
 
+def _is_file(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return system.exists(at) and system.getFileStatus(at).isFile()
+
+
 def file_stream(
     spark: SparkSession, path: str, schema, pattern: str | None = None, files_per_batch: int = 100
 ) -> DataFrame:
-    """Parquet files of a folder, or one file, as a stream."""
-    # Spark streams a single file only if it is named by a pattern.
+    """Parquet files of a folder, of the folders below it, or one file, as a stream.
+
+    ``schema`` may name partition columns of the folders below or leave them out."""
     path = path.rstrip("/")
-    path = path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]"
+    if not any(c in path for c in "*?[{") and _is_file(spark, path):
+        # Spark streams a single file only if it is named by a pattern.
+        path = f"{path[:-1]}[{path[-1]}]"
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)

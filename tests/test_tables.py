@@ -71,15 +71,20 @@ def test_partitions_follow_the_shuffle_size():
     assert shuffle_partitions(20 * 1024**4) == 81920       # 20 TB in 256 MB pieces
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
-    class Conf(dict):
-        pass
+class _Session:
+    def __init__(self, **conf):
+        self.conf = {k.replace("_", "."): v for k, v in conf.items()}
 
-    class Cluster:
-        conf = Conf({"spark.master": "yarn"})
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_dir(Cluster(), "x")
+def test_scratch_lies_in_the_shared_folder_or_the_warehouse():
+    warehouse = {"spark_sql_warehouse_dir": "hdfs://store/warehouse/"}
+    assert scratch_dir(_Session(**warehouse), "x").startswith("hdfs://store/warehouse/_scratch-")
+    assert scratch_dir(_Session(spark_checkpoint_dir="hdfs://store/shared", **warehouse), "x").startswith("hdfs://store/shared/x-")
+
+
+def test_a_warehouse_on_one_machine_is_warned_of_on_a_cluster():
+    with pytest.warns(UserWarning, match="spark.checkpoint.dir"):
+        scratch_dir(_Session(spark_sql_warehouse_dir="file:/no/such/folder", spark_master="yarn"), "x")
 
 
 def test_sample_is_stable(spark):
