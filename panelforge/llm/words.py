@@ -28,17 +28,28 @@ _SPACE = np.zeros(256, bool)
 _SPACE[list(SPACES)] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[48:58] = _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
-_powers = [np.ones(0, U), np.ones(0, U)]
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + (SLICE_BYTES >> 2))
-        for i, base in enumerate((_P, _PINV)):
-            steps = np.full(size, U(base))
-            steps[0] = U(1)
-            _powers[i] = np.cumprod(steps, dtype=U)
-    return _powers[0], _powers[1]
+class _Powers:
+    """Powers of the base and of its inverse. Each process makes its own: functions that
+    travel to tasks take an empty object along, not the tables."""
+
+    def __init__(self):
+        self.tables = np.ones(0, U), np.ones(0, U)
+
+    def __reduce__(self):
+        return _Powers, ()
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.tables[0]) < n:
+            size = max(n, SLICE_BYTES + (SLICE_BYTES >> 2))
+            steps = np.empty((2, size), U)
+            steps[0], steps[1], steps[:, 0] = U(_P), U(_PINV), U(1)
+            self.tables = tuple(np.cumprod(steps, axis=1, dtype=U))
+        return self.tables
+
+
+_powers = _Powers()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -133,7 +144,7 @@ def split_words(s: Slice, kind: str = "space") -> Words:
 
 
 def _hashes(low: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    power, inverse = _power_tables(len(low) + 1)
+    power, inverse = _powers.upto(len(low) + 1)
     total = np.zeros(len(low) + 1, U)
     np.cumsum((low.astype(U) + U(1)) * power[: len(low)], out=total[1:])
     return mix((total[stop] - total[start]) * inverse[start])
