@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelforge.session import reliable_checkpoint
@@ -132,3 +133,18 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in (c.lower() for c in df.columns):
         name += "_"
     return name
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str = "place") -> DataFrame:
+    """``df``, written and read again, with each row's place from 0 in the order of the
+    columns ``order`` (NULLs first). Rows are dealt by ranges, so where ``order`` tells all
+    rows apart no task gets more than its range. Only a count a task is summed up."""
+    at, n, first, part = (free_name(df, x) for x in ("_at", "_n", "_first", "_part"))
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
+    # The task's number lies above bit 33, the row's place in the task below.
+    ordered = reliable_checkpoint(ordered.withColumn(part, F.shiftright(at, 33)), "ordered")
+    before = W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)
+    sizes = ordered.groupBy(part).agg(F.count("*").alias(n))
+    starts = sizes.select(part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(first))
+    place = F.col(first) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    return ordered.join(starts, part).withColumn(name, place).drop(at, part, first)

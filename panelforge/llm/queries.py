@@ -6,6 +6,7 @@ from panelforge.llm import (  # noqa: F401
     class_lm,
     decontaminate,
     jaccard_join,
+    merkle,
     resample,
     sharding,
     token_counts,
