@@ -2,11 +2,13 @@
 
 from panelforge.llm import (  # noqa: F401
     binary_codes,
+    bit_sliced,
     byte_bpe,
     class_lm,
     decontaminate,
     jaccard_join,
     merkle,
+    multi_index,
     resample,
     sharding,
     token_counts,
