@@ -2,8 +2,13 @@
 
 A rank file lists the tokens' bytes in the order in which they were learned. The model
 gets a merge for each way in which two earlier tokens make a later one, in that order,
-so that it merges what the ranks say. Texts are cut by the pattern of the vocabulary;
-each match is encoded by itself, and matches met before are looked up.
+so that it merges what the ranks say. Texts are cut by the pattern of the vocabulary and
+each match is encoded by itself.
+
+Most of a text repeats. Its bytes are first cut before every space that follows a mark or
+letter, where no match goes on; the pieces of a batch are numbered by Arrow's dictionary
+encoding, each different piece is encoded once, or looked up if it was met before, and the
+ids of all are put together by index.
 """
 
 from __future__ import annotations
@@ -20,9 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import query, rarely, table
+from panelforge.llm.words import slices
 
-KNOWN = 300_000   # entries of each memory, twice at most
-CROWDED = regex.compile(r" \s|\s ")
+KNOWN_BYTES = 48 << 20   # of pieces and their ids that a worker remembers, twice at most
+LONGEST = 64             # bytes of a piece that is remembered
 
 
 def byte_characters() -> list[str]:
@@ -53,23 +59,52 @@ def build_model(ranks: dict[bytes, int]):
 
 
 class Memory:
-    """What was computed for keys met before. When it is full, only what was asked for
-    since the last time stays."""
-
-    def __init__(self):
-        self.now: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def fill(self, keys: list[str], compute) -> dict[str, bytes]:
-        new = set(keys).difference(self.now)
-        if new:
-            if len(self.now) > KNOWN:
-                self.old, self.now = self.now, {}
-                new = set(keys)
-            for key in new:
-                value = self.old.get(key)
-                self.now[key] = compute(key) if value is None else value
-        return self.now
+    """What was computed for keys met before, bounded in bytes. When it is full, only what
+    was asked for since the last time stays. Long keys hardly repeat and aren't kept."""
+
+    EACH = 200   # bytes of an entry beside its key and value, about
+
+    def __init__(self, most: int = KNOWN_BYTES):
+        self.most, self.size = most, 0
+        self.now: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def of(self, key: bytes, compute) -> bytes:
+        value = self.now.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is None:
+                value = compute(key)
+            if len(key) <= LONGEST:
+                self.size += len(key) + len(value) + self.EACH
+                if self.size > self.most:
+                    self.old, self.now, self.size = self.now, {}, 0
+                self.now[key] = value
+        return value
+
+
+def cut_before_spaces(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where pieces of UTF-8 texts start: at each text (they lie end to end, ``at`` are
+    their ends), and at each space after a character that isn't white space."""
+    cut = np.zeros(len(raw), bool)
+    before = raw[:-1]
+    cut[1:] = (raw[1:] == 32) & (before > 32)
+    # The white space beyond ASCII: U+0085, A0, 1680, 2000-200A, 2028, 2029, 202F, 205F, 3000.
+    wide = np.flatnonzero(cut[1:] & (before >= 128)) + 1
+    if len(wide):
+        one, two, three = raw[wide - 1], raw[wide - 2], raw[np.maximum(wide - 3, 0)]
+        general = (two == 0x80) & ((one <= 0x8A) | (one == 0xA8) | (one == 0xA9) | (one == 0xAF)) | (two == 0x81) & (one == 0x9F)
+        white = (two == 0xC2) & ((one == 0x85) | (one == 0xA0)) | (three == 0xE2) & general
+        white |= (two == 0x9A) & (three == 0xE1) & (one == 0x80) | (two == 0x80) & (three == 0xE3) & (one == 0x80)
+        cut[wide[white]] = False
+    cut[at[:-1][at[:-1] < len(raw)]] = True
+    return np.flatnonzero(cut)
+
+
+def spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions begin[0], begin[0] + 1, ..., size[0] of them, then those of the next."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Encoder:
@@ -98,32 +133,27 @@ class Encoder:
             cls._made[key] = cls(lines, pattern)
         return cls._made[key]
 
-    def _match(self, match: str) -> bytes:
-        said = "".join(map(self.chars.__getitem__, match.encode()))
+    def _match(self, match: bytes) -> bytes:
+        said = "".join(map(self.chars.__getitem__, match))
         return np.array([t.id for t in self.model.model.tokenize(said)], "<u4").tobytes()
 
-    def _cut(self, text: str) -> bytes:
-        found = self.cut.findall(text)
-        return b"".join(map(self.matches.fill(found, self._match).__getitem__, found))
-
-    def _after_space(self, piece: str) -> bytes:
-        return self._cut(" " + piece)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text.
-
-        A match never goes on from a mark or letter to a space, so between a character
-        and a lone space there is a cut whatever stands around. Texts in which spaces
-        stand alone are taken piece by piece, others by the pattern as a whole."""
-        out = []
-        for text in texts:
-            if CROWDED.search(text):
-                ids = self._cut(text)
-            else:
-                first, *rest = text.split(" ")
-                ids = self._cut(first) + b"".join(map(self.pieces.fill(rest, self._after_space).__getitem__, rest))
-            out.append(np.frombuffer(ids, "<u4"))
-        return out
+    def _piece(self, piece: bytes) -> bytes:
+        found = self.cut.findall(piece.decode("utf-8"))
+        return b"".join([self.matches.of(m.encode(), self._match) for m in found])
+
+    def encode(self, column) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For runs of rows of a text column: ids of all, and where each row's end."""
+        for s in slices(column):
+            starts = cut_before_spaces(s.raw, s.at) if len(s.raw) else np.zeros(0, np.int64)
+            ends = np.append(starts, len(s.raw)).astype(np.int64)
+            pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(s.raw))])
+            coded = pieces.dictionary_encode()
+            made = [self.pieces.of(x, self._piece) for x in coded.dictionary.to_pylist()]
+            size = np.array([len(x) // 4 for x in made], np.int64)
+            every, at = np.frombuffer(b"".join(made), "<u4"), coded.indices.to_numpy()
+            ids = every[spread((np.cumsum(size) - size)[at], size[at])]
+            done = np.append(0, np.cumsum(size[at]))
+            yield ids, done[np.searchsorted(starts, s.at)]
 
     def spans(self, text: str) -> tuple[list[int], list[int]]:
         """The characters of the text that each id belongs to. Ids that hold parts of
@@ -138,9 +168,7 @@ class Encoder:
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids. A character that several ids share is whole again once
         all of its bytes stand together."""
-        size = self.sizes[ids]
-        ends = np.cumsum(size)
-        return self.bytes[np.repeat(self.begin[ids] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        return self.bytes[spread(self.begin[ids], self.sizes[ids])].tobytes()
 
 
 def tokenizer_file(path: str) -> bytes:
@@ -158,11 +186,11 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder.of(ranks, pattern)
         for batch in rarely(batches, 64):
-            texts = [x or "" for x in batch["text"].to_pylist()]
-            ids = pa.array([x.astype(np.int32) for x in coder.encode(texts)], pa.list_(pa.int32()))
-            cols, names = [batch["doc_id"], ids], ["doc_id", "ids"]
+            runs = [(ids, ends) for ids, ends in coder.encode(batch["text"])]
+            lists = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))) for ids, ends in runs]
+            cols, names = [batch["doc_id"], pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))], ["doc_id", "ids"]
             if offsets:
-                both = [coder.spans(x) for x in texts]
+                both = [coder.spans(x or "") for x in batch["text"].to_pylist()]
                 cols += [pa.array([x[i] for x in both], pa.list_(pa.int32())) for i in (0, 1)]
                 names += ["starts", "stops"]
             yield pa.RecordBatch.from_arrays(cols, names)
@@ -191,16 +219,19 @@ def digests(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
     NULL counts as empty. Every row gives a row; other columns aren't read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder.of(ranks, pattern)
-        for batch in rarely(batches, 64):
-            ids = coder.encode([x or "" for x in batch["text"].to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"], pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids], pa.string()),
-                    pa.array([hashlib.sha256(coder.decode(x)).hexdigest() for x in ids], pa.string()),
-                ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        for batch in batches:
+            first = 0
+            for ids, ends in coder.encode(batch["text"]):
+                rows = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["doc_id"].slice(first, len(rows)), pa.array(np.diff(ends), pa.int64()),
+                        pa.array([hashlib.sha256(np.ascontiguousarray(x)).hexdigest() for x in rows], pa.string()),
+                        pa.array([hashlib.sha256(coder.decode(x)).hexdigest() for x in rows], pa.string()),
+                    ],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+                first += len(rows)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
