@@ -2,7 +2,8 @@
 
 Two generative models over hashed word n-grams, one of the good labelled texts and one
 of all texts, give each text the log of its importance weight; every distinct text
-counts once. Rows are drawn without replacement by Gumbel top-k: a row's key is its log
+counts once. Texts are dealt to four folds by their hash, and the models that score a text
+are of the other three: they saw neither it nor a copy of it. Rows are drawn without replacement by Gumbel top-k: a row's key is its log
 weight plus Gumbel noise that follows from its content, and the k largest keys stay. k
 is how many good rows the table itself holds, by a cut between the labelled good and
 bad texts in it.
@@ -23,8 +24,9 @@ from panelforge.llm.common import bits_of, in_bits, labelled_sample, one_text_ea
 from panelforge.session import reliable_checkpoint
 
 BITS = 16           # n-grams are counted in 2**16 cells
+FOLDS = 4           # a text is scored by what the other folds hold
 SAMPLE = 20_000     # good texts that the target model is learned from, at most
-SMOOTH = 1.0        # added to each cell, in the shape of the raw model
+SMOOTH = 16.0       # grams added to a cell's target count and to what the raw count lets expect
 BINS = 4096         # of each step towards the k-th key
 COPIED = 22         # a bit table of 2**22 text hashes that occur twice
 
@@ -41,50 +43,53 @@ def _grams(s: T.Slice) -> tuple[np.ndarray, np.ndarray]:
     return cells, np.concatenate([rows, rows[1:][same]])
 
 
+def _fold(hashes: pa.Array) -> np.ndarray:
+    return T.mix(hashes.to_numpy().astype(np.int64).view(np.uint64)) % T.U(FOLDS)
+
+
 def _count(batches) -> Iterator[pa.RecordBatch]:
-    count = np.zeros((2, 1 << BITS), np.int64)
+    count = np.zeros((2, FOLDS << BITS), np.int64)
     for batch in rarely(batches):
-        target = batch["target"].to_numpy(zero_copy_only=False)
+        target, fold = batch["target"].to_numpy(zero_copy_only=False), _fold(batch["hash"]).astype(np.int64)
         for s in T.slices(batch["text"]):
             cells, rows = _grams(s)
-            count[0] += np.bincount(cells, minlength=1 << BITS)
-            count[1] += np.bincount(cells[target[s.first + rows]], minlength=1 << BITS)
+            at = (fold[s.first + rows] << BITS) | cells
+            count[0] += np.bincount(at, minlength=FOLDS << BITS)
+            count[1] += np.bincount(at[target[s.first + rows]], minlength=FOLDS << BITS)
     at = np.flatnonzero(count[0])
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(count[0][at]), pa.array(count[1][at])], ["cell", "raw", "target"])
 
 
 @dataclass
 class Weights:
-    """The log ratio of target to raw for each of 2**16 cells, and what it comes from."""
+    """For each fold the log ratio of target to raw for each of 2**16 cells, by the counts
+    of the other folds."""
 
     cells: np.ndarray
-    raw: np.ndarray      # shares
-    target: np.ndarray   # counts
-
-    def of(self, column) -> np.ndarray:
-        out = np.zeros(len(column))
-        for s in T.slices(column):
-            cells, rows = _grams(s)
-            out[s.first : s.first + len(s)] = np.bincount(rows, self.cells[cells], len(s))
-        return out
 
-    def without_own(self, column) -> np.ndarray:
-        """Log weights of target texts by a target that each text is left out of, so
-        that they compare with texts the model hasn't seen."""
-        out, smooth = np.zeros(len(column)), SMOOTH * len(self.raw)
+    @classmethod
+    def from_counts(cls, raw: np.ndarray, target: np.ndarray) -> Weights:
+        """Counts of each fold and cell."""
+        raw, target = raw.sum(0) - raw, target.sum(0) - target
+        # A cell's counts say how much likelier it is in the target than in the raw texts;
+        # the fewer there are, the nearer to 1. Cells that no other fold has say nothing.
+        share = target.sum(1, keepdims=True) / np.maximum(raw.sum(1, keepdims=True), 1)
+        ratio = (target + SMOOTH) / (share * raw + SMOOTH)
+        whole = (raw * ratio).sum(1, keepdims=True) / np.maximum(raw.sum(1, keepdims=True), 1)
+        return cls(np.log(ratio / np.where(whole > 0, whole, 1.0)).astype(np.float32))
+
+    def of(self, column, hashes: pa.Array) -> np.ndarray:
+        """The log weight of each text; ``hashes`` are those of the texts."""
+        out, fold = np.zeros(len(column)), _fold(hashes).astype(np.int64)
         for s in T.slices(column):
             cells, rows = _grams(s)
-            codes, n = np.unique((rows << BITS) | cells, return_counts=True)
-            rows, cells = codes >> BITS, codes & ((1 << BITS) - 1)
-            all_ = np.bincount(rows, n, len(s))
-            q = (np.maximum(self.target[cells] - n, 0) + smooth * self.raw[cells]) / (np.maximum(self.target.sum() - all_, 0) + smooth)[rows]
-            out[s.first : s.first + len(s)] = np.bincount(rows, n * np.log(q / self.raw[cells]), len(s))
+            out[s.first : s.first + len(s)] = np.bincount(rows, self.cells[fold[s.first + rows], cells], len(s))
         return out
 
-    def keys(self, column, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def keys(self, column, hashes: pa.Array, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log weights, and with Gumbel noise from 64 random bits each."""
         u = ((noise.astype(np.int64).view(np.uint64) >> T.U(11)).astype(float) + 0.5) / 2.0**53
-        log = self.of(column)
+        log = self.of(column, hashes)
         return log, log - np.log(-np.log(u))
 
 
@@ -115,20 +120,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     good = one_text_each(rows, good).select(F.xxhash64("text").alias("hash"), F.lit(True).alias("good")).distinct()
     found = (
         _distinct(rows).join(F.broadcast(good), "hash", "left")
-        .select(F.coalesce("good", F.lit(False)).alias("target"), "text").mapInArrow(_count, "cell int, raw long, target long")
+        .select(F.coalesce("good", F.lit(False)).alias("target"), "hash", "text").mapInArrow(_count, "cell int, raw long, target long")
         .groupBy("cell").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     )
-    raw, target = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    raw, target = np.zeros(FOLDS << BITS), np.zeros(FOLDS << BITS)
     raw[found.cell], target[found.cell] = found.raw, found.target
-    p = (raw + SMOOTH) / (raw.sum() + SMOOTH * len(raw))
-    q = (target + SMOOTH * len(raw) * p) / (target.sum() + SMOOTH * len(raw))
-    return Weights(np.log(q / p), p, target)
+    return Weights.from_counts(raw.reshape(FOLDS, -1), target.reshape(FOLDS, -1))
 
 
 @dataclass
 class Cut:
-    """Texts with a log weight of ``limit`` or more pass: ``hit`` of the good ones the
-    model hasn't seen, ``slip`` of the bad ones. Of the ``good`` and ``bad`` labelled
+    """Texts with a log weight of ``limit`` or more pass: ``hit`` of the good ones,
+    ``slip`` of the bad ones. Of the ``good`` and ``bad`` labelled
     texts, ``passed`` pass."""
 
     limit: float
@@ -172,15 +175,13 @@ def find_cut(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch["label"], batch["hash"], pa.array(weights.of(batch["text"])), pa.array(weights.without_own(batch["text"]))], ["label", "hash", "log", "own"]
-            )
+            yield pa.RecordBatch.from_arrays([batch["label"], batch["hash"], pa.array(weights.of(batch["text"], batch["hash"]))], ["label", "hash", "log"])
 
     rows = one_text_each(_texts(docs, id_col, text_col), kinds[0].unionByName(kinds[1])).select("label", F.xxhash64("text").alias("hash"), "text")
     # Bounded by twice ``sample`` rows of numbers.
-    found = rows.mapInArrow(run, "label int, hash long, log double, own double").toPandas().sort_values("label").drop_duplicates("hash", keep="last")
+    found = rows.mapInArrow(run, "label int, hash long, log double").toPandas().sort_values("label").drop_duplicates("hash", keep="last")
     good, bad = found[found.label == 1], found[found.label == 0]
-    cut = cut_between(good.own.to_numpy(), bad.log.to_numpy())
+    cut = cut_between(good.log.to_numpy(), bad.log.to_numpy())
     return cut and Cut(*cut, len(good), len(bad), int((found.log >= cut[0]).sum()))
 
 
@@ -225,7 +226,7 @@ def resample(
     columns are read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            log, key = weights.keys(batch["text"], batch["noise"].to_numpy())
+            log, key = weights.keys(batch["text"], batch["hash"], batch["noise"].to_numpy())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["hash"], pa.array(log), pa.array(key)], ["doc_id", "hash", "log_weight", "gumbel_key"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"), _noise(id_col, text_col, seed).alias("noise"))
@@ -250,10 +251,10 @@ def keep_drawn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     least = float("inf") if least is None else least
 
     @F.arrow_udf("boolean")
-    def drawn(text: pa.Array, noise: pa.Array) -> pa.Array:
-        return pa.array(weights.keys(text, noise.to_numpy())[1] >= least)
+    def drawn(text: pa.Array, hashes: pa.Array, noise: pa.Array) -> pa.Array:
+        return pa.array(weights.keys(text, hashes, noise.to_numpy())[1] >= least)
 
-    return docs.where(drawn(F.col(text_col), _noise(id_col, text_col, seed)))
+    return docs.where(drawn(F.col(text_col), F.xxhash64(text_col), _noise(id_col, text_col, seed)))
 
 
 @query("op2_resample")

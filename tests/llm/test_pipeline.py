@@ -20,3 +20,16 @@ def test_all_ten_and_the_pipeline_are_registered():
     names = queries()
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+
+
+def test_functions_for_tasks_stay_small():
+    """What travels with every task, after the driver has used the word tables itself."""
+    import numpy as np
+    from pyspark import cloudpickle
+
+    from panelforge.llm import byte_bpe, jaccard_join, resample, toxicity, words
+
+    toxicity.identity_swaps()
+    weights = resample.Weights(np.zeros((resample.FOLDS, 1 << resample.BITS), np.float32))
+    for f in (words.split_words, jaccard_join._measure, resample._count, weights.of, byte_bpe.Encoder.encode):
+        assert len(cloudpickle.dumps(f)) < 3_000_000
