@@ -29,17 +29,19 @@ BLOCKS = (
     "th", "thead", "tr", "ul",
 )
 RAW = ("script", "style")   # run to the end of the page if nothing ends them
-_OPEN = re.compile(rf"<!--|<({'|'.join(HIDDEN)})(?=[\s/>])[^>]*>", re.I)
-_CLOSE = {n: re.compile(rf"</{n}\b[^>]*>", re.I) for n in HIDDEN}
-# A slash after an unquoted value belongs to the value.
-_UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/>\Z")
-_META = re.compile(r"\s*<(?:meta|link|base)\b[^>]*>|\s*<title\b[^>]*>.*?</title\s*>|\s+", re.S | re.I)
+_OPEN = re.compile(rf"<!--|<({'|'.join(HIDDEN)})(?=[\s/>])", re.I)
+_CLOSE = {n: re.compile(rf"</{n}\b", re.I) for n in HIDDEN}
+_BLANK = re.compile(r"\s*")
+_META = re.compile(r"<(?:meta|link|base)\b", re.I)
+_TITLE = re.compile(r"<title\b", re.I)
+_TITLE_END = re.compile(r"</title\s*>", re.I)
 _LINE = re.compile(rf"</?(?:{'|'.join(BLOCKS)})\b[^>]*>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^>]*>|<[!?][^>]*>")
 _SPACE = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_HREF = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.S | re.I)
+_LINK = re.compile(r"<a\b", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*", re.I)
+_BARE = re.compile(r"[^\s>\"']+")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?\s*([\w.:-]+)", re.I)
 
 RECORD = "page_id long, warc_type string, record_id string, refers_to string, target_uri string, warc_date string, content_type string, content_length long, block_digest string, source_digest string, source_headers string, block string"
@@ -55,43 +57,134 @@ def record_name(*parts: str) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(chr(0).join(parts).encode()).digest()[:16], version=4)}>"
 
 
+class Scan:
+    """Searches that go forward through a page. What isn't found from one place on isn't
+    sought again from a later one, so that a page of openings that nothing ends is read
+    a few times and not once for each of them."""
+
+    def __init__(self, page: str):
+        self.page, self.gone = page, set()
+
+    def find(self, mark: str, at: int) -> int:
+        i = -1 if mark in self.gone else self.page.find(mark, at)
+        if i < 0:
+            self.gone.add(mark)
+        return i
+
+    def search(self, pattern: re.Pattern, at: int) -> re.Match | None:
+        m = None if pattern in self.gone else pattern.search(self.page, at)
+        if m is None:
+            self.gone.add(pattern)
+        return m
+
+    def tag_end(self, at: int) -> int:
+        """The place after the next ``>``; -1, if there is none."""
+        return self.find(">", at) + 1 or -1
+
+    def closed(self, name: str, at: int) -> int:
+        """The place after the element's end tag; -1, if there is none."""
+        m = self.search(_CLOSE[name], at)
+        return -1 if m is None else self.tag_end(m.end())
+
+    def title(self, m: re.Match) -> tuple[int, int, int]:
+        """Where a title's text starts and ends, and the place after it; -1 each, if
+        nothing ends it."""
+        start = self.tag_end(m.end())
+        end = self.search(_TITLE_END, start) if start >= 0 else None
+        return (-1, -1, -1) if end is None else (start, end.start(), end.end())
+
+    def head_part(self, at: int) -> int:
+        """The place after a head's own element at ``at``; -1, if something else is there."""
+        if m := _META.match(self.page, at):
+            return self.tag_end(m.end())
+        if m := _TITLE.match(self.page, at):
+            return self.title(m)[2]
+        return -1
+
+
+def closes_itself(tag: str) -> bool:
+    """Whether a tag ends in a slash that isn't part of an unquoted value."""
+    if not tag.endswith("/>"):
+        return False
+    at = len(tag) - 2
+    while at and not tag[at - 1].isspace() and tag[at - 1] not in "\"'":
+        at -= 1
+    name, equals, value = tag[at:-2].partition("=")
+    return not (value if equals else name and tag[:at].rstrip().endswith("="))
+
+
 def shown(page: str) -> str:
     """The page without comments and ``HIDDEN`` elements. What nothing ends runs to the end
     of the page for comments, scripts and styles; an open head ends where something other
     than its own elements starts, and of other elements only the tag goes. Tags that close
-    themselves hold nothing."""
-    out, at, unended, in_head = [], 0, set(), False
+    themselves hold nothing. Time is in proportion to the page, whatever it holds."""
+    scan, out, at, kept, in_head = Scan(page), [], 0, 0, False
     while True:
         if in_head:
-            while own := _META.match(page, at):
-                at = own.end()
+            after = at
+            while after >= 0:
+                at = kept = _BLANK.match(page, after).end()
+                after = scan.head_part(at)
         m = _OPEN.search(page, at)
+        end = -1 if m is None or m[1] is None else scan.tag_end(m.end())
+        if m is not None and m[1] and end < 0:
+            at = m.end()   # not a tag: nothing closes it
+            in_head = False
+            continue
         in_head = in_head and m is not None and m.start() == at
         if m is None:
-            return "".join([*out, page[at:]])
-        out.append(page[at : m.start()])
-        name = m[1] and m[1].lower()
-        at = m.end()
-        if name is None:
-            end = page.find("-->", at)
+            return "".join([*out, page[kept:]])
+        out.append(page[kept : m.start()])
+        at = m.end() if m[1] is None else end
+        if m[1] is None:
+            end = scan.find("-->", at)
             at = len(page) if end < 0 else end + 3
-        elif m[0].endswith("/>") and not _UNQUOTED.search(m[0]):
-            continue
-        else:
-            end = None if name in unended else _CLOSE[name].search(page, at)
-            if end:
-                at = end.end()
+        elif not closes_itself(page[m.start() : end]):
+            name = m[1].lower()
+            close = scan.closed(name, at)
+            if close >= 0:
+                at = close
             else:
-                unended.add(name)
                 if name in RAW:
                     at = len(page)
                 in_head = in_head or name == "head"
+        kept = at
+
+
+def page_title(page: str) -> str | None:
+    m = _TITLE.search(page)
+    start, end, _ = Scan(page).title(m) if m else (-1, -1, -1)
+    return _SPACE.sub(" ", html.unescape(page[start:end])).strip() if start >= 0 else None
+
+
+def links(page: str) -> list[str]:
+    """The targets of a page's links, as they stand there but for entities."""
+    scan, out, at = Scan(page), [], 0
+    while m := scan.search(_LINK, at):
+        end = scan.tag_end(m.end())
+        # The last tag may run to the end of the page.
+        at = end = end if end >= 0 else len(page)
+        for h in _HREF.finditer(page, m.end(), end):
+            quote = page[h.end() : h.end() + 1]
+            if quote in ("'", '"') and quote:
+                close = scan.find(quote, h.end() + 1)
+                found, stop = (page[h.end() + 1 : close], close + 1) if close >= 0 else (None, 0)
+            else:
+                bare = _BARE.match(page, h.end(), end)
+                found, stop = (bare[0], bare.end()) if bare else (None, 0)
+            if found is not None:
+                out.append(html.unescape(found))
+                at = stop
+                break
+    return out
 
 
 def plain_text(page: str) -> str:
     """What a reader sees of a page: a line for each block, single spaces, characters
     for entities."""
-    page = _TAG.sub("", _LINE.sub("\n", shown(page)))
+    page = shown(page)
+    last = page.rfind(">") + 1   # no tag ends beyond it
+    page = _TAG.sub("", _LINE.sub("\n", page[:last])) + page[last:]
     page = _SPACE.sub(" ", html.unescape(page))
     return _LINES.sub("\n", page).strip()
 
@@ -118,13 +211,11 @@ def derive(page_id, record_id: str | None, uri: str | None, date: str | None, me
     headers, body = split_message(message)
     page = body_text(headers, body)
     text = plain_text(page)
-    title = _TITLE.search(page)
     source = digest(body)
     facts = {
         "source_record": record_id, "uri": uri, "date": date, "http_headers": headers.split("\r\n") if headers else [],
         "payload_digest": source, "payload_length": len(body),
-        "title": _SPACE.sub(" ", html.unescape(title[1])).strip() if title else None,
-        "links": [html.unescape(a or b or c) for a, b, c in _HREF.findall(shown(page))], "text_length": len(text.encode()),
+        "title": page_title(page), "links": links(shown(page)), "text_length": len(text.encode()),
     }
     out = []
     for kind, mime, block in (("metadata", "application/json", json.dumps(facts, ensure_ascii=False)), ("conversion", "text/plain; charset=UTF-8", text)):

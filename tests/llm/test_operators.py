@@ -433,3 +433,20 @@ def test_warc_charset():
     meta, text = warc.derive(1, "r", "u", "d", message)
     assert text[-1] == "café" and re.search("latin-1", meta[-1])
     assert warc.derive(1, None, None, None, b"\xff no header")[1][-1] == "� no header"
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a href=\"", "<title>", "<head><title>", "<script ", "</script ", "<svg =", "<div ", "<!--", "<head>", "<svg>"])
+def test_pages_of_openings_take_linear_time(unit):
+    import time
+
+    page = unit * (1_000_000 // len(unit))
+    begin = time.process_time()
+    warc.derive(1, "r", "u", "d", page.encode())
+    assert time.process_time() - begin < 4
+
+
+def test_links_and_titles_of_odd_tags():
+    assert warc.links("<a x><a href='q>r' y><A\nHREF = z/><a href=\"o><a href=end") == ["q>r", "z/", "end"]
+    assert warc.page_title("<title>a</title x><TITLE y>b &amp; c</title >") == "a</title x><TITLE y>b & c"
+    assert warc.page_title("<title>open") is None and warc.page_title("") is None
+    assert [warc.closes_itself(t) for t in ("<svg/>", "<svg a=b />", "<svg a=b/>", "<svg a='b'/>", "<svg a= b/>", "<svg>")] == [True, True, False, True, False, False]
