@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelforge.catalog.registry import query, rounded
+from panelforge.catalog.sqltext import HOURLY
 from panelforge.catalog.sqltext import with_fragments as sql
 from panelforge.config import MODEL_FEATURES
 from panelforge.operators import features as FE
@@ -89,6 +90,16 @@ def clean_features(spark, sf):
     return _round_all(features(spark, sf).select("country", "index", *MODEL_FEATURES), MODEL_FEATURES)
 
 
+@query(
+    "clean_features_by_hour",
+    sql(f"""SELECT country, "index", {', '.join(_shown(c) for c in MODEL_FEATURES)} FROM feats""", {**HOURLY, **FEATURES}),
+)
+def clean_features_by_hour(spark, sf):
+    """The same for the hourly panel of the event stream: hours, peaks and lags of a day vary."""
+    rows = FE.clean_features(B.hour_panel(spark, sf))
+    return _round_all(rows.select("country", "index", *MODEL_FEATURES), MODEL_FEATURES)
+
+
 NO_IMPORTS = [c for c in MODEL_FEATURES if not c.startswith("imports_")]
 
 

@@ -10,6 +10,7 @@ from panelforge.operators import flows
 from panelforge.operators import joins as J
 from panelforge.operators import latest as L
 from panelforge.operators import splits as S
+from panelforge.operators.asof import asof_join
 from panelforge.operators.columns import with_periods
 from panelforge.operators.resample import group_mean, resample_mean
 from panelforge.sources import benchdata as B
@@ -159,6 +160,55 @@ def asof_nearest(spark, sf):
     return J.nearest_in_time(rows, ["country"], "index", F.lit(INSTANT), ["event_id"])
 
 
+# Purchases are one series of each user, all other events are another.
+_LATER = """SELECT user_id, max(event_id) AS right_event_id, ts AS right_ts, arg_max(round(value * 100), event_id) AS right_value
+            FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts"""
+_FIRST = _LATER.replace("max(event_id) AS", "min(event_id) AS").replace("arg_max", "arg_min")
+_OTHERS = "SELECT event_id, user_id, ts FROM events WHERE event_type <> 'purchase'"
+
+
+def _two_series(spark, sf):
+    events = B.table(spark, sf, "events").select("event_id", "user_id", B.utc("ts").alias("ts"), "event_type", B.cents("value").alias("value"))
+    bought = F.col("event_type") == "purchase"
+    return events.where(~bought).select("event_id", "user_id", "ts"), events.where(bought).drop("event_type")
+
+
+def _asof(compare: str, side: str) -> str:
+    return f"""SELECT l.*, r.right_event_id, r.right_ts, r.right_value
+               FROM ({_OTHERS}) l ASOF LEFT JOIN ({side}) r ON l.user_id = r.user_id AND l.ts {compare} r.right_ts"""
+
+
+@query("asof_join_before", _asof(">=", _LATER))
+def asof_join_before(spark, sf):
+    """For each event the user's last purchase up to then."""
+    return asof_join(*_two_series(spark, sf), ["user_id"], "ts", "before", ties=["event_id"])
+
+
+@query("asof_join_after", _asof("<=", _FIRST))
+def asof_join_after(spark, sf):
+    """For each event the user's next purchase."""
+    return asof_join(*_two_series(spark, sf), ["user_id"], "ts", "after", ties=["event_id"])
+
+
+@query(
+    "asof_join_nearest",
+    f"""WITH b AS ({_asof(">=", _LATER)}), a AS ({_asof("<=", _FIRST)}),
+        pair AS (SELECT b.event_id, b.user_id, b.ts,
+                        CASE WHEN b.ts - b.right_ts <= INTERVAL 12 HOUR THEN b.right_ts END AS back,
+                        CASE WHEN a.right_ts - a.ts <= INTERVAL 12 HOUR THEN a.right_ts END AS ahead,
+                        b.right_event_id AS b_id, a.right_event_id AS a_id, b.right_value AS b_value, a.right_value AS a_value
+                 FROM b JOIN a USING (event_id)),
+        chosen AS (SELECT *, CASE WHEN back IS NULL OR ahead - ts < ts - back THEN ahead ELSE back END AS right_ts,
+                          coalesce(back IS NULL OR ahead - ts < ts - back, false) AS forward FROM pair)
+        SELECT event_id, user_id, ts, CASE WHEN right_ts IS NULL THEN NULL WHEN forward THEN a_id ELSE b_id END AS right_event_id, right_ts,
+               CASE WHEN right_ts IS NULL THEN NULL WHEN forward THEN a_value ELSE b_value END AS right_value
+        FROM chosen WHERE right_ts IS NOT NULL""",
+)
+def asof_join_nearest(spark, sf):
+    """For each event the user's nearest purchase, if there is one within 12 hours."""
+    return asof_join(*_two_series(spark, sf), ["user_id"], "ts", "nearest", "12 hours", ["event_id"], how="inner")
+
+
 def _nth(n, order):
     return sql(f"""SELECT country, "index", event_id, Actual_Load FROM (
                      SELECT *, row_number() OVER (PARTITION BY country ORDER BY {order}) AS r

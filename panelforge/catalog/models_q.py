@@ -10,6 +10,8 @@ from panelforge.catalog.registry import query, rounded
 from panelforge.catalog.sqltext import with_fragments as sql
 from panelforge.ml import forecasting as A
 from panelforge.ml import models as ML
+from panelforge.ml.likelihood import log_likelihood
+from panelforge.ml.stationarity import kpss
 from panelforge.functions.scoring import fallback_score, stress_level
 from panelforge.operators import evaluate as E
 from panelforge.operators import features as FE
@@ -94,6 +96,15 @@ def hyper_search(spark, sf):
     return table
 
 
+@query("halving_search")
+def halving_search(spark, sf):
+    """All twenty draws and five folds, by successive halving; a few rounds in the end."""
+    train, _, _, _ = matrix(spark, sf)
+    model = GBTRegressor(labelCol=SCORE, maxIter=3, seed=ML.SEED)
+    _, table = ML.halving_search(train, model, ML.boosted_search_space(model), SCORE, rungs=2)
+    return table
+
+
 @query("score_probability")
 def score_probability(spark, sf):
     train, _, test, _ = matrix(spark, sf)
@@ -232,6 +243,42 @@ def arima_params(spark, sf):
     return spark.read.parquet(path).select("country", "p", "d", "q", "const", "ar", "ma")
 
 
+_KPSS = """SELECT country, n, lags, round(s / (n * n * long_run), 6) + 0.0 AS kpss FROM (
+    SELECT country, n, lags, (g0 + coalesce(g, 0)) / n AS long_run, s FROM totals LEFT JOIN near USING (country))"""
+
+
+@query(
+    "kpss_statistic",
+    sql(
+        _KPSS,
+        {
+            "deviations": """SELECT country, "index", Actual_Load - avg(Actual_Load) OVER (PARTITION BY country) AS e,
+                                    row_number() OVER (PARTITION BY country ORDER BY "index") AS t,
+                                    count(*) OVER (PARTITION BY country) AS n FROM hourly""",
+            "runs": """SELECT *, sum(e) OVER (PARTITION BY country ORDER BY t) AS run,
+                              floor(4 * pow(n / 100.0, 0.25))::INT AS lags FROM deviations""",
+            "totals": """SELECT country, any_value(n) AS n, any_value(lags) AS lags, sum(e * e) AS g0, sum(run * run) AS s
+                         FROM runs GROUP BY 1""",
+            "near": """SELECT a.country, sum(2 * (1 - (b.t - a.t) / (a.lags + 1.0)) * a.e * b.e) AS g
+                       FROM runs a JOIN runs b ON a.country = b.country AND b.t > a.t AND b.t <= a.t + a.lags GROUP BY 1""",
+        },
+    ),
+)
+def kpss_statistic(spark, sf):
+    """The stationarity test of the hourly load, in blocks of counted rows."""
+    return rounded(kpss(B.hourly(spark, sf), ["country"], ["index"], "Actual_Load"), "kpss")
+
+
+@query("arima_likelihood")
+def arima_likelihood(spark, sf):
+    """Exact likelihoods of the models of the monthly score, differenced by the KPSS test."""
+    rows = scored(spark, sf)
+    series = reliable_checkpoint(A.prepare_series(rows, ["country"], "index", SCORE), "series")
+    models = reliable_checkpoint(A.fit_arima(series, ["country"], "index", SCORE, test="kpss"), "models")
+    found = log_likelihood(series, models, ["country"], "index", SCORE)
+    return found.join(models.select("country", "p", "d", "q"), "country")
+
+
 @query("arima_fit_raw")
 def arima_fit_raw(spark, sf):
     """The same on raw readings, whose keys are fitted in time blocks."""

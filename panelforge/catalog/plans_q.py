@@ -6,7 +6,7 @@ import uuid
 
 from panelforge.catalog.features_q import FEATURES, NATIONS
 from panelforge.catalog.registry import query, rounded
-from panelforge.catalog.sqltext import FRAGMENTS
+from panelforge.catalog.sqltext import FRAGMENTS, HOURLY
 from panelforge.catalog.sqltext import with_fragments as sql
 from panelforge.operators.splits import Splits
 from panelforge.plans import prepare as P
@@ -40,21 +40,38 @@ def _near(c):
           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0)"""
 
 
-@query(
-    "batch_preparation",
-    sql(
+def _prepared(split: str, more: dict | None = None) -> str:
+    return sql(
         f"""SELECT split, country, "index", grid_stress_score, {_near(N)} AS {N}, {_near(S)} AS {S},
                    round(coalesce({BIO}, avg({BIO}) OVER (PARTITION BY split, country), 0), 6) AS {BIO}
             FROM labeled""",
-        {"labeled": f"""SELECT scored.*, {N}, {S}, {BIO}, {SPLIT_SQL} AS split FROM scored
+        {**(more or {}), "labeled": f"""SELECT scored.*, {N}, {S}, {BIO}, {split} AS split FROM scored
                         JOIN generation USING (country, "index")
                         JOIN weather USING (country, "index")"""},
-    ),
-)
+    )
+
+
+@query("batch_preparation", _prepared(SPLIT_SQL))
 def batch_preparation(spark, sf):
     """Resample, join, score, split and impute, with tables in between."""
+    return _prepare(spark, inputs(spark, sf), SPLITS)
+
+
+HOUR_SPLITS = Splits("2024-01-16", "2024-01-24")
+HOUR_SPLIT_SQL = """CASE WHEN "index" <= TIMESTAMP '2024-01-16' THEN 'train'
+                         WHEN "index" <= TIMESTAMP '2024-01-24' THEN 'validation' ELSE 'test' END"""
+
+
+@query("batch_preparation_by_hour", _prepared(HOUR_SPLIT_SQL, HOURLY))
+def batch_preparation_by_hour(spark, sf):
+    """The same by hour, from the event stream."""
+    by_hour = P.Inputs(readings=[B.hour_load(spark, sf)], flows=B.hour_flow(spark, sf), panels=[B.hour_supply(spark, sf)], unit="hour")
+    return _prepare(spark, by_hour, HOUR_SPLITS)
+
+
+def _prepare(spark, given, splits):
     name = f"batch_{uuid.uuid4().hex[:12]}"
-    done = spark.table(P.run_batch(inputs(spark, sf), SPLITS, name, scratch_dir(spark, name)))
+    done = spark.table(P.run_batch(given, splits, name, scratch_dir(spark, name)))
     return rounded(done.select("split", "country", "index", "grid_stress_score", N, S, BIO), BIO)
 
 

@@ -6,13 +6,15 @@ from pyspark.sql import functions as F
 
 from panelforge.catalog.registry import query, r6, rounded
 from panelforge.catalog.sqltext import with_fragments as sql
+from panelforge.functions.timeparts import date_text
 from panelforge.operators import columns as C
 from panelforge.operators import evaluate as E
 from panelforge.operators import profile as P
+from panelforge.operators import sketches as SK
 from panelforge.operators.percentiles import approx_percentiles, percentile_disc
 from panelforge.operators.scores import score_panel
 from panelforge.operators.splits import Splits, with_split
-from panelforge.session import reliable_checkpoint
+from panelforge.session import reliable_checkpoint, scratch_dir
 from panelforge.sources import benchdata as B
 
 SPLITS = Splits("1999-12-31", "2000-12-31")
@@ -101,6 +103,56 @@ def key_mean_median(spark, sf):
     )
 
 
+_SHARES = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
+
+
+@query("sketch_percentiles", sql("SELECT country, count(*) AS n, true AS p10, true AS p50, true AS p90 FROM readings GROUP BY 1"))
+def sketch_percentiles(spark, sf):
+    """Percentiles from sketches of each day, kept in a table: half of the month makes its
+    sketches first, then the whole month adds its other days. Columns say whether the
+    value's rank is within the bound by an exact count, twice the sketch's usual error."""
+    rows = B.readings(spark, sf).select("country", "Actual_Load", date_text(F.col("index")).alias("date"))
+    path = scratch_dir(spark, "sketches")
+    SK.refresh_quantiles(rows.where("date < '2024-01-16'"), path, ["country"], "date", "Actual_Load")
+    table = SK.refresh_quantiles(rows, path, ["country"], "date", "Actual_Load")
+    found = SK.sketched_quantiles(table, ["country"], {f"_{k}": p for k, p in _SHARES.items()})
+    beside = rows.join(found.drop("n"), "country").groupBy("country").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg((F.col("Actual_Load") < F.col(f"_{k}")).cast("double")).alias(f"{k}_below") for k in _SHARES],
+        *[F.avg((F.col("Actual_Load") <= F.col(f"_{k}")).cast("double")).alias(f"{k}_upto") for k in _SHARES],
+    )
+    slack = 2 * SK.KLL_ERROR
+    return beside.select(
+        "country", "n", *[((F.col(f"{k}_below") - slack <= p) & (F.col(f"{k}_upto") + slack >= p)).alias(k) for k, p in _SHARES.items()]
+    )
+
+
+@query(
+    "split_overlap",
+    """WITH m AS (SELECT DISTINCT user_id, event_type, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'train'
+                    WHEN ts < TIMESTAMP '2024-01-24' THEN 'validation' ELSE 'test' END AS split FROM events),
+            s AS (SELECT DISTINCT split FROM m)
+       SELECT a.split AS "left", b.split AS "right", true AS both, true AS left_only, true AS left_all
+       FROM s a JOIN s b ON a.split <> b.split""",
+)
+def split_overlap(spark, sf):
+    """How many pairs of user and event type two splits share, from a sketch of each split.
+    Columns say whether the estimate is within a tenth of the split's exact count."""
+    split = F.when(F.col("ts") < "2024-01-16", "train").when(F.col("ts") < "2024-01-24", "validation").otherwise("test")
+    rows = B.table(spark, sf, "events").select("user_id", "event_type", split.alias("split"))
+    found = SK.overlap(rows, "split", ["user_id", "event_type"])
+    held = rows.distinct().groupBy("user_id", "event_type").agg(F.collect_set("split").alias("held"))
+    pairs = held.select(F.explode("held").alias("left"), "held").select("left", F.explode(F.lit(["train", "validation", "test"])).alias("right"), "held")
+    exact = pairs.where("left <> right").groupBy("left", "right").agg(
+        F.count_if(F.array_contains("held", F.col("right"))).alias("e_both"), F.count(F.lit(1)).alias("e_all")
+    )
+    near = lambda a, b: F.abs(F.col(a) - b) <= F.col("e_all") * 0.1
+    return found.join(exact, ["left", "right"]).select(
+        "left", "right", near("both", F.col("e_both")).alias("both"), near("left_only", F.col("e_all") - F.col("e_both")).alias("left_only"),
+        near("left_all", F.col("e_all")).alias("left_all"),
+    )
+
+
 @query("approx_quantile")
 def approx_quantile(spark, sf):
     """Medians from a sketch of bounded size; not comparable digit by digit."""

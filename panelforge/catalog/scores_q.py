@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from panelforge.catalog.registry import money, query, rounded
+from panelforge.catalog.sqltext import HOURLY
 from panelforge.catalog.sqltext import with_fragments as sql
 from panelforge.functions import scoring as S
 from panelforge.operators import scenarios as X
@@ -18,18 +19,28 @@ from panelforge.session import reliable_checkpoint
 from panelforge.sources import benchdata as B
 
 
-@query(
-    "stress_score",
-    sql("""SELECT country, "index", round(Actual_Load, 2) AS Actual_Load,
+_SCORE = """SELECT country, "index", round(Actual_Load, 2) AS Actual_Load,
                   round(reserve_margin_ml, 6) + 0.0 AS reserve_margin_ml,
                   round(load_rel_error, 6) + 0.0 AS load_rel_error,
                   round(net_imports, 2) + 0.0 AS net_imports,
                   score_reserve_margin, score_load_error, score_T7, score_T8, grid_stress_score
-           FROM scored"""),
-)
+           FROM scored"""
+
+
+@query("stress_score", sql(_SCORE))
 def stress_score(spark, sf):
     """The flagship: resample, join, window, percentile and rule scoring."""
-    scored = score_panel(B.panel(spark, sf, with_supply=False))
+    return _scores(B.panel(spark, sf, with_supply=False))
+
+
+@query("stress_score_by_hour", sql(_SCORE, HOURLY))
+def stress_score_by_hour(spark, sf):
+    """The same by hour, from the event stream."""
+    return _scores(B.hour_panel(spark, sf, with_supply=False))
+
+
+def _scores(panel):
+    scored = score_panel(panel)
     scored = rounded(scored, "reserve_margin_ml", "load_rel_error")
     return money(scored, "Actual_Load", "net_imports").select(
         "country", "index", "Actual_Load", "reserve_margin_ml", "load_rel_error", "net_imports",

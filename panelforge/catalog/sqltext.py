@@ -140,6 +140,27 @@ FRAGMENTS = {
 }
 
 
+# The panel by hour: its sources are the events, and what is made of them goes by hour.
+HOURLY = {
+    "load_readings": """
+        SELECT event_type AS country, ts AS "index", round(value * 100) AS Actual_Load,
+               CASE WHEN user_id % 2 = 1 THEN round(value * 100) END AS Forecasted_Load
+        FROM events""",
+    "flow_readings": """
+        SELECT * FROM (SELECT event_type AS from_country, ts AS "index", round(value * 100) AS Value,
+                              ['click', 'error', 'purchase', 'signup', 'view'][(user_id % 5 + 1)::INT] AS to_country
+                       FROM events) WHERE from_country <> to_country""",
+    "supply_readings": """
+        SELECT event_type AS country, ts AS "index", round(value * 100) AS price, (user_id % 50)::DOUBLE AS l_quantity,
+               (event_id % 11)::DOUBLE AS discount, (event_id % 9)::DOUBLE AS tax, (event_id % 50 + 1)::INT AS p_size
+        FROM events""",
+    **{
+        name: FRAGMENTS[name].replace("'month'", "'hour'")
+        for name in ("load", "forecast", "flow", "generation", "weather", "renewables")
+    },
+}
+
+
 def with_fragments(body: str, extra: dict[str, str] | None = None) -> str:
     """Put the fragments that ``body`` names, and theirs, in front as CTEs."""
     pool = {**FRAGMENTS, **(extra or {})}

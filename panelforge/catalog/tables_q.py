@@ -12,8 +12,11 @@ from panelforge.operators.columns import with_periods
 from panelforge.operators.resample import group_mean
 from panelforge.session import scratch_dir
 from panelforge.sources import benchdata as B
+from panelforge.sources import grid_source as grid_files
 from panelforge.sources import grids
 from panelforge.sources import tables as T
+from panelforge.sources.changes import load_changed
+from panelforge.sources.layout import write_clustered
 
 
 def _fresh(spark, label):
@@ -312,6 +315,76 @@ def grid_flatten(spark, sf):
     )
 
 
+_CELLS = {
+    "exploded": """SELECT "timestamp", short_name, unnest("values") AS v,
+                          (generate_subscripts("values", 1) - 1)::INT AS pos FROM messages WHERE (epoch_us("timestamp") // 3600000000) % 2 = 0""",
+    "cells": """SELECT "timestamp", pos, max(v) FILTER (WHERE short_name = '10u') AS u10, max(v) FILTER (WHERE short_name = '10v') AS v10,
+                       max(v) FILTER (WHERE short_name = '2t') AS t2m, max(v) FILTER (WHERE short_name = 'ssrd') AS ssrd
+                FROM exploded WHERE "timestamp" >= TIMESTAMP '1970-01-03' GROUP BY 1, 2""",
+}
+
+
+@query(
+    "grid_source",
+    sql(
+        """SELECT "timestamp", pos, (50 - pos // 8)::DOUBLE AS lat, (5 + pos % 8)::DOUBLE AS lon,
+                  u10, v10, t2m, ssrd, round(sqrt(u10 * u10 + v10 * v10), 6) + 0.0 AS wind_speed,
+                  round(t2m - 273.15::DOUBLE, 6) + 0.0 AS temperature_c
+           FROM cells""",
+        _CELLS,
+    ),
+)
+def grid_source(spark, sf):
+    """Messages of every second hour, written as grid files and read by the data source
+    from the third day on: earlier files aren't opened."""
+    path = scratch_dir(spark, "grids")
+    messages = B.grid_messages(spark, sf)
+    grid_files.write_messages(messages.where(F.floor(F.unix_seconds("timestamp") / 3600) % 2 == 0), path)
+    read = grid_files.read_messages(spark, path).where(F.col("timestamp") >= F.lit("1970-01-03").cast("timestamp"))
+    read = read.withColumn("values", F.col("values").cast("array<double>"))
+    cells = spark.range(64).select(
+        F.col("id").cast("int").alias("pos"), F.expr("CAST(50 - id div 8 AS DOUBLE)").alias("lat"), F.expr("CAST(5 + id % 8 AS DOUBLE)").alias("lon")
+    )
+    return rounded(grids.flatten_grid(read, cells), "wind_speed", "temperature_c")
+
+
+@query(
+    "clustered_layout",
+    """SELECT event_id, user_id, event_type, value FROM events
+       WHERE user_id < 40 AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-12'""",
+)
+def clustered_layout(spark, sf):
+    """Events laid out along a curve through user and time, then read by both."""
+    path = scratch_dir(spark, "clustered")
+    write_clustered(B.table(spark, sf, "events"), path, ["user_id", "ts"], files=8)
+    rows = spark.read.parquet(path).where("user_id < 40 AND ts >= '2024-01-10' AND ts < '2024-01-12'")
+    return rows.select("event_id", "user_id", "event_type", "value")
+
+
+@query(
+    "load_changed",
+    sql(
+        """SELECT month, count(*) AS n, sum(Actual_Load + CASE WHEN month LIKE '%-03' THEN 1 ELSE 0 END) AS total,
+                  CASE WHEN month LIKE '%-03' THEN 'written' END AS change
+           FROM dated WHERE month NOT LIKE '%-11' GROUP BY 1
+           UNION ALL SELECT DISTINCT month, 0, NULL, 'removed' FROM dated WHERE month LIKE '%-11'""",
+        {"dated": DATED},
+    ),
+)
+def load_changed_query(spark, sf):
+    """A table loaded twice: the second time the Marches differ, the Novembers are gone,
+    and all other partitions hold the same rows in another order. Only the former are
+    written or removed."""
+    path, keys = scratch_dir(spark, "loads"), ["month"]
+    rows = _dated(spark, sf).select("country", "month", "index", "Actual_Load")
+    load_changed(rows, path, keys)
+    march = F.col("month").endswith("-03")
+    later = rows.where(~F.col("month").endswith("-11")).withColumn("Actual_Load", F.col("Actual_Load") + F.when(march, 1).otherwise(0))
+    changes = load_changed(later.orderBy("Actual_Load"), path, keys)
+    table = spark.read.schema(rows.schema).parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum("Actual_Load").alias("total"))
+    return table.join(changes, keys, "full").select(*keys, F.coalesce("n", F.lit(0)).alias("n"), "total", "change")
+
+
 @query(
     "sample_rows",
     """SELECT event_id, event_type, value FROM events

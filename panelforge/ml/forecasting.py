@@ -6,7 +6,8 @@ key, and only these sums (a small matrix per key) reach a vectorised helper that
 solves for the coefficients. The fit follows Hannan and Rissanen (1982): a long
 autoregression gives the residuals, then the values are regressed on their own
 lags and on lagged residuals, for each (p, q); the lowest AIC wins. A
-Dickey-Fuller regression decides between levels, differences and their differences.
+Dickey-Fuller regression, or the KPSS test, decides between levels, differences and
+their differences.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.config import MIN_OBSERVATIONS
+from panelforge.ml.stationarity import kpss_order
 from panelforge.operators.blocks import row_frames
 from panelforge.operators.evaluate import regression_metrics
 from panelforge.session import reliable_checkpoint
@@ -142,15 +144,18 @@ def _difference_order(lagged: DataFrame, keys) -> DataFrame:
 
 
 def fit_arima(
-    series: DataFrame, keys: Sequence[str], time: str, value: str, span: str | None = None
+    series: DataFrame, keys: Sequence[str], time: str, value: str, span: str | None = None, test: str = "dickey_fuller"
 ) -> DataFrame:
     """One row per key: p, d, q, const, ar, ma, sigma2, aic, and what a forecast
-    needs: the long autoregression, the mean and the last values.
+    needs: the long autoregression, the mean and the last values. ``test`` decides on d:
+    "dickey_fuller" looks for proof of a level, "kpss" for proof against one.
 
     The lagged rows are written once; three aggregates then read them."""
     keys = list(keys)
     lagged = reliable_checkpoint(_lagged(series, keys, [time], value, span), "lagged")
-    order = _difference_order(lagged, keys)
+    if test not in ("dickey_fuller", "kpss"):
+        raise ValueError(f"no such test: {test}")
+    order = _difference_order(lagged, keys) if test == "dickey_fuller" else kpss_order(series, keys, [time], value)
     rows = lagged.join(order, keys)
     z = {
         f"z{k}": F.when(F.col("d") == 0, F.col(f"y{k}"))

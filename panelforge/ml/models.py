@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import time
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from panelforge.operators.evaluate import classification_metrics, regression_metrics
 from panelforge.operators.profile import share_of_total
+from panelforge.session import reliable_checkpoint
 
 SEED = 42
 
@@ -196,6 +198,60 @@ def hyper_search(
     return search.bestModel, table
 
 
+def _part(rows: DataFrame, share: float, seed: int) -> DataFrame:
+    """The rows whose hash lies in the first ``share``: larger shares hold smaller ones."""
+    if share >= 1.0:
+        return rows
+    at = F.pmod(F.xxhash64(F.lit(seed), *[c for c in rows.columns if c != "features"]), F.lit(1 << 30))
+    return rows.where(at < int(share * (1 << 30)))
+
+
+def halving_search(
+    train: DataFrame, estimator, params: dict, label: str, n: int = 20, folds: int = 5, rungs: int = 3, keep: int = 3,
+    rounds: str = "maxIter", least: int = 1, parallelism: int = 4, seed: int = SEED,
+):
+    """Random search by successive halving, cross-validated by mean squared error.
+
+    All ``n`` draws begin with a few rounds on a part of the rows; on each of the ``rungs``
+    the best 1/``keep`` of them go on with ``keep`` times the rounds and rows, and the last
+    rung has all of both. Rows are dealt to folds and parts by their hash, so a draw is
+    measured on the same folds throughout, and the part of a rung holds that of the one
+    before. Returns the best model, fitted on all rows, and a table: rung, draw, fold,
+    parameters, rounds, share, mse, stays."""
+    grid, judge = sampled_grid(params, n, seed), RegressionEvaluator(labelCol=label, metricName="mse")
+    full = estimator.getOrDefault(rounds)
+    of_fold = F.pmod(F.xxhash64(F.lit(seed + 1), *[c for c in train.columns if c != "features"]), F.lit(folds))
+    dealt = reliable_checkpoint(train.withColumn("_fold", of_fold), "folds")
+    alive, lines = list(range(n)), []
+    with ThreadPool(parallelism) as pool:
+        for rung in range(rungs):
+            share = float(keep) ** (rung + 1 - rungs)
+            turns = max(least, round(full * share))
+            part = _part(dealt, share, seed)
+            setting = {estimator.getParam(rounds): turns}
+
+            def measure(job):
+                draw, fold = job
+                own = part.where(F.col("_fold") != fold).drop("_fold")
+                held = part.where(F.col("_fold") == fold).drop("_fold")
+                model = estimator.fit(own, {**grid[draw], **setting})
+                return draw, fold, float(judge.evaluate(model.transform(held)))
+
+            found = pool.map(measure, [(d, f) for d in alive for f in range(folds)])
+            mean = {d: sum(m for x, _, m in found if x == d) / folds for d in alive}
+            best = sorted(alive, key=lambda d: (mean[d], d))
+            stays = set(best[: max(1, -(-len(best) // keep))])
+            lines += [
+                (rung, d, f, ", ".join(f"{p.name}={v}" for p, v in grid[d].items()), turns, share, m, d in stays) for d, f, m in found
+            ]
+            alive = sorted(stays)
+    winner = best[0]
+    table = train.sparkSession.createDataFrame(
+        lines, "rung int, draw int, fold int, parameters string, rounds int, share double, mse double, stays boolean"
+    )
+    return estimator.fit(train, grid[winner]), table
+
+
 def boosted_search_space(estimator) -> dict:
     """Parameters of boosted trees to search, with their values."""
     return {

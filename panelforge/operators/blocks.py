@@ -24,6 +24,7 @@ from panelforge.session import reliable_checkpoint
 
 BLOCK = "_block"
 BLOCK_ROWS = 250_000
+ROW = "_row_no"  # tells rows apart that are equal in all order columns
 SIDE = "_side"   # -1 lies before the block, 0 is an own row, 1 lies after it
 
 _UNITS = {"minute": 60, "hour": 3600, "day": 86400}
@@ -42,18 +43,27 @@ def block_of(time: str, span: str) -> Column:
     return F.coalesce(number, F.lit(-(2**62)))
 
 
-def counted_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int) -> DataFrame:
-    """``df`` with a block for each row: of about ``rows`` rows, and below twice that.
+def counted_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int) -> tuple[DataFrame, bool]:
+    """``df`` with a block for each row, of about ``rows`` rows and below twice that, and
+    whether no key has more than one.
 
     Rows are counted per key and minute; each key's minutes are dealt to blocks in
     order. A minute with more than ``rows`` rows, or that many rows without a time, is
-    cut further by all of ``order``, at places that a sample gives. Only rows that are
-    equal in all of ``order`` always stay together. The input is read once."""
-    base = reliable_checkpoint(df.withColumn("_slot", block_of(order[0], "1 minute")), "readings")
-    names = [*keys, "_slot"]
-    counts = base.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    cut further by all of ``order``, at places that a sample gives. Rows that are equal in
+    all of these go by ``ROW``, a number of their own. The input is read once."""
+    own = F.xxhash64(F.monotonically_increasing_id())
+    base = reliable_checkpoint(df.withColumns({"_slot": block_of(order[0], "1 minute"), ROW: own}), "readings")
+    names, order = [*keys, "_slot"], [*order, ROW]
+    counts = reliable_checkpoint(base.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")), "minutes")
+    of_key, of_slot = counts.groupBy(*keys).agg(F.sum("_n").alias("_of_key"), F.max("_n").alias("_of_slot")).agg(F.max("_of_key"), F.max("_of_slot")).first()
+    block = lambda part, sub: F.struct(part.cast("bigint").alias("part"), sub.cast("int").alias("sub"))
+    if (of_key or 0) <= rows:
+        return base.withColumn(BLOCK, block(F.lit(0), F.lit(0))).drop("_slot"), True
     through = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0))
     slots = counts.withColumn("_part", F.floor((through - F.col("_n")) / rows))
+    if of_slot <= rows:
+        joined = base.alias("t").join(slots.alias("c"), _same_key("t", "c", names)).select("t.*", "c._part")
+        return joined.withColumn(BLOCK, block(F.col("_part"), F.lit(0))).drop("_slot", "_part"), False
     crowded = slots.filter(F.col("_n") > rows).select(*names)
     every = min(rows, 64)   # sampled rows for each cut
     drawn = F.pmod(F.xxhash64(*order), F.lit(1 << 20)) < int((1 << 20) * every / rows)
@@ -72,15 +82,16 @@ def counted_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], row
 
     steps = F.lit([1 << i for i in range(24, -1, -1)])
     sub = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), halve))
-    return joined.withColumn(BLOCK, F.struct(F.col("_part").alias("part"), sub.alias("sub"))).drop("_slot", "_part", "_cuts")
+    return joined.withColumn(BLOCK, block(F.col("_part"), sub)).drop("_slot", "_part", "_cuts"), False
 
 
-def _in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], span: str | int) -> DataFrame:
+def _in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], span: str | int) -> tuple[DataFrame, list[str], bool]:
+    """The rows with their blocks, what orders them, and whether keys are whole."""
     if span == "auto" or isinstance(span, int):
-        base = counted_blocks(df, keys, order, BLOCK_ROWS if span == "auto" else span)
+        base, whole = counted_blocks(df, keys, order, BLOCK_ROWS if span == "auto" else span)
     else:
-        base = df.withColumn(BLOCK, block_of(order[0], span))
-    return base.withColumn(SIDE, F.lit(0))
+        base, whole = df.withColumns({BLOCK: block_of(order[0], span), ROW: F.lit(0).cast("bigint")}), False
+    return base.withColumn(SIDE, F.lit(0)), [*order, ROW], whole
 
 
 def _same_key(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -132,6 +143,21 @@ def _edge_rows(base: DataFrame, keys, order, reach: int, before: bool) -> DataFr
     )
 
 
+def block_parts(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int = 0, after: int = 0, span: str | int = "auto"
+) -> DataFrame:
+    """``df`` in blocks: ``BLOCK`` orders those of a key, ``SIDE`` is 0 for a block's own
+    rows, ``ROW`` is the last of what orders them. With them come copies of the ``before``
+    rows that precede the block (side -1) and of the ``after`` rows that follow it (side 1)."""
+    base, order, whole = _in_blocks(df, keys, order, span)
+    parts = base
+    if before and not whole:
+        parts = parts.unionByName(_edge_rows(base, keys, order, before, before=True))
+    if after and not whole:
+        parts = parts.unionByName(_edge_rows(base, keys, order, after, before=False))
+    return parts
+
+
 def row_frames(
     df: DataFrame,
     keys: Sequence[str],
@@ -151,14 +177,9 @@ def row_frames(
     ``order[0]`` is the time column."""
     if span is None:
         return df.withColumns(columns(Window.partitionBy(*keys).orderBy(*order)))
-    base = _in_blocks(df, keys, order, span)
-    parts = base
-    if before:
-        parts = parts.unionByName(_edge_rows(base, keys, order, before, before=True))
-    if after:
-        parts = parts.unionByName(_edge_rows(base, keys, order, after, before=False))
-    window = Window.partitionBy(*keys, BLOCK).orderBy(SIDE, *order)
-    return parts.withColumns(columns(window)).filter(F.col(SIDE) == 0).drop(BLOCK, SIDE)
+    parts = block_parts(df, keys, order, before, after, span)
+    window = Window.partitionBy(*keys, BLOCK).orderBy(SIDE, *order, ROW)
+    return parts.withColumns(columns(window)).filter(F.col(SIDE) == 0).drop(BLOCK, SIDE, ROW)
 
 
 def _order_value(order: Sequence[str]) -> Column:
@@ -210,11 +231,11 @@ def fill_frames(
     if span is None:
         parts, window, extra = df, Window.partitionBy(*keys).orderBy(*order), ()
     else:
-        base = _in_blocks(df, keys, order, span)
-        parts, extra = base, (BLOCK, SIDE)
+        base, order, whole = _in_blocks(df, keys, order, span)
+        parts, extra = base, (BLOCK, SIDE, ROW)
         for mapping, side in ((ahead, True), (back, False)):
             names = list(dict.fromkeys(mapping.values()))
-            if names:
+            if names and not whole:
                 parts = parts.unionByName(
                     _carry_rows(base, keys, order, names, side), allowMissingColumns=True
                 )

@@ -99,9 +99,9 @@ def load_readings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _monthly(rows: DataFrame, keys: list[str], *values: str) -> DataFrame:
-    """Monthly means in whole cents, so that sums of them stay exact too."""
-    means = resample_mean(rows, keys, unit="month", values=values)
+def _monthly(rows: DataFrame, keys: list[str], *values: str, unit: str = "month") -> DataFrame:
+    """Means by month (or ``unit``) in whole cents, so that sums of them stay exact too."""
+    means = resample_mean(rows, keys, unit=unit, values=values)
     return means.withColumns({c: F.round(c) for c in values})
 
 
@@ -185,10 +185,12 @@ RENEWABLES = {"solar_forecast": "avg(tax)", "wind_forecast": "avg(discount)"}
 
 
 def _supply(spark: SparkSession, sf: str, series: dict[str, str]) -> DataFrame:
-    return (
-        supply_readings(spark, sf)
-        .groupBy("country", F.date_trunc("month", "index").alias("index"))
-        .agg(*[F.expr(text).alias(n) for n, text in series.items()])
+    return _supply_means(supply_readings(spark, sf), series, "month")
+
+
+def _supply_means(rows: DataFrame, series: dict[str, str], unit: str) -> DataFrame:
+    return rows.groupBy("country", F.date_trunc(unit, "index").alias("index")).agg(
+        *[F.expr(text).alias(n) for n, text in series.items()]
     )
 
 
@@ -222,6 +224,47 @@ def panel(spark: SparkSession, sf: str, with_supply: bool = True) -> DataFrame:
     return align(frames, KEYS)
 
 
+# ---- the same panel by hour, from the event stream ------------------------------
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+def hour_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Load and forecast by event type and hour; users with odd ids are the forecast."""
+    events = table(spark, sf, "events")
+    rows = events.select(
+        F.col("event_type").alias("country"), utc("ts").alias("index"), cents("value").alias("Actual_Load"),
+        F.when(F.col("user_id") % 2 == 1, cents("value")).alias("Forecasted_Load"),
+    )
+    both = _monthly(rows, ["country"], "Actual_Load", "Forecasted_Load", unit="hour")
+    return both.filter(F.col("Forecasted_Load").isNotNull())
+
+
+def hour_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """Flows from an event's type to the type that the user's id stands for."""
+    to = F.element_at(F.lit(list(EVENT_TYPES)), (F.col("user_id") % len(EVENT_TYPES) + 1).cast("int"))
+    rows = table(spark, sf, "events").select(
+        F.col("event_type").alias("from_country"), to.alias("to_country"), utc("ts").alias("index"), cents("value").alias("Value")
+    )
+    return _monthly(rows.where("from_country <> to_country"), ["from_country", "to_country"], "Value", unit="hour")
+
+
+def hour_supply(spark: SparkSession, sf: str) -> DataFrame:
+    """Supply series by event type and hour, out of values and ids."""
+    events, size = table(spark, sf, "events"), F.col("event_id") % 50 + 1
+    price, quantity = cents("value"), (F.col("user_id") % 50).cast("double")
+    rows = events.select(
+        F.col("event_type").alias("country"), utc("ts").alias("index"), price.alias("price"), quantity.alias("l_quantity"),
+        (F.col("event_id") % 11).cast("double").alias("discount"), (F.col("event_id") % 9).cast("double").alias("tax"),
+        F.when(size == 1, price).alias("nuclear"), F.when(size == 2, price).alias("solar"), F.when(size <= 10, quantity).alias("biomass"),
+    )
+    return _supply_means(rows, {**WEATHER, **RENEWABLES, **GENERATION}, "hour")
+
+
+def hour_panel(spark: SparkSession, sf: str, with_supply: bool = True) -> DataFrame:
+    frames = [hour_load(spark, sf), net_flow(hour_flow(spark, sf))]
+    return align([*frames, hour_supply(spark, sf)] if with_supply else frames, KEYS)
+
+
 def points(spark: SparkSession, sf: str) -> DataFrame:
     """Embeddings as measuring points, with two measured values."""
     vector = F.col("embedding")

@@ -90,7 +90,8 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def stored(spark: SparkSession, path: str) -> bool:
+    """Whether something was written there."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.exists(hadoop)
@@ -98,7 +99,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def create_or_replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Create the table on the first batch, replace partitions on later ones."""
-    write = replace_partitions if _exists(df.sparkSession, path) else write_partitioned
+    write = replace_partitions if stored(df.sparkSession, path) else write_partitioned
     write(df, path, partition_by)
 
 

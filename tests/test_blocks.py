@@ -71,11 +71,14 @@ def test_counted_blocks_are_bounded_however_rows_lie(spark):
     rows += [("hot", start, 10_000 + i, 1.0) for i in range(2000)]
     rows += [("late", None, 20_000 + i, 1.0) for i in range(2500)]
     rows += [("hot", start + timedelta(days=365), 1, 1.0)] + [(None, start + timedelta(days=i), i, 1.0) for i in range(900)]
+    rows += [("equal", start, None, 1.0)] * 1500 + [("equal", None, None, 1.0)] * 1500
     df = spark.createDataFrame(rows, "k string, t timestamp, id int, v double")
-    cut = K.counted_blocks(df, ["k"], ORDER, 200)
+    cut, whole = K.counted_blocks(df, ["k"], ORDER, 200)
+    assert not whole and K.counted_blocks(df, ["k"], ORDER, 10_000)[1]
     sizes = [r["count"] for r in cut.groupBy("k", K.BLOCK).count().collect()]
     assert sum(sizes) == len(rows) and max(sizes) < 400
     # Blocks follow each other in the order of rows.
-    bounds = cut.groupBy("k", K.BLOCK).agg(F.min(F.struct(*ORDER)).alias("a"), F.max(F.struct(*ORDER)).alias("b"))
+    place = F.struct(*ORDER, K.ROW)
+    bounds = cut.groupBy("k", K.BLOCK).agg(F.min(place).alias("a"), F.max(place).alias("b"))
     window = Window.partitionBy("k").orderBy(K.BLOCK)
     assert bounds.withColumn("p", F.lag("b").over(window)).filter("p >= a").count() == 0
