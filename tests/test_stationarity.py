@@ -54,8 +54,13 @@ def plain_likelihood(z, ar, ma):
         psi[j] = (1.0 if j == 0 else (ma[j - 1] if j <= len(ma) else 0.0)) + sum(a * psi[j - i - 1] for i, a in enumerate(ar) if j > i)
     gamma = np.array([psi[: 4000 - k] @ psi[k:] for k in range(len(z))])
     cov = gamma[np.abs(np.subtract.outer(range(len(z)), range(len(z))))]
-    sign, logs = np.linalg.slogdet(cov)
-    sigma2 = z @ np.linalg.solve(cov, z) / len(z)
+    low, u = np.zeros_like(cov), np.zeros(len(z))        # Cholesky, row by row
+    for i in range(len(z)):
+        for j in range(i):
+            low[i, j] = (cov[i, j] - low[i, :j] @ low[j, :j]) / low[j, j]
+        low[i, i] = np.sqrt(cov[i, i] - low[i, :i] @ low[i, :i])
+        u[i] = (z[i] - low[i, :i] @ u[:i]) / low[i, i]
+    logs, sigma2 = 2 * np.log(np.diag(low)).sum(), u @ u / len(z)
     return r, sigma2, -0.5 * (len(z) * (np.log(2 * np.pi * sigma2) + 1) + logs)
 
 
