@@ -33,8 +33,11 @@ from panelforge.session import reliable_checkpoint
 RANK_BITS = 20         # how common shingles are is counted in 2**20 cells
 CELLS_A_ROW = 4096
 CHUNK = 1_000_000      # shingles that a task holds before it sends them
+FIRST_NAMES = ["bucket", "hashes", "nodes", "repeated", "share", "counted", "counts"]
+SHARE = 500_000        # sets whose counts one task adds up, about
 BUCKET = 500_000       # shingles that a bucket of the first exchange holds, about
 FREQUENT = 32          # a shingle of more texts is indexed in combinations of two
+GOES_ON = 0.9          # rounds of hubs go on while at most so many of the open sets stay open
 BLOCK = 4_000_000      # shingles of the sets that are compared at a time, with as many others
 
 
@@ -113,7 +116,7 @@ def ordered_prefix(h, ends, ranks: np.ndarray, take: np.ndarray):
     return h, at
 
 
-def _first_shingles(batches, width: int, percent: int, ranks: bytes, buckets: int) -> Iterator[pa.RecordBatch]:
+def _first_shingles(batches, width: int, percent: int, ranks: bytes, buckets: int, shares: int) -> Iterator[pa.RecordBatch]:
     """Step 1, before the exchange. Shingles met in two texts here are settled here."""
     ranks = np.frombuffer(ranks, np.uint8)
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -126,10 +129,10 @@ def _first_shingles(batches, width: int, percent: int, ranks: bytes, buckets: in
             held.append((h, nodes[at]))
             size += len(h)
             if size >= CHUNK:
-                yield from _send(held, buckets)
+                yield from _send(held, buckets, shares)
                 held, size = [], 0
     if held:
-        yield from _send(held, buckets)
+        yield from _send(held, buckets, shares)
 
 
 def _distinct_pairs(h: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -144,7 +147,7 @@ def _distinct_pairs(h: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.nd
     return h, nodes, new[:-1] & new[1:]
 
 
-def _send(held, buckets: int) -> Iterator[pa.RecordBatch]:
+def _send(held, buckets: int, shares: int) -> Iterator[pa.RecordBatch]:
     h, nodes, alone = _distinct_pairs(*(np.concatenate(x) for x in zip(*held)))
     keys, counts = np.unique(nodes[~alone], return_counts=True)
     # Hashes are ordered, so each bucket is a run of them.
@@ -153,25 +156,39 @@ def _send(held, buckets: int) -> Iterator[pa.RecordBatch]:
     a = np.append(np.searchsorted(one, edge), len(one))
     b = np.append(np.searchsorted(many, edge), len(many))
     rows = [(i, one[a[i] : a[i + 1]].tobytes(), one_nodes[a[i] : a[i + 1]].tobytes(), many[b[i] : b[i + 1]].tobytes()) for i in range(buckets)]
-    names = ["bucket", "hashes", "nodes", "repeated", "node", "shared"]
     cols = list(zip(*rows))
-    k = len(rows)
+    packed = _by_share(keys, counts, shares)
+    k, m = len(rows), len(packed)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names
+        [pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:]), pa.nulls(k, pa.int32()), *(pa.nulls(k, pa.binary()) for _ in range(2))], FIRST_NAMES
     )
-    k = len(keys)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array((keys % T.U(buckets)).astype(np.int32)), *(pa.nulls(k, pa.binary()) for _ in range(3)), longs(keys), pa.array(counts.astype(np.int32))], names
-    )
-
-
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 1, after the exchange: which shingles of a bucket two sets have."""
+    if m:
+        cols = list(zip(*packed))
+        at = pa.array([x % buckets for x in cols[0]], pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [at, *(pa.nulls(m, pa.binary()) for _ in range(3)), pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], FIRST_NAMES
+        )
+
+
+def _by_share(keys: np.ndarray, counts: np.ndarray, shares: int) -> list[tuple[int, bytes, bytes]]:
+    """Sets and their counts, packed for each share of the sets that occurs."""
+    share = (keys % T.U(shares)).astype(np.int64)
+    order = np.argsort(share, kind="stable")
+    share, keys, counts = share[order], keys[order], counts[order].astype(np.uint32)
+    first = np.flatnonzero(np.concatenate([[True], share[1:] != share[:-1]])) if len(share) else np.zeros(0, np.int64)
+    ends = np.append(first[1:], len(share))
+    return [(int(share[i]), keys[i:j].tobytes(), counts[i:j].tobytes()) for i, j in zip(first, ends)]
+
+
+def _settle(batches: Iterator[pa.RecordBatch], shares: int) -> Iterator[pa.RecordBatch]:
+    """Step 1, after the exchange: which shingles of a bucket two sets have, counted for
+    each set and packed by share of the sets."""
     parts: list[list[np.ndarray]] = [[], [], []]
+    names = ["share", "counted", "counts"]
     for batch in batches:
-        said = batch.filter(batch["node"].is_valid())
+        said = batch.filter(batch["share"].is_valid())
         if said.num_rows:
-            yield pa.RecordBatch.from_arrays([said["node"], said["shared"]], ["node", "shared"])
+            yield pa.RecordBatch.from_arrays([said[n] for n in names], names)
         sent = batch.filter(batch["hashes"].is_valid())
         for part, name in zip(parts, ("hashes", "nodes", "repeated")):
             part += [np.frombuffer(v.as_buffer(), np.uint64) for v in sent[name]]
@@ -180,8 +197,21 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     one, nodes, many = (np.concatenate(part) for part in parts)
     h, nodes, alone = _distinct_pairs(one, nodes)
     shared = ~alone | np.isin(h, np.unique(many))
-    keys, counts = np.unique(nodes[shared], return_counts=True)
-    yield pa.RecordBatch.from_arrays([longs(keys), pa.array(counts.astype(np.int32))], ["node", "shared"])
+    packed = _by_share(*np.unique(nodes[shared], return_counts=True), shares)
+    if packed:
+        cols = list(zip(*packed))
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names)
+
+
+def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of a share's sets, added up."""
+    nodes, counts = [], []
+    for batch in batches:
+        nodes += [np.frombuffer(v.as_buffer(), np.uint64) for v in batch["counted"]]
+        counts += [np.frombuffer(v.as_buffer(), np.uint32) for v in batch["counts"]]
+    keys, at = np.unique(np.concatenate(nodes), return_inverse=True)
+    total = np.bincount(at, np.concatenate(counts).astype(float), len(keys))
+    yield pa.RecordBatch.from_arrays([longs(keys), pa.array(total.astype(np.int32))], ["node", "shared"])
 
 
 def _sets(batches, width: int, percent: int, ranks: bytes, bits: bytes) -> Iterator[pa.RecordBatch]:
@@ -230,37 +260,51 @@ def similar_size(a: str, b: str, percent: int):
 def set_links(sets: DataFrame, percent: int, ranks: bytes) -> DataFrame:
     """Enough links (a, b) between similar sets to connect all that can reach each
     other. ``sets``: node, n, members, signs."""
-    rows = sets.where("n > 2").select("node", "n", F.explode("signs").alias("sign"))
-    group = rows.groupBy("sign").agg(F.min("node").alias("hub"), F.min_by("n", "node").alias("hn"), F.count("*").alias("df")).where("df > 1")
+    rows = sets.where("n > 2").select("node", "n", F.col("node").alias("root"), F.explode("signs").alias("sign"))
+    group = rows.groupBy("sign").agg(F.count("*").alias("df")).where("df > 1")
     rows = reliable_checkpoint(rows.join(group, "sign"), "signs")
-    # Each set meets the hub with which it shares most signs, if these are half of its own.
     own = F.least(F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 2 + F.floor(F.col("n") / 12), F.col("n"))
-    best = (
-        rows.where(F.col("node") != F.col("hub")).where(similar_size("n", "hn", percent))
-        .groupBy("node", "hub", "n").agg(F.count("*").alias("c")).where(F.col("c") * 2 >= own)
-        .groupBy("node").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
-        .select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    )
-    links = reliable_checkpoint(verified(best, sets, percent), "pairs")
-    rows = _unsettled(_roots(rows.select("sign", "node", "n", "df"), links))
-    rows = reliable_checkpoint(rows, "signs")
-    # Frequent signs count in combinations of two. Linked sets share as many signs as the
-    # smaller one's k; dealt to k - 1 groups, two of them meet in one. Sizes of linked sets
-    # are at most a class apart, so each set is indexed by its class and the next.
+    links, open_ = None, rows.select("node").distinct().count()
+    while open_:
+        # The set that shares most of its signs is nearest to the others of a sign: what
+        # they were copied from shares more with each than they do with each other.
+        known = rows.groupBy("node").agg(F.count("*").alias("k"))
+        rows = rows.drop("k").join(known, "node")
+        hub = rows.groupBy("sign").agg(F.max_by(F.struct(F.col("node").alias("hub"), F.col("n").alias("hn"), F.col("root").alias("hr")), F.struct("k", "node")).alias("h"))
+        # Each set meets the hub with which it shares most signs, if these are half of its own.
+        best = (
+            rows.join(hub.select("sign", "h.*"), "sign").where((F.col("root") != F.col("hr")) & similar_size("n", "hn", percent))
+            .groupBy("node", "hub", "n").agg(F.count("*").alias("c")).where(F.col("c") * 2 >= own)
+            .groupBy("node").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
+            .select(F.col("node").alias("a"), F.col("hub").alias("b"))
+        )
+        found = reliable_checkpoint(verified(best, sets, percent), "pairs")
+        links = found if links is None else links.unionByName(found)
+        rows = reliable_checkpoint(_unsettled(_roots(rows.drop("k"), links)), "signs")
+        before, open_ = open_, rows.select("node").distinct().count()
+        if open_ > before * GOES_ON:
+            break
+    if links is None:
+        return sets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    # Sizes of linked sets are at most a class apart: each set is indexed in its class and
+    # the next, and only sets of a class are compared. Frequent signs count in combinations
+    # of two. Linked sets share as many signs as the smaller one's k; dealt to k - 1 groups,
+    # two of them meet in one.
     class_ = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
+    classed = rows.withColumn("class", F.explode(F.array(class_, class_ + 1)))
     groups = F.greatest(F.lit(1), F.floor(F.pow(F.lit(100.0 / percent), F.col("class") - 1) / 12) + 1)
     two = F.expr("flatten(transform(s, (x, i) -> transform(slice(s, i + 2, size(s)), y -> xxhash64(class, part, x, y))))")
     pairs = (
-        rows.where(F.col("df") > FREQUENT).withColumn("class", F.explode(F.array(class_, class_ + 1)))
-        .withColumn("part", F.pmod(F.col("sign"), groups))
+        classed.where(F.col("df") > FREQUENT).withColumn("part", F.pmod(F.col("sign"), groups))
         .groupBy("node", "root", "class", "part").agg(F.array_sort(F.collect_list("sign")).alias("s")).where(F.size("s") > 1)
-        .select(F.explode(two).alias("sign"), "node", "root")
+        .select(F.explode(two).alias("sign"), "node", "root", "class")
     )
-    index = rows.where(F.col("df") <= FREQUENT).select("sign", "node", "root").unionByName(pairs)
-    index = reliable_checkpoint(_unsettled(index).select("sign", "node"), "index")
-    low = index.groupBy("sign").agg(F.min("node").alias("low"))
-    near = components(index.join(low, "sign").select(F.col("node").alias("a"), F.col("low").alias("b")))
-    left = near.select("node", F.col("root").alias("cluster"))
+    index = classed.where(F.col("df") <= FREQUENT).select(F.xxhash64("class", "sign").alias("sign"), "node", "root", "class").unionByName(pairs)
+    index = _unsettled(index).select("sign", "node", "class", F.xxhash64("class", "node").alias("place"))
+    index = reliable_checkpoint(index, "index")
+    low = index.groupBy("sign").agg(F.min("place").alias("low"))
+    near = components(index.join(low, "sign").select(F.col("place").alias("a"), F.col("low").alias("b")))
+    left = index.select("place", "node").distinct().join(near.select(F.col("node").alias("place"), F.col("root").alias("cluster")), "place").select("node", "cluster")
     sizes = left.join(sets.select("node", "n"), "node").groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = (
@@ -287,6 +331,7 @@ class _Sets:
         self.ends = np.append(0, np.cumsum(self.n))
         self.signs, self.of = ordered_prefix(self.members, self.ends, ranks, may_miss(self.n, percent) + extension(self.n))
         self.sign_ends = np.searchsorted(self.of, np.arange(len(self.n) + 1))
+        self.beyond = self.n - np.diff(self.sign_ends)   # shingles that aren't signs
 
     def __len__(self) -> int:
         return len(self.node)
@@ -321,7 +366,9 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int, ranks: bytes) -> I
         a, b = np.searchsorted(signs, own), np.searchsorted(signs, own, "right")
         at = np.repeat(a - np.cumsum(b - a) + (b - a), b - a) + np.arange((b - a).sum())
         shared = np.bincount(owners[at], minlength=len(y))
-        ok = (shared >= extension(np.minimum(y.n, x.n[i]))) & (y.n * 100 >= x.n[i] * percent) & (x.n[i] * 100 >= y.n * percent) & (y.root != x.root[i])
+        # Of the common shingles no more are lacking among the signs than either set has beyond.
+        least = -(-percent * (y.n + x.n[i]) // (100 + percent)) - np.maximum(y.beyond, x.beyond[i])
+        ok = (shared >= np.maximum(least, 1)) & (y.n * 100 >= x.n[i] * percent) & (x.n[i] * 100 >= y.n * percent) & (y.root != x.root[i])
         if x is y:
             ok[: i + 1] = False
         which = np.flatnonzero(ok)
@@ -367,19 +414,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = found.where("cell is null").select("doc_id", "node", "n")
     ranks = rarity(found.where("cell is not null").select("cell", "counts"))
     sizes = texts.where("n > 0")
-    total = sizes.agg(F.sum((F.col("n") - F.floor((F.col("n") * percent + 99) / 100)) + F.floor(F.col("n") / 12) + 2)).first()[0]
-    buckets = max(8, int(total or 0) // BUCKET)
+    wanted = F.sum((F.col("n") - F.floor((F.col("n") * percent + 99) / 100)) + F.floor(F.col("n") / 12) + 2)
+    total, count = sizes.agg(wanted, F.count("*")).first()
+    buckets, shares = max(8, int(total or 0) // BUCKET), max(8, count // SHARE)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _first_shingles(batches, width, percent, ranks, buckets)
+        return _first_shingles(batches, width, percent, ranks, buckets, shares)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _settle(batches)
+        return _settle(batches, shares)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _add_counts(batches)
 
     shared = (
-        docs.mapInArrow(first, "bucket int, hashes binary, nodes binary, repeated binary, node long, shared int")
-        .groupBy("bucket").applyInArrow(settle, "node long, shared int")
-        .groupBy("node").agg(F.sum("shared").alias("shared"))
+        docs.mapInArrow(first, "bucket int, hashes binary, nodes binary, repeated binary, share int, counted binary, counts binary")
+        .groupBy("bucket").applyInArrow(settle, "share int, counted binary, counts binary")
+        .groupBy("share").applyInArrow(add, "node long, shared int")
     )
     need = F.floor((F.col("n") * percent + 99) / 100)
     least = F.least(F.lit(2) + F.floor(need / 12), F.col("n") - need + F.lit(2) + F.floor(F.col("n") / 12), F.col("n"))
