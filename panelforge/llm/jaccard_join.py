@@ -37,7 +37,7 @@ FIRST_NAMES = ["bucket", "hashes", "nodes", "repeated", "share", "counted", "cou
 SHARE = 500_000        # sets whose counts one task adds up, about
 BUCKET = 500_000       # shingles that a bucket of the first exchange holds, about
 FREQUENT = 32          # a shingle of more texts is indexed in combinations of two
-GOES_ON = 0.9          # rounds of hubs go on while at most so many of the open sets stay open
+GOES_ON = 0.5          # rounds of hubs go on while at most so many of the open sets stay open
 BLOCK = 4_000_000      # shingles of the sets that are compared at a time, with as many others
 
 
