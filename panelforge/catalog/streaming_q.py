@@ -126,12 +126,12 @@ _PASSED = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 HOUR FROM ev
                         FROM (SELECT max(ts) AS m FROM events GROUP BY user_id % 2)),
              hours AS (SELECT country, "index", Actual_Load, Forecasted_Load FROM a FULL JOIN f USING (country, "index"), passed
                        WHERE "index" + INTERVAL 1 HOUR <= passed.at),
-             trailing AS (SELECT *, avg(Actual_Load) OVER (PARTITION BY country ORDER BY "index" ROWS BETWEEN 24 PRECEDING AND CURRENT ROW) AS m
+             closed AS (SELECT *, avg(Actual_Load) OVER (PARTITION BY country ORDER BY "index" ROWS BETWEEN 24 PRECEDING AND CURRENT ROW) AS m
                           FROM hours WHERE Actual_Load IS NOT NULL)
         SELECT country, "index", round(Actual_Load, 6) AS Actual_Load, round(Forecasted_Load, 6) AS Forecasted_Load,
                round((m - Actual_Load) / nullif(m, 0), 6) + 0.0 AS reserve_margin_ml,
                round(abs(Forecasted_Load - Actual_Load) / nullif(Actual_Load + 1e-6, 0), 6) + 0.0 AS load_rel_error
-        FROM trailing""",
+        FROM closed""",
 )
 def stream_margin_join(spark, sf):
     """Two streams, of users with even and with odd ids, are load and forecast of each

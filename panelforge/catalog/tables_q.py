@@ -214,7 +214,11 @@ def create_or_replace_branch(spark, sf):
     return _read_days(spark, path)
 
 
-@query("partition_columns")
+@query(
+    "partition_columns",
+    sql("""SELECT n, place, column_name FROM (SELECT count(*) AS n FROM readings),
+             (VALUES (0, 'country'), (1, 'date')) t(place, column_name)"""),
+)
 def partition_columns(spark, sf):
     """Partition columns of a table written from the data, with its row count."""
     name, path = _fresh(spark, "parts")

@@ -21,9 +21,9 @@ SQL = {k: v for k, v in entry_module.oracle_sql().items() if not TEXT.match(k)}
 FIXED_SCALE = {"sparse_columns", "model_matrix", "feature_groups"}
 FIXED_SF = "/root/testdata/sf0.01"
 # model fits without SQL: covered by test_forecasting; run here with TEST_ALL=1
-LONG = {"fit_forest", "fit_gbt", "model_leaderboard", "hyper_search",
+LONG = {"fit_forest", "fit_gbt", "model_leaderboard", "hyper_search", "halving_search",
         "feature_importance", "tuned_model_splits", "tuned_model_thresholds"}
-MAY_BE_EMPTY = {"arima_fit", "arima_params", "forecast_validation"}
+MAY_BE_EMPTY = {"arima_fit", "arima_params", "arima_likelihood", "forecast_validation"}
 
 
 def _connect(folder):
