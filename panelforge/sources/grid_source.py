@@ -1,9 +1,10 @@
 """Gridded messages in files of their own, as a data source.
 
 A message is one variable on a grid at one time: a file of 32-bit floats whose name says
-which, ``<seconds since 1970>_<variable>.grid``. Every message is a partition. Filters on
-time and variable are answered from the names, so a message that a query doesn't want is
-never opened; values reach Spark as Arrow lists.
+which, ``<seconds since 1970>_<variable>.grid``. A partition is a run of messages: one as
+long as they are few, else as many as ``TASK_BYTES`` and ``TASK_FILES`` allow, since a task
+costs more than a small file. Filters on time and variable are answered from the names, so
+a message that a query doesn't want is never opened; values reach Spark as Arrow lists.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from pyspark.sql import functions as F
 NAME = re.compile(r"(-?\d+)_([^/_]+)\.grid$")
 SCHEMA = "timestamp timestamp, short_name string, values array<float>"
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+FEW = 32                       # up to so many messages have a task each
+TASK_BYTES, TASK_FILES = 32 * 1024**2, 4096
+BATCH_BYTES, BATCH_FILES = 4 * 1024**2, 1024
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -30,10 +34,25 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 
 
 @dataclass
-class Message(D.InputPartition):
-    path: str
-    seconds: int
-    variable: str
+class Messages(D.InputPartition):
+    """File names within the folder."""
+
+    names: list[str]
+
+
+def _runs(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
+    """First place and the place after the last of each run of messages of these sizes:
+    no run is larger than a task may be, and each is about a part in ``FEW`` at most."""
+    weights = [size / TASK_BYTES + 1 / TASK_FILES for size in sizes]
+    most = min(1.0, sum(weights) / FEW)
+    first, held = 0, 0.0
+    for i, weight in enumerate(weights):
+        if i > first and (held + weight > most or len(sizes) <= FEW):
+            yield first, i
+            first, held = i, 0.0
+        held += weight
+    if sizes:
+        yield first, len(sizes)
 
 
 class MessageReader(D.DataSourceReader):
@@ -67,7 +86,7 @@ class MessageReader(D.DataSourceReader):
         value = getattr(f, "value", None)
         return None if compare is None or value is None else lambda m: compare(m[i], value)
 
-    def partitions(self) -> Sequence[Message]:
+    def partitions(self) -> Sequence[Messages]:
         """The names are listed once, on the driver; no file is opened."""
         system, root = _open(self.path)
         found = []
@@ -77,16 +96,31 @@ class MessageReader(D.DataSourceReader):
                 seconds, variable = int(named[1]), named[2]
                 at = dt.datetime.fromtimestamp(seconds, dt.timezone.utc)
                 if all(test((at, variable)) for test in self.tests):
-                    found.append(Message(info.path, seconds, variable))
-        return sorted(found, key=lambda m: (m.seconds, m.variable))
+                    found.append((seconds, variable, info.base_name, info.size or 0))
+        found.sort()
+        return [Messages([m[2] for m in found[a:b]]) for a, b in _runs([m[3] for m in found])]
 
-    def read(self, partition: Message) -> Iterator[pa.RecordBatch]:
-        system, _ = _open(self.path)
-        with system.open_input_stream(partition.path) as f:
-            values = np.frombuffer(f.read(), "<f4")
-        lists = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, pa.float32()))
-        time = pa.array([partition.seconds * 1_000_000], pa.int64()).cast(pa.timestamp("us", "UTC"))
-        yield pa.RecordBatch.from_arrays([time, pa.array([partition.variable]), lists], ["timestamp", "short_name", "values"])
+    def read(self, partition: Messages) -> Iterator[pa.RecordBatch]:
+        system, root = _open(self.path)
+        names, held, size = [], [], 0
+        for name in partition.names:
+            with system.open_input_stream(f"{root.rstrip('/')}/{name}") as f:
+                held.append(np.frombuffer(f.read(), "<f4"))
+            names.append(name)
+            size += held[-1].nbytes
+            if len(held) >= BATCH_FILES or size >= BATCH_BYTES:
+                yield _batch(names, held)
+                names, held, size = [], [], 0
+        if held:
+            yield _batch(names, held)
+
+
+def _batch(names: Sequence[str], held: Sequence[np.ndarray]) -> pa.RecordBatch:
+    named = [NAME.search(name) for name in names]
+    ends = np.cumsum([0, *map(len, held)])
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(held), pa.float32()))
+    time = pa.array([int(n[1]) * 1_000_000 for n in named], pa.int64()).cast(pa.timestamp("us", "UTC"))
+    return pa.RecordBatch.from_arrays([time, pa.array([n[2] for n in named]), lists], ["timestamp", "short_name", "values"])
 
 
 class GridMessages(D.DataSource):
@@ -135,5 +169,7 @@ def write_messages(messages: DataFrame, path: str) -> int:
     rows = messages.select(
         F.unix_seconds("timestamp").alias("seconds"), F.col("short_name").alias("variable"), F.col("values").cast("array<float>").alias("values")
     ).dropna()
-    named = rows.withColumn("attempt", F.uuid()).mapInArrow(run, "name string")
+    # A file costs more than its bytes: rows are spread by number, not by size.
+    parts = int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = rows.repartition(parts, "seconds", "variable").withColumn("attempt", F.uuid()).mapInArrow(run, "name string")
     return named.agg(F.count_distinct("name")).first()[0]

@@ -131,6 +131,20 @@ def test_grid_files_that_a_filter_rules_out_are_not_opened(spark):
         G.read_messages(spark, path).collect()
 
 
+def test_many_small_grid_files_share_tasks(spark):
+    path = scratch_dir(spark, "grid")
+    hours = [START + timedelta(hours=h) for h in range(300)]
+    rows = [(t, "2t", [float(i)] * (i % 4)) for i, t in enumerate(hours)]
+    assert G.write_messages(spark.createDataFrame(rows, "timestamp timestamp, short_name string, values array<float>"), path) == 300
+    read = G.read_messages(spark, path)
+    assert G.FEW <= read.rdd.getNumPartitions() <= 2 * G.FEW
+    assert sorted((r.timestamp, r.short_name, r["values"]) for r in read.collect()) == rows
+    large = [G.TASK_BYTES] * 3 + [0] * 3 * G.TASK_FILES
+    runs = list(G._runs(large))
+    assert [i for a, b in runs for i in range(a, b)] == list(range(len(large)))
+    assert len(runs) < 200 and all(b - a == 1 for a, b in runs if a < 3) and list(G._runs([])) == []
+
+
 def test_halving_finds_the_planted_draw(spark):
     rows = spark.range(600).select(
         F.rand(1).alias("a"), F.rand(2).alias("b")).withColumn("y", F.col("a") * 3 - F.col("b"))
