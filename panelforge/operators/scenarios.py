@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from panelforge.config import COUNTRY_FACTS, SCENARIO_PRESETS
 from panelforge.functions import scoring as S
+from panelforge.sources.tables import local_rows
 
 PRESET_SCHEMA = (
     "scenario string, temperature double, wind double, solar double, load_multiplier double"
@@ -18,12 +19,12 @@ PRESET_SCHEMA = (
 
 
 def presets(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(SCENARIO_PRESETS), PRESET_SCHEMA)
+    return local_rows(spark, SCENARIO_PRESETS, PRESET_SCHEMA)
 
 
 def country_facts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(COUNTRY_FACTS), "country string, name string, iso_3 string, avg_load int, avg_stress double"
+    return local_rows(
+        spark, COUNTRY_FACTS, "country string, name string, iso_3 string, avg_load int, avg_stress double"
     )
 
 

@@ -14,6 +14,7 @@ from panelforge.config import PLACES
 from panelforge.operators.flows import net_flow
 from panelforge.operators.joins import align
 from panelforge.operators.resample import resample_mean
+from panelforge.sources.tables import local_rows
 
 KEYS = ["country", "index"]
 
@@ -280,9 +281,7 @@ def points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def places(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(PLACES), "place_id int, lat double, lon double, code string"
-    )
+    return local_rows(spark, PLACES, "place_id int, lat double, lon double, code string")
 
 
 def grid_messages(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +24,11 @@ def scan_sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
 
 
 def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small literal table with an explicit schema."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small literal table with an explicit schema. Made by way of Arrow, so that Spark
+    knows its size: of a list it doesn't, and would broadcast the table it is joined with."""
+    fields = spark.createDataFrame([], schema).schema
+    columns = [pa.array([row[i] for row in rows]) for i in range(len(fields))]
+    return spark.createDataFrame(pa.table(columns, names=fields.names), fields)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:

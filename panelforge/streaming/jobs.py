@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from panelforge.operators.blocks import fill_frames
 from panelforge.session import reliable_checkpoint
-from panelforge.sources.tables import replace_partitions
+from panelforge.sources.tables import local_rows, replace_partitions
 
 WAIT_SECONDS = 60   # for the last progress report of a query that has ended
 
@@ -82,7 +82,7 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return spark.createDataFrame([], schema)
+        return local_rows(spark, [], schema)
 
 
 def hourly_mean(

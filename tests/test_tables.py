@@ -133,3 +133,15 @@ def test_stream_means_update_over_batches(spark):
     stream = J.file_stream(spark, path, "k string, t timestamp, v double", files_per_batch=1)
     out = J.hourly_mean(stream, "k", "t", "v", scratch_dir(spark, "out")).collect()
     assert [r["v"] for r in out] == [6.0]
+
+
+def test_the_literal_table_is_the_broadcast_side(spark):
+    dim = T.local_rows(spark, [("a", 1, None), (None, 2, None)], "k string, n int, v double")
+    assert [tuple(r) for r in dim.collect()] == [("a", 1, None), (None, 2, None)]
+    path = scratch_dir(spark, "facts")
+    spark.range(1000).selectExpr("CASE WHEN id % 2 = 0 THEN 'a' ELSE 'b' END AS k").write.parquet(path)
+    joined = spark.read.parquet(path).join(dim, "k")
+    assert joined.count() == 500
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan
+    assert T.local_rows(spark, [], "k string, s struct<a:int>").dtypes == [("k", "string"), ("s", "struct<a:int>")]
