@@ -137,20 +137,20 @@ def save_model_bundle(spark, sf):
 
 
 def _tuned(spark, sf):
-    """The best searched model, with its prediction on all three parts."""
+    """Train and validation parts, and the best searched model's prediction on all three."""
     train, valid, test, _ = matrix(spark, sf)
     model = GBTRegressor(labelCol=SCORE, maxIter=3, seed=ML.SEED)
     best, _ = ML.hyper_search(train, model, ML.boosted_search_space(model), SCORE, n=3, folds=2)
     parts = {"train": train, "validation": valid, "test": test}
     names = ["country", "index", SCORE, "label", "prediction"]
     rows = [best.transform(df).select(*names, F.lit(part).alias("split")) for part, df in parts.items()]
-    return train, reliable_checkpoint(rows[0].unionByName(rows[1]).unionByName(rows[2]), "tuned")
+    return train, valid, reliable_checkpoint(rows[0].unionByName(rows[1]).unionByName(rows[2]), "tuned")
 
 
 @query("tuned_model_splits")
 def tuned_model_splits(spark, sf):
     """MAE, RMSE and R2 of the searched model on each part, and its overfit gap."""
-    _, rows = _tuned(spark, sf)
+    _, _, rows = _tuned(spark, sf)
     metrics = E.regression_metrics(rows, SCORE, "prediction", ["split"])
     return metrics.withColumns({c: F.lit(v) for c, v in E.overfit_gap(metrics).first().asDict().items() if c not in metrics.columns})
 
@@ -158,10 +158,9 @@ def tuned_model_splits(spark, sf):
 @query("tuned_model_thresholds")
 def tuned_model_thresholds(spark, sf):
     """The searched model as a warning at several thresholds, beside a classifier."""
-    train, rows = _tuned(spark, sf)
+    train, valid, rows = _tuned(spark, sf)
     held = rows.filter("split = 'validation'").drop("split")
     sweep = E.threshold_sweep(held, SCORE, "prediction")
-    _, valid, _, _ = matrix(spark, sf)
     told = ML.logistic_models("label")["Logistic Regression"].fit(train).transform(valid)
     both = J.join_on_keys(held, told.select("country", "index", F.col("prediction").alias("class")), ["country", "index"])
     approaches = E.compare_approaches(both, SCORE, {"regression_50": F.col("prediction") >= 50, "classifier": F.col("class") == 1})

@@ -122,18 +122,18 @@ def load_and_forecast(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flow_readings(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items as flows from the supplier's to the customer's nation."""
+    """Line items as flows from the supplier's to the customer's nation. Orders meet their
+    customers first, so that the line items are shuffled once."""
     suppliers = _with_nation(spark, sf, "supplier", "s_suppkey", "s_nationkey", "from_country")
     customers = _with_nation(spark, sf, "customer", "c_custkey", "c_nationkey", "to_country")
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey")
-    )
+    ).join(customers, "c_custkey").select("l_orderkey", "to_country")
     return (
         table(spark, sf, "lineitem")
         .select("l_orderkey", F.col("l_suppkey").alias("s_suppkey"), "l_shipdate", "l_extendedprice")
         .join(suppliers, "s_suppkey")
         .join(orders, "l_orderkey")
-        .join(customers, "c_custkey")
         .select(
             "from_country",
             "to_country",
