@@ -7,10 +7,11 @@ checkpoint when they are called again.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -74,29 +75,46 @@ def pane_mean(
     return _read(stream.sparkSession, out, windows.schema)
 
 
+def _as_text(key: str, kind: str) -> tuple[Column, Column]:
+    """A key as text that differs where keys differ, and the way back from it."""
+    own = F.col(key)
+    if kind == "binary":
+        return F.hex(own), F.unhex(own)
+    if kind == "timestamp":
+        return F.unix_micros(own).cast("string"), F.timestamp_micros(own.cast("bigint"))
+    if kind.startswith(("array", "struct")):
+        return F.when(own.isNotNull(), F.to_json(F.struct(own), {"ignoreNullFields": "false"})), F.from_json(own, f"`{key}` {kind}")[key]
+    return own.cast("string"), own.cast(kind)
+
+
 def fill_live(
     stream: DataFrame, key: str, time: str, row: str, value: str, out: str, name: str = "filled",
-    late: str = "2 hours", forget: str | None = None, checkpoint: str | None = None,
+    late: str = "2 hours", forget: str | None = None, checkpoint: str | None = None, buckets: int = 512,
 ) -> DataFrame:
     """Carry the last known value per key, with the state in the state store: key, time,
     row, value, ``name``.
 
-    A key's state is its last known value and the rows that the watermark hasn't passed.
-    When it passes them, a timer of the key wakes: they come out in the order of time and
-    ``row``, filled, in whatever order they arrived. So a batch touches the keys that it
-    brings or wakes, and nothing that was written before is read again. With ``forget``,
-    such as "30 days", a value is carried no longer than that, and a key without newer
-    rows gives up its state then.
+    Keys are dealt to ``buckets`` by their hash, since every call of the state store and
+    every value in it costs far more than a row: a batch makes a few calls a bucket, however
+    many keys there are, and the rows that it brings to a bucket are one pickled value. A
+    bucket's state is the last known value of each of its keys and the rows that the
+    watermark hasn't passed. When it passes them, a timer of the bucket wakes: they come out
+    in the order of time and ``row``, filled, in whatever order they arrived. So a batch
+    touches the buckets that it brings or wakes, and no row that was written before is read
+    again. With ``forget``, such as "30 days", a value is carried no longer than that, and a
+    key without newer rows gives up its state then.
 
     Rows later than the watermark are dropped. ``row`` names a row within its key and isn't
-    NULL; a NULL key is a key. A task holds the waiting rows of one key."""
+    NULL; a NULL key is a key. A task holds the waiting rows and known values of one bucket:
+    with many keys, raise ``buckets``. A checkpoint goes on with the number it began with."""
     spark, kind = stream.sparkSession, dict(stream.dtypes)
     keep = None if forget is None else span_seconds(forget) * 1_000_000
-    kept_rows, kept_value = f"at bigint, row {kind[row]}, value {kind[value]}", f"at bigint, value {kind[value]}"
-    micros = "micros"
+    micros, bucket = "micros", "bucket"
     while micros in (key, time, row, value, name):
         micros += "_"
-    schema = f"`{key}` {kind[key]}, {micros} bigint, `{row}` {kind[row]}, `{value}` {kind[value]}, `{name}` {kind[value]}"
+    while bucket in (key, time, row, value, name):
+        bucket += "_"
+    schema = f"`{key}` string, {micros} bigint, `{row}` {kind[row]}, `{value}` {kind[value]}, `{name}` {kind[value]}"
 
     names = [key, micros, row, value, name]
 
@@ -104,8 +122,8 @@ def fill_live(
     class Fill(StatefulProcessor):
         def init(self, handle) -> None:
             self.handle = handle
-            self.waiting = handle.getListState("waiting", kept_rows)
-            self.known = handle.getValueState("known", kept_value)
+            self.waiting = handle.getListState("waiting", "rows binary")
+            self.known = handle.getValueState("known", "pairs binary")
             self.timer = handle.getValueState("timer", "at bigint")
 
         @staticmethod
@@ -123,47 +141,56 @@ def fill_live(
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             new = [
-                (int(at), r, None if pd.isna(v) else v)
-                for part in rows for at, r, v in zip(*(part.iloc[:, i].tolist() for i in (2, 3, 4)))   # by place: names are changed
+                (k, int(at), r, None if pd.isna(v) else v)
+                for part in rows for k, at, r, v in zip(*(part.iloc[:, i].tolist() for i in (1, 3, 4, 5)))   # by place: names are changed
             ]
-            self.waiting.appendList(new)
-            self.wake(self.millis(min(x[0] for x in new)))
+            self.waiting.appendValue((pickle.dumps(new),))
+            self.wake(self.millis(min(x[1] for x in new)))
             yield from ()
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
             now = timerValues.getCurrentWatermarkInMs()
             self.timer.clear()
-            rows = sorted((tuple(x) for x in self.waiting.get()), key=lambda x: x[:2])
-            due = [x for x in rows if self.millis(x[0]) <= now]
-            rest, known, filled = rows[len(due):], self.known.get(), []
-            for at, _, v in due:
-                known = (at, v) if v is not None else known
-                filled.append(known[1] if known is not None and (keep is None or at - known[0] <= keep) else None)
+            due, rest = [], []
+            for part in self.waiting.get():
+                for x in pickle.loads(part[0]):
+                    (due if self.millis(x[1]) <= now else rest).append(x)
+            due.sort(key=lambda x: x[1:3])
+            old = self.known.get()
+            old = {} if old is None else pickle.loads(old[0])
+            known, filled = dict(old), []
+            for k, at, _, v in due:
+                if v is not None:
+                    known[k] = (at, v)
+                last = known.get(k)
+                filled.append(last[1] if last is not None and (keep is None or at - last[0] <= keep) else None)
             if due:
-                self.waiting.put(rest) if rest else self.waiting.clear()
-            if known is not None and keep is not None and self.millis(known[0] + keep) < now:
-                known = None
-                self.known.clear()
-            elif known is not None and due:
-                self.known.update(tuple(known))
-            if rest:
-                self.wake(self.millis(rest[0][0]))
-            elif known is not None and keep is not None:
-                self.wake(self.millis(known[0] + keep) + 1)
+                self.waiting.put([(pickle.dumps(rest),)]) if rest else self.waiting.clear()
+            if keep is not None:
+                known = {k: x for k, x in known.items() if self.millis(x[0] + keep) >= now}
+            if known != old:
+                self.known.update((pickle.dumps(known),)) if known else self.known.clear()
+            wakes = [self.millis(min(x[1] for x in rest))] if rest else []
+            if known and keep is not None:
+                wakes.append(self.millis(min(x[0] for x in known.values()) + keep) + 1)
+            if wakes:
+                self.wake(min(wakes))
             if due:
-                columns = ([key[0]] * len(due), *zip(*due), filled)
+                columns = (*zip(*due), filled)
                 yield pd.DataFrame({c: pd.Series(x, dtype=object) for c, x in zip(names, columns)})
 
         def close(self) -> None:
             pass
 
-    timed = stream.withWatermark(time, late).select(key, time, F.unix_micros(time).alias(micros), row, value)
+    text, back = _as_text(key, kind[key])
+    dealt = F.pmod(F.xxhash64(text), F.lit(buckets)).alias(bucket)
+    timed = stream.withWatermark(time, late).select(dealt, text.alias(key), time, F.unix_micros(time).alias(micros), row, value)
     before = spark.conf.get(PROVIDER)
-    # Timers and lists of a key need this store; the query keeps what it started with.
+    # Timers and lists of a bucket need this store; the query keeps what it started with.
     spark.conf.set(PROVIDER, ROCKSDB)
     try:
-        done = timed.groupBy(key).transformWithStateInPandas(Fill(), schema, "append", "eventtime")
-        rows = done.select(key, F.timestamp_micros(micros).alias(time), row, value, name)
+        done = timed.groupBy(bucket).transformWithStateInPandas(Fill(), schema, "append", "eventtime")
+        rows = done.select(back.alias(key), F.timestamp_micros(micros).alias(time), row, value, name)
         _run(rows, "append", out, checkpoint)
     finally:
         spark.conf.set(PROVIDER, before)

@@ -99,3 +99,36 @@ def test_store_forgets(folder, tmp_path):
     add([("a", 520, 5, None), ("z", 900, 6, None)])
     rows = V.fill_live(stream(), "k", "t", "id", "v", out, late="1 minute", forget="1 hour").collect()
     assert {r.id: r.filled for r in rows} == {1: 1.0, 2: 1.0, 3: None, 4: 1.0, 5: None}
+
+
+def test_store_keeps_many_keys_in_few_buckets(spark, tmp_path, monkeypatch):
+    path, out, ran = str(tmp_path / "in"), str(tmp_path / "out"), []
+    run = V._run
+
+    def watched(*args):
+        ran.append(run(*args))
+        return ran[-1]
+
+    monkeypatch.setattr(V, "_run", watched)
+    keys = [None, *range(2**60, 2**60 + 300)]
+    for first, values in ((0, [1.5, None]), (300, [None, 2.5]), (9000, [None])):
+        rows = [(k, at(first + i), first + i, None if v is None else v + n) for n, k in enumerate(keys) for i, v in enumerate(values)]
+        spark.createDataFrame(rows, "k long, t timestamp, id long, v double").coalesce(1).write.mode("append").parquet(path)
+        stream = J.file_stream(spark, path, "k long, t timestamp, id long, v double", files_per_batch=1)
+        got = V.fill_live(stream, "k", "t", "id", "v", out, late="10 minutes", buckets=4)
+    want = {(k, i): n + v for n, k in enumerate(keys) for i, v in ((0, 1.5), (1, 1.5), (300, 1.5), (301, 2.5))}
+    rows = got.collect()
+    assert {(r.k, r.id): r.filled for r in rows} == want and len(rows) == len(want)
+    timers = [o["customMetrics"]["numRegisteredTimers"] for q in ran for p in q.recentProgress for o in p["stateOperators"]]
+    assert 0 < max(timers) <= 4
+
+
+@pytest.mark.parametrize("kind, keys", [
+    ("binary", [b"\xff", b"a", None]), ("timestamp", [at(0), at(1), None]), ("double", [float("inf"), 0.1, None]),
+    ("struct<a:int,b:string>", [(1, None), (None, "x"), None]), ("date", [at(0).date(), None]), ("boolean", [True, False, None]),
+])
+def test_keys_come_back_from_text(spark, kind, keys):
+    rows = spark.createDataFrame([(k,) for k in keys], f"k {kind}")
+    text, back = V._as_text("k", kind)
+    assert rows.select(text.alias("k")).distinct().count() == len(keys)
+    assert rows.select(text.alias("k")).select(back.alias("k")).collect() == rows.collect()
