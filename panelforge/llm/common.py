@@ -78,23 +78,23 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     Every round joins each node's neighbours to the smallest among them, first the
     larger neighbours, then the smaller ones; rounds grow with the logarithm of the
     longest path. Every step is a grouped minimum and an equi-join, so a node with
-    very many links is split like any skewed key."""
+    very many links is split like any skewed key. The first half of a round tells
+    whether all links lead to a smallest node already; then no other is made."""
     a, b = F.col(left), F.col(right)
     edges = reliable_checkpoint(
         links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links"
     )
-    before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        far = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # Links to larger neighbours, and those to smaller ones but the smallest.
+        moved = reliable_checkpoint(both.join(low, "u").where("v > u or v <> m"), "moved")
+        if moved.where("v < u or m < u").isEmpty():
+            break
+        far = moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         near = far.groupBy("u").agg(F.min("v").alias("m"))
         joined = far.join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         edges = reliable_checkpoint(joined.unionByName(near.withColumnRenamed("m", "v")).distinct(), "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 

@@ -81,6 +81,19 @@ def test_components(spark):
     assert got == brute.components(got, links) and got[30] == 1 and got[50] == 40
 
 
+def test_components_stop_once_all_links_lead_to_the_smallest(spark):
+    """Longer ways, several smallest neighbours, repeated links; and few jobs where nothing is left to do."""
+    links = [(i, i + 1) for i in range(40)] + [(100, 103), (101, 103), (101, 104), (102, 104), (104, 104), (103, 100)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 105)}}
+    context = spark.sparkContext
+    context.setJobGroup("stars", "links to the smallest node")
+    rows = components(spark.range(1, 2000).selectExpr("id a", "id % 3 * 10000 - 20000 b"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("stars")) <= 12
+    assert sorted({r.root for r in rows.collect()}) == [-20000, -10000, 0]
+
+
 @pytest.mark.parametrize("rows", ["odd", "documents", "crowd"])
 def test_jaccard_components(spark, rows):
     if rows == "documents":
