@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,7 @@ from panelforge.session import reliable_checkpoint
 
 RANK_BITS = 20         # how common shingles are is counted in 2**20 cells
 CELLS_A_ROW = 4096
+BATCH_ROWS = 1024      # texts or sets that go to a function at a time
 CHUNK = 1_000_000      # shingles that a task holds before it sends them
 FIRST_NAMES = ["bucket", "hashes", "nodes", "repeated", "share", "counted", "counts"]
 SHARE = 500_000        # sets whose counts one task adds up, about
@@ -317,41 +319,62 @@ def set_links(sets: DataFrame, percent: int, ranks: bytes) -> DataFrame:
         return _compare(batches, percent, ranks)
 
     found = dealt.groupBy("cluster", "lo", "hi").applyInArrow(compare, "a long, b long")
-    return links.unionByName(found)
+    return links.unionByName(reliable_checkpoint(found, "compared", BATCH_ROWS))
 
 
 class _Sets:
     """Some rows' sets, and the shingles that each is indexed by."""
 
-    def __init__(self, t: pa.Table, percent: int, ranks: np.ndarray):
-        self.node, self.root = (t[c].to_numpy() for c in ("node", "root"))
-        chunks = [c for c in t["members"].chunks if len(c)]
-        self.members = np.concatenate([c.flatten().to_numpy() for c in chunks] or [np.zeros(0, np.int64)]).view(np.uint64)
-        self.n = np.concatenate([np.diff(c.offsets.to_numpy()) for c in chunks] or [np.zeros(0, np.int64)]).astype(np.int64)
+    def __init__(self, percent: int, ranks: np.ndarray):
+        self.percent, self.ranks, self.size = percent, ranks, 0
+        self.parts: dict[str, list[np.ndarray]] = {k: [] for k in ("node", "root", "members", "n", "signs", "of")}
+
+    def __len__(self) -> int:
+        return self.size
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        """A few rows more. They are ordered at once, so that what this takes stays small."""
+        lists = batch["members"]
+        members = lists.flatten().to_numpy().view(np.uint64).copy()
+        n = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        signs, of = ordered_prefix(members, np.append(0, np.cumsum(n)), self.ranks, may_miss(n, self.percent) + extension(n))
+        own = {"node": batch["node"].to_numpy().copy(), "root": batch["root"].to_numpy().copy(), "members": members, "n": n, "signs": signs, "of": of + self.size}
+        for k, v in own.items():
+            self.parts[k].append(v)
+        self.size += batch.num_rows
+
+    def close(self) -> None:
+        self.node, self.root, self.members, self.n, self.signs, self.of = (np.concatenate(self.parts.pop(k)) for k in list(self.parts))
         self.ends = np.append(0, np.cumsum(self.n))
-        self.signs, self.of = ordered_prefix(self.members, self.ends, ranks, may_miss(self.n, percent) + extension(self.n))
         self.sign_ends = np.searchsorted(self.of, np.arange(len(self.n) + 1))
         self.beyond = self.n - np.diff(self.sign_ends)   # shingles that aren't signs
 
-    def __len__(self) -> int:
-        return len(self.node)
-
 
 def _compare(batches: Iterator[pa.RecordBatch], percent: int, ranks: bytes) -> Iterator[pa.RecordBatch]:
     """Links between the rows of two blocks that share enough signs and don't hang
     together yet; enough of them to connect what is similar."""
-    t = pa.Table.from_batches(list(batches))
-    lo, hi = t["lo"][0].as_py(), t["hi"][0].as_py()
-    block, rank = t["block"].to_numpy(), np.frombuffer(ranks, np.uint8)
-    x = _Sets(t.filter(pa.array(block == lo)), percent, rank)
-    y = x if lo == hi else _Sets(t.filter(pa.array(block == hi)), percent, rank)
-    del t
-    if not len(x) or not len(y):
+    rank = np.frombuffer(ranks, np.uint8)
+    x, y = _Sets(percent, rank), _Sets(percent, rank)
+    for batch in rarely(batches):
+        lo, hi = batch["lo"][0].as_py(), batch["hi"][0].as_py()
+        low = batch["block"].to_numpy() == lo
+        for part, rows in ((x, low), (y, ~low)):
+            if rows.any():
+                part.add(batch.filter(pa.array(rows)))
+    if not len(x) or not len(y) and lo != hi:
         return
+    x.close()
+    if lo == hi:
+        y = x
+    else:
+        y.close()
     tokens = np.unique(y.members)
     ids = np.searchsorted(tokens, y.members).astype(np.int32)
     order = np.argsort(y.signs, kind="stable")
     signs, owners = y.signs[order], y.of[order]
+    if y is not x:
+        del y.members, y.signs, y.of   # held as ids and in order
+    del order
     mark = np.zeros(len(tokens), bool)
     up: dict[int, int] = {}
 
@@ -410,7 +433,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _measure(batches, width)
 
-    found = reliable_checkpoint(docs.mapInArrow(measure, "doc_id long, node long, n int, cell int, counts binary"), "sets")
+    found = reliable_checkpoint(docs.mapInArrow(measure, "doc_id long, node long, n int, cell int, counts binary"), "sets", BATCH_ROWS)
     texts = found.where("cell is null").select("doc_id", "node", "n")
     ranks = rarity(found.where("cell is not null").select("cell", "counts"))
     sizes = texts.where("n > 0")
@@ -438,7 +461,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         sizes.where("n > 2").groupBy("node").agg(F.min("n").alias("n"), F.coalesce(F.min("doc_id"), F.lit(-1)).alias("doc_id"))
         .join(shared, "node").where(F.col("shared") >= least).select("node", "doc_id")
     )
-    left = reliable_checkpoint(left, "left")
+    left = reliable_checkpoint(left, "left", BATCH_ROWS)
     bits = key_bits(left, "doc_id")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,7 +472,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         docs.select(at.alias("at"), "text").mapInArrow(sets_of, "node long, n int, members array<long>, signs array<long>")
         .join(left.select("node"), "node", "left_semi").dropDuplicates(["node"])
     )
-    sets = reliable_checkpoint(sets, "sets")
+    sets = reliable_checkpoint(sets, "sets", BATCH_ROWS)
     links = set_links(sets, percent, ranks)
     own = sizes.groupBy("node").agg(F.min("doc_id").alias("low"))
     nodes = _roots(own, links)
@@ -475,26 +498,26 @@ def keep_first(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_c
     decided = reliable_checkpoint(sets.where(~F.col("_first") | (F.col("rows") > 1)).drop("rows"), "decided")
     bits = key_bits(decided, "_id")
 
-    @F.arrow_udf("boolean")
-    def met(at: pa.Array) -> pa.Array:
-        return pa.array(in_bits(bits, at.to_numpy()))
-
     @F.arrow_udf("long")
-    def set_of(text: pa.Array) -> pa.Array:
+    def set_of(at: pa.Array, text: pa.Array) -> pa.Array:
         out = []
-        for w in T.words(text):
-            h, ends = T.distinct_sets(w, width)
-            out.append(pa.array(set_keys(h, ends).view(np.int64), mask=np.diff(ends) == 0))
+        for i in range(0, len(at), 256):
+            hit = pa.array(in_bits(bits, at.slice(i, 256).to_numpy()))
+            for w in T.words(pc.if_else(hit, text.slice(i, 256), pa.scalar(None, text.type))):
+                h, ends = T.distinct_sets(w, width)
+                out.append(pa.array(set_keys(h, ends).view(np.int64), mask=np.diff(ends) == 0))
         return pa.concat_arrays(out) if out else pa.array([], pa.int64())
 
+    # One function does both, as each needs a process of its own in every task; and it isn't
+    # called once for the filter and once for the column.
+    once = set_of.asNondeterministic()
     own = free_name(docs, "_own_set")
-    hit = met(F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(1 << 22)))
-    some = docs.where(hit).withColumn(own, set_of(F.col(text_col)))
+    marked = docs.withColumn(own, once(F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(1 << 22)), F.col(text_col)))
+    some = marked.where(F.col(own).isNotNull())
     same = some[id_col].cast("long").eqNullSafe(decided["_id"]) & (some[own] == decided["_set"])
     kept = some.join(decided, same, "left").where(F.coalesce("_first", F.lit(True)))
-    one = kept.where(F.col(own).isNotNull()).dropDuplicates([id_col, own])
-    parts = [docs.where(~hit), one.select(*(some[c] for c in docs.columns)), kept.where(F.col(own).isNull()).select(*(some[c] for c in docs.columns))]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+    one = kept.dropDuplicates([id_col, own]).select(*(some[c] for c in docs.columns))
+    return marked.where(F.col(own).isNull()).select(*docs.columns).unionAll(one)
 
 
 @query("op5_jaccard_join")

@@ -1,6 +1,6 @@
 """Words of Arrow text columns as 64-bit hashes, by numpy over the UTF-8 bytes.
 
-A text is cut into slices of about a megabyte, so that memory does not follow the
+A text is cut into slices of about half a megabyte, so that memory does not follow the
 batch. Within a slice, a prefix sum of ``byte * P**position`` gives the hash of every
 word from its two ends. Equal words get equal hashes; different ones differ but for
 a chance of about 2**-64 a pair.
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 U = np.uint64
 _P = 0x9E3779B97F4A7C15
 _PINV = pow(_P, -1, 1 << 64)

@@ -74,17 +74,24 @@ _removed_at_exit: set[str] = set()
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def reliable_checkpoint(df, label: str = "cut"):
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def reliable_checkpoint(df, label: str = "cut", batch_rows: int | None = None):
     """Cut lineage by writing ``df`` to the scratch folder and reading it back.
 
     The files outlive any executor, so lost executors cost no recomputation of
     the plan above. Shuffle files of the write are removed once it is done: nothing
-    reads them again."""
+    reads them again. ``batch_rows``: rows that go to a Python function at a time, for
+    rows of long texts or lists, which are held on both sides."""
     spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    settings = {CLEANUP: "true", **({BATCH: str(batch_rows)} if batch_rows else {})}
+    before = {k: spark.conf.get(k, *(["false"] if k == CLEANUP else [])) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         df.write.mode("overwrite").parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import sys
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -130,6 +131,36 @@ def test_jaccard_join_keeps_one_of_each(spark):
     assert sum(none for none, *_ in got) == 1   # the row without id and text
 
 
+def test_copies_are_left_out_by_one_function_a_task(spark, capsys):
+    """Each function for a row has a process of its own beside it."""
+    docs = spark.createDataFrame(ODD, "doc_id long, text string")
+    kept = jaccard_join.keep_first(docs, jaccard_join.jaccard_components(docs))
+    capsys.readouterr()
+    kept.explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") <= 2
+
+
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_compared_blocks_are_held_once(blocks):
+    """500 sets of 500 shingles and a near copy of each, in one block or in two."""
+    rng = np.random.default_rng(1)
+    half, n = 500, 500
+    sets = np.tile(rng.integers(0, 1 << 62, (half, n)), (2, 1))
+    sets[half:, :20] = rng.integers(0, 1 << 62, (half, 20))
+    sets.sort(axis=1)
+    ids, at = np.arange(2 * half), np.arange(2 * half) // half * (blocks - 1)
+    small = lambda x: pa.array(np.broadcast_to(x, 2 * half).astype(np.int32))
+    lists = pa.ListArray.from_arrays(pa.array((np.arange(2 * half + 1) * n).astype(np.int32)), pa.array(sets.ravel()))
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), lists, small(at), small(0), small(blocks - 1)], ["node", "root", "members", "block", "lo", "hi"])
+    ranks = bytes(1 << jaccard_join.RANK_BITS)
+    tracemalloc.start()
+    (found,) = jaccard_join._compare(iter([batch]), 75, ranks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(zip(found["a"].to_pylist(), found["b"].to_pylist())) == {(i, i + half) for i in range(half)}
+    assert peak < (32 if blocks == 1 else 26) * sets.size
+
+
 def test_empty_tables(spark):
     docs = frame(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
