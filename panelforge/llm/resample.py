@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm import words as T
-from panelforge.llm.common import bits_of, in_bits, labelled_sample, one_text_each, query, rarely, table
+from panelforge.llm.common import labelled_sample, one_text_each, query, rarely, table
 from panelforge.session import reliable_checkpoint
 
 BITS = 16           # n-grams are counted in 2**16 cells
@@ -100,14 +100,15 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _distinct(rows: DataFrame) -> DataFrame:
     """``hash``, ``text``: every text once. Only texts that a table of bits calls copied
     are sent; it lets no copy escape."""
-    at = F.pmod("hash", F.lit(1 << COPIED))
-    bits = bits_of(rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select(at.alias("at")), COPIED)
-
-    @F.arrow_udf("boolean")
-    def copied(at: pa.Array) -> pa.Array:
-        return pa.array(in_bits(bits, at.to_numpy()))
-
-    marked = rows.select("hash", "text", copied(at).alias("copied"))
+    word, bit = f"pmod(hash, {1 << COPIED}) div 64", f"cast(pmod(hash, {1 << COPIED}) % 64 as int)"
+    # 2**16 words whatever the input. Read by a join: a function would need a process of its
+    # own beside that of what follows in the same task.
+    marks = (
+        rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+        .groupBy(F.expr(word).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("bits"))
+    )
+    copied = F.expr(f"coalesce((shiftright(bits, {bit}) & 1) = 1, false)")
+    marked = rows.select("hash", "text", F.expr(word).alias("word")).join(F.broadcast(marks), "word", "left").select("hash", "text", copied.alias("copied"))
     return marked.where(~F.col("copied")).select("hash", "text").unionByName(marked.where("copied").groupBy("hash").agg(F.first("text").alias("text")))
 
 

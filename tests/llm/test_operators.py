@@ -282,6 +282,14 @@ def test_as_many_rows_stay_as_are_good(spark, mix):
     assert len({i for i, _ in good} - kept) <= 2 and len(kept & {i for i, _ in bad}) <= 2
 
 
+def test_copied_texts_are_told_without_a_process_more(spark, capsys):
+    rows = spark.range(300).selectExpr("concat('text ', least(id, 250)) text").selectExpr("xxhash64(text) hash", "text")
+    one = resample._distinct(rows)
+    one.explain()
+    assert "ArrowEvalPython" not in capsys.readouterr().out
+    assert sorted(r.text for r in one.collect()) == sorted(f"text {i}" for i in range(251))
+
+
 def test_cut_counts_misjudged_texts():
     assert resample.cut_between(np.array([1.0, 2.0]), np.array([])) is None
     assert resample.cut_between(np.array([5.0, -2.0]), np.array([-8.0, -6.0])) == (-4.0, 1.0, 0.0)
