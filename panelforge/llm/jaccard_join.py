@@ -23,7 +23,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -500,13 +499,15 @@ def keep_first(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_c
 
     @F.arrow_udf("long")
     def set_of(at: pa.Array, text: pa.Array) -> pa.Array:
-        out = []
-        for i in range(0, len(at), 256):
-            hit = pa.array(in_bits(bits, at.slice(i, 256).to_numpy()))
-            for w in T.words(pc.if_else(hit, text.slice(i, 256), pa.scalar(None, text.type))):
+        sets, has = np.zeros(len(at), np.int64), np.zeros(len(at), bool)
+        hit = np.flatnonzero(in_bits(bits, at.to_numpy()))
+        for i in range(0, len(hit), 256):
+            some = hit[i : i + 256]
+            for w in T.words(text.take(pa.array(some))):
                 h, ends = T.distinct_sets(w, width)
-                out.append(pa.array(set_keys(h, ends).view(np.int64), mask=np.diff(ends) == 0))
-        return pa.concat_arrays(out) if out else pa.array([], pa.int64())
+                rows = some[w.first : w.first + len(w)]
+                sets[rows], has[rows] = set_keys(h, ends).view(np.int64), np.diff(ends) > 0
+        return pa.array(sets, mask=~has)
 
     # One function does both, as each needs a process of its own in every task; and it isn't
     # called once for the filter and once for the column.

@@ -140,6 +140,18 @@ def test_copies_are_left_out_by_one_function_a_task(spark, capsys):
     assert capsys.readouterr().out.count("ArrowEvalPython") <= 2
 
 
+def test_copies_are_left_out_all_over_a_batch(spark):
+    """Rows that pass by themselves lie between copies, in one batch of many rows."""
+    words_ = "concat_ws(' ', transform(sequence(1, 12), x -> concat('w', xxhash64(k, x))))"
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id doc_id", "if(id % 3 = 0, id, id div 9) k").selectExpr("doc_id", f"{words_} text", "k").coalesce(1)
+    found = jaccard_join.jaccard_components(docs)
+    kept = [r.doc_id for r in jaccard_join.keep_first(docs, found).collect()]
+    first = {}
+    for r in docs.collect():
+        first.setdefault(r.k, r.doc_id)
+    assert sorted(kept) == sorted(first.values())
+
+
 @pytest.mark.parametrize("blocks", [1, 2])
 def test_compared_blocks_are_held_once(blocks):
     """500 sets of 500 shingles and a near copy of each, in one block or in two."""
