@@ -41,8 +41,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Digests of ids and of the decoded bytes for each kept row."""
-    return byte_bpe.digests(docs, *byte_bpe.public_vocabulary())
+    """Digests of ids and of the decoded bytes for each kept row. They are written here, so
+    that few rows of whole texts at a time are on their way to the encoder."""
+    return reliable_checkpoint(byte_bpe.digests(docs, *byte_bpe.public_vocabulary()), "ids", byte_bpe.BATCH_ROWS)
 
 
 STAGES = [

@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from panelforge.llm.common import query, rarely, table
 from panelforge.llm.words import slices
 
-KNOWN_BYTES = 48 << 20   # of pieces and their ids that a worker remembers, twice at most
+KNOWN_BYTES = 32 << 20   # of pieces and their ids that a worker remembers, twice at most
+BATCH_ROWS = 256         # texts that go to a worker at a time, where it shares its machine's memory with much else
 LONGEST = 64             # bytes of a piece that is remembered
 
 
@@ -124,7 +126,7 @@ class Encoder:
         self.sizes = np.array([len(x) for x in table], np.int64)
         self.begin = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(table), np.uint8)
-        self.matches, self.pieces = Memory(), Memory()
+        self.known = Memory()
 
     @classmethod
     def of(cls, lines: bytes, pattern: str) -> Encoder:
@@ -135,11 +137,16 @@ class Encoder:
 
     def _match(self, match: bytes) -> bytes:
         said = "".join(map(self.chars.__getitem__, match))
-        return np.array([t.id for t in self.model.model.tokenize(said)], "<u4").tobytes()
+        ids = [t.id for t in self.model.model.tokenize(said)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: bytes) -> bytes:
-        found = self.cut.findall(piece.decode("utf-8"))
-        return b"".join([self.matches.of(m.encode(), self._match) for m in found])
+        text = piece.decode("utf-8")
+        found = self.cut.findall(text)
+        if found == [text]:
+            return self._match(piece)
+        # A match that is one by itself, too, is remembered like any piece, and only once.
+        return b"".join([self.known.of(m.encode(), self._match) if self.cut.findall(m) == [m] else self._match(m.encode()) for m in found])
 
     def encode(self, column) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For runs of rows of a text column: ids of all, and where each row's end."""
@@ -148,7 +155,7 @@ class Encoder:
             ends = np.append(starts, len(s.raw)).astype(np.int64)
             pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(s.raw))])
             coded = pieces.dictionary_encode()
-            made = [self.pieces.of(x, self._piece) for x in coded.dictionary.to_pylist()]
+            made = [self.known.of(x, self._piece) for x in coded.dictionary.to_pylist()]
             size = np.array([len(x) // 4 for x in made], np.int64)
             every, at = np.frombuffer(b"".join(made), "<u4"), coded.indices.to_numpy()
             ids = every[spread((np.cumsum(size) - size)[at], size[at])]

@@ -1,5 +1,6 @@
 """Each operator against a plain version, and on rows that invite crashes."""
 
+import base64
 import hashlib
 import math
 import re
@@ -416,6 +417,25 @@ def test_byte_bpe_equals_tiktoken(spark):
     assert Counter(map(tuple, out)) == want
 
 
+def test_byte_bpe_remembers_a_text_once():
+    coder = byte_bpe.Encoder(*byte_bpe.public_vocabulary())
+    list(coder.encode(pa.array([" ".join(f"word{chr(97 + i % 26) * (1 + i // 26)}, again" for i in range(1000))])))
+    memories = [m for m in vars(coder).values() if isinstance(m, byte_bpe.Memory)]
+    held = [k for m in memories for k in {*m.now, *m.old}]
+    assert len(held) == len(set(held)) > 1000
+    assert sum(2 * m.most for m in memories) <= 64 << 20
+
+
+def test_byte_bpe_matches_that_depend_on_what_stands_around():
+    """``ab`` is one match after ``x``, and two by itself; neither is taken for the other."""
+    ranks = b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate([b"a", b"b", b"x", b" ", b"ab"]))
+    for texts in (["ab", "xab"], ["xab", "ab"], ["xab ab", "ab"]):
+        coder = byte_bpe.Encoder(ranks, "(?<=x)ab|.")
+        for _ in range(2):
+            got = [ids.tolist() for t in texts for ids, _ends in coder.encode(pa.array([t]))]
+            assert got == [{"ab": [0, 1], "xab": [2, 4], "xab ab": [2, 4, 3, 0, 1]}[t] for t in texts]
+
+
 def test_byte_bpe_offsets_and_split_characters(spark):
     ranks, pattern = byte_bpe.public_vocabulary()
     text = "Héllo 😀 wörld"

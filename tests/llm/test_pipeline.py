@@ -1,3 +1,5 @@
+import pyarrow as pa
+
 import corpus_pipeline
 from __spark_entry__ import queries
 
@@ -16,6 +18,20 @@ def test_pipeline_filters_and_encodes(spark):
     assert len(ids & set(clean)) > 0.7 * len(clean) and len(ids & set(junk)) < 0.3 * len(junk)
 
 
+def test_few_texts_at_a_time_go_to_the_encoder(spark, monkeypatch):
+    def sizes(docs, *vocabulary):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+        return docs.mapInArrow(run, "n long")
+
+    monkeypatch.setattr(corpus_pipeline.byte_bpe, "digests", sizes)
+    docs = spark.range(1000).selectExpr("id doc_id", "'a' text").coalesce(1)
+    seen = [r.n for r in corpus_pipeline.encode_texts(spark, docs, SF).collect()]
+    assert sum(seen) == 1000 and max(seen) <= 256
+
+
 def test_all_ten_and_the_pipeline_are_registered():
     names = queries()
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
