@@ -25,7 +25,7 @@ from panelforge.session import reliable_checkpoint, scratch_dir
 from panelforge.sources import benchdata as B
 
 SPLITS = Splits("1999-12-31", "2000-12-31")
-ROUNDS = 0.1   # share of the boosting rounds, see README
+ROUNDS = 0.1   # share of the classifiers' boosting rounds, see README
 SCORE = "grid_stress_score"
 
 
@@ -71,7 +71,7 @@ def fit_forest(spark, sf):
 
 @query("fit_gbt")
 def fit_gbt(spark, sf):
-    return _board(spark, sf, ML.boosted_regressors(SCORE, ROUNDS), SCORE)
+    return _board(spark, sf, ML.boosted_regressors(SCORE), SCORE)
 
 
 @query("fit_logistic")

@@ -19,7 +19,6 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
-    GBTRegressor,
     LinearRegression,
     RandomForestRegressor,
 )
@@ -27,6 +26,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelforge.ml.boosting import BoostedTrees
 from panelforge.operators.evaluate import classification_metrics, regression_metrics
 from panelforge.operators.profile import share_of_total
 from panelforge.session import reliable_checkpoint
@@ -81,11 +81,10 @@ def forest_regressors(label: str) -> dict:
     }
 
 
-def boosted_regressors(label: str, share: float = 1.0) -> dict:
-    """``share`` scales the boosting rounds."""
+def boosted_regressors(label: str) -> dict:
     def boosted(rounds, depth, step, columns="all", least=1):
-        return GBTRegressor(
-            labelCol=label, maxIter=_rounds(rounds, share), maxDepth=depth, stepSize=step,
+        return BoostedTrees(
+            labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step,
             subsamplingRate=0.8, featureSubsetStrategy=columns, minInstancesPerNode=least, seed=SEED)
 
     return {
@@ -97,11 +96,11 @@ def boosted_regressors(label: str, share: float = 1.0) -> dict:
     }
 
 
-def regressors(label: str, rows: int, share: float = 1.0) -> dict:
-    """All regressors. ``share`` scales the boosting rounds."""
+def regressors(label: str, rows: int) -> dict:
+    """All regressors."""
     return {
         **linear_models(label, rows), **tree_regressors(label),
-        **forest_regressors(label), **boosted_regressors(label, share),
+        **forest_regressors(label), **boosted_regressors(label),
     }
 
 
