@@ -136,11 +136,10 @@ def save_model_bundle(spark, sf):
     return model.transform(test).select("country", "index", "prediction")
 
 
-def _tuned(spark, sf):
+def _tuned(spark, sf, model, **search):
     """Train and validation parts, and the best searched model's prediction on all three."""
     train, valid, test, _ = matrix(spark, sf)
-    model = GBTRegressor(labelCol=SCORE, maxIter=3, seed=ML.SEED)
-    best, _ = ML.hyper_search(train, model, ML.boosted_search_space(model), SCORE, n=3, folds=2)
+    best, _ = ML.hyper_search(train, model, ML.boosted_search_space(model), SCORE, **search)
     parts = {"train": train, "validation": valid, "test": test}
     names = ["country", "index", SCORE, "label", "prediction"]
     rows = [best.transform(df).select(*names, F.lit(part).alias("split")) for part, df in parts.items()]
@@ -149,16 +148,18 @@ def _tuned(spark, sf):
 
 @query("tuned_model_splits")
 def tuned_model_splits(spark, sf):
-    """MAE, RMSE and R2 of the searched model on each part, and its overfit gap."""
-    _, _, rows = _tuned(spark, sf)
+    """MAE, RMSE and R2 of the searched model on each part, and its overfit gap; fewer
+    draws, folds and rounds than the default."""
+    _, _, rows = _tuned(spark, sf, GBTRegressor(labelCol=SCORE, maxIter=3, seed=ML.SEED), n=3, folds=2)
     metrics = E.regression_metrics(rows, SCORE, "prediction", ["split"])
     return metrics.withColumns({c: F.lit(v) for c, v in E.overfit_gap(metrics).first().asDict().items() if c not in metrics.columns})
 
 
 @query("tuned_model_thresholds")
 def tuned_model_thresholds(spark, sf):
-    """The searched model as a warning at several thresholds, beside a classifier."""
-    train, valid, rows = _tuned(spark, sf)
+    """The searched model as a warning at several thresholds, beside a classifier: all draws,
+    folds and rounds."""
+    train, valid, rows = _tuned(spark, sf, ML.searched_trees(SCORE))
     held = rows.filter("split = 'validation'").drop("split")
     sweep = E.threshold_sweep(held, SCORE, "prediction")
     told = ML.logistic_models("label")["Logistic Regression"].fit(train).transform(valid)
